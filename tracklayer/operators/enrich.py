@@ -7,7 +7,7 @@ merges, splitting skewed fact keys. A master that outgrows memory therefore cost
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,26 +31,34 @@ def lookup(
     on: Sequence[tuple[Column, str]],
     take: dict[str, str],
     null_as_sentinel: bool = False,
+    single: bool = False,
 ) -> DataFrame:
     """Left join on ``fact expression = master column`` pairs, adding ``take`` (master column -> new name).
 
-    With ``null_as_sentinel`` a NULL master key matches a fact key that holds the sentinel.
+    With ``null_as_sentinel`` a NULL master key matches a fact key that holds the sentinel. Duplicate master keys
+    repeat the fact row, unless ``single`` keeps only the greatest master row of each key.
     """
     names = [f"_m{i}" for i in range(len(on))]
     keys = [(or_na(m) if null_as_sentinel else F.col(m)).alias(n) for (_, m), n in zip(on, names)]
     right = master.select(*keys, *(F.col(c).alias(n) for c, n in take.items()))
+    if single:
+        right = one_per_key(right, names)
     left = facts.withColumns({f"_f{i}": expr for i, (expr, _) in enumerate(on)})
     condition = [F.col(f"_f{i}") == F.col(n) for i, n in enumerate(names)]
     return left.join(right, condition, "left").select(*facts.columns, *take.values())
 
 
 def with_status(
-    facts: DataFrame, status: DataFrame, kind: Column | str = "cstattype", code: Column | str = "cstatcode"
+    facts: DataFrame,
+    status: DataFrame,
+    kind: Column | str = "cstattype",
+    code: Column | str = "cstatcode",
+    single: bool = False,
 ) -> DataFrame:
     """Status group and description by (type, code)."""
     kind, code = (F.col(c) if isinstance(c, str) else c for c in (kind, code))
     take = {"cstatgroup": "stat_cstatgroup", "cstatdesc": "stat_cstatdesc"}
-    return lookup(facts, status, [(kind, "cstattype"), (code, "cstatcode")], take)
+    return lookup(facts, status, [(kind, "cstattype"), (code, "cstatcode")], take, single=single)
 
 
 def fallback(preferred: Column | str, other: Column | str) -> Column:
@@ -59,28 +67,42 @@ def fallback(preferred: Column | str, other: Column | str) -> Column:
     return F.when(preferred == NA, other).otherwise(preferred)
 
 
-def with_customer(facts: DataFrame, customer: DataFrame, area: Column | str, code: Column | str) -> DataFrame:
+def with_customer(
+    facts: DataFrame, customer: DataFrame, area: Column | str, code: Column | str, single: bool = False
+) -> DataFrame:
     """Company group by (area, customer code); NULL master keys match the sentinel."""
     area, code = (F.col(c) if isinstance(c, str) else c for c in (area, code))
-    return lookup(facts, customer, [(area, "carea"), (code, "ccustcode")], {"ccompgrp": "cust_ccompgrp"}, True)
+    keys = [(area, "carea"), (code, "ccustcode")]
+    return lookup(facts, customer, keys, {"ccompgrp": "cust_ccompgrp"}, null_as_sentinel=True, single=single)
 
 
 def with_pack(
-    facts: DataFrame, pack: DataFrame, product: Column | str, mode: Column | str, kind: Column | str
+    facts: DataFrame,
+    pack: DataFrame,
+    product: Column | str,
+    mode: Column | str,
+    kind: Column | str,
+    single: bool = False,
 ) -> DataFrame:
     """Product names by (product, mode, pack type); NULL master keys match the sentinel."""
     product, mode, kind = (F.col(c) if isinstance(c, str) else c for c in (product, mode, kind))
     take = {c: f"pack_{c}" for c in ("cprodparent", "cprodcommname", "csubprdcommname", "cprodgroup")}
-    return lookup(facts, pack, [(product, "cprodcode"), (mode, "csubprdcd"), (kind, "cpacktype")], take, True)
+    keys = [(product, "cprodcode"), (mode, "csubprdcd"), (kind, "cpacktype")]
+    return lookup(facts, pack, keys, take, null_as_sentinel=True, single=single)
 
 
-def with_group_name(facts: DataFrame, group: DataFrame) -> DataFrame:
+def with_group_name(facts: DataFrame, group: DataFrame, single: bool = False) -> DataFrame:
     """Group name through the company group looked up before."""
-    return lookup(facts, group, [(F.col("cust_ccompgrp"), "ccompgrp")], {"ccompname": "cgrpname"})
+    return lookup(facts, group, [(F.col("cust_ccompgrp"), "ccompgrp")], {"ccompname": "cgrpname"}, single=single)
 
 
 def enrich_shipment(
-    facts: DataFrame, customer: DataFrame, pack: DataFrame, group: DataFrame, field=F.col
+    facts: DataFrame,
+    customer: DataFrame,
+    pack: DataFrame,
+    group: DataFrame,
+    field: Callable[[str], Column] = F.col,
+    single: bool = False,
 ) -> DataFrame:
     """Customer, product and group columns of a shipment or client-detail frame.
 
@@ -88,11 +110,11 @@ def enrich_shipment(
     """
     area = fallback(field("cbtparea"), field("corgarea"))
     code = fallback(field("cbtpcode"), field("ccustcode"))
-    out = with_customer(facts, customer, area, code)
-    out = with_pack(out, pack, field("cprodcode"), field("cmode"), field("cpacktype"))
-    return with_group_name(out, group)
+    out = with_customer(facts, customer, area, code, single)
+    out = with_pack(out, pack, field("cprodcode"), field("cmode"), field("cpacktype"), single)
+    return with_group_name(out, group, single)
 
 
-def enrich_pickup(facts: DataFrame, customer: DataFrame, group: DataFrame) -> DataFrame:
+def enrich_pickup(facts: DataFrame, customer: DataFrame, group: DataFrame, single: bool = False) -> DataFrame:
     """Company group and its name on pickup calls, by the raw area and customer code."""
-    return with_group_name(with_customer(facts, customer, "carea", "ccustcode"), group)
+    return with_group_name(with_customer(facts, customer, "carea", "ccustcode", single), group, single)

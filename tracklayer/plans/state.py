@@ -1,16 +1,17 @@
-"""Keyed state on plain parquet: a base plus an append-only log of batches.
-
-A row key holds one *latest* column per family (last write wins, a family absent from a batch stays untouched) and
-one *journey* column per growing family (batches append). An upsert only appends its own rows, so a batch costs its
-own size and never a rewrite of the table; readers fold the log over the base by key, and ``compact`` writes the fold
-as the next base. One-row control records, written last, say which base and which batches count: a batch that failed
-half-way is invisible and is overwritten when it is tried again, and a batch id that was committed before is a no-op.
+"""Keyed state on plain parquet: a base plus an append-only log of commits.
+
+A row key holds one *latest* column per family (last write wins, a family absent from a commit stays untouched) and one
+*journey* column per growing family (commits append). An upsert only appends its own rows, so a batch costs its own
+size and never a rewrite of the table; readers fold the log over the base by key, and ``compact`` writes the fold as
+the next base. One-row control records, written last, say which base and which commits count: a commit that failed
+half-way is invisible and is overwritten when it is tried again, and a batch its writer committed before is a no-op.
+A table has one writing job at a time.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,30 +20,39 @@ from pyspark.sql import types as T
 
 from tracklayer.functions.text import is_missing
 from tracklayer.layouts import EVENT_SEP
+from tracklayer.sources import paths
 
 _CONTROL = T.StructType(
     [
         T.StructField("version", T.LongType()),
         T.StructField("base", T.LongType()),
-        T.StructField("base_batch", T.LongType()),
-        T.StructField("last_batch", T.LongType()),
+        T.StructField("base_commit", T.LongType()),
+        T.StructField("writers", T.MapType(T.StringType(), T.LongType())),
     ]
 )
-_BEFORE_ALL = -1
+_BASE_COMMIT = 0  # orders the base before all commits
 
 
 @dataclass(frozen=True)
-class Commit:
-    """What a reader may see: the base version, the last batch folded into it, and the last batch committed."""
+class Snapshot:
+    """What a reader may see: the last commit, the base, the last commit folded into it, and each writer's batch."""
 
     version: int = 0
     base: int = 0
-    base_batch: int = _BEFORE_ALL
-    last_batch: int = _BEFORE_ALL
+    base_commit: int = 0
+    writers: dict[str, int] = field(default_factory=dict)
+
+    @property
+    def has_log(self) -> bool:
+        return self.version > self.base_commit
 
 
 class StateTable:
-    """One keyed table of family columns."""
+    """One keyed table of family columns.
+
+    ``sentinel`` says what a stored journey equal to the sentinel is worth when events are appended to it:
+    ``reference`` keeps it as text, ``strict`` treats it as nothing.
+    """
 
     def __init__(
         self,
@@ -64,103 +74,125 @@ class StateTable:
     def schema(self) -> T.StructType:
         return T.StructType([T.StructField(c, T.StringType()) for c in ("PK", *self.families)])
 
-    def commit_record(self) -> Commit:
+    def snapshot(self) -> Snapshot:
         try:
-            rows = self.spark.read.schema(_CONTROL).parquet(f"{self.path}/control")
-            row = rows.agg(F.max(F.struct(*_CONTROL.names)).alias("c")).select("c.*").first()
+            records = self.spark.read.schema(_CONTROL).parquet(f"{self.path}/control")
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return Commit()
-        return Commit(**row.asDict()) if row and row.version is not None else Commit()
+            return Snapshot()
+        row = records.agg(F.max_by(F.struct(*_CONTROL.names), F.struct("version", "base")).alias("s")).first()
+        return Snapshot(**row.s.asDict()) if row.s else Snapshot()
+
+    def committed(self, writer: str, batch_id: int) -> bool:
+        return batch_id <= self.snapshot().writers.get(writer, -1)
 
-    def upsert(self, delta: DataFrame, batch_id: int) -> bool:
+    def upsert(self, delta: DataFrame, batch_id: int, writer: str = "batch", replace_journeys: bool = False) -> bool:
         """Append a batch: ``PK``, any of the families, and optionally ``part`` ordering journey rows of one key.
 
-        A key may have several rows, at most one of which sets a given latest family. False if already committed.
+        A key may have several rows, at most one of which sets a given latest family. ``replace_journeys`` makes the
+        batch's journeys replace stored ones. False if this writer committed the batch (or a later one) before.
         """
-        now = self.commit_record()
-        if batch_id <= now.last_batch:
+        now = self.snapshot()
+        if batch_id <= now.writers.get(writer, -1):
             return False
-        part = F.col("part").cast("string") if "part" in delta.columns else F.lit("")
+        version = now.version + 1
+        part = F.col("part").cast("string") if "part" in delta.columns else F.lit(None).cast("string")
         families = [(F.col(f) if f in delta.columns else F.lit(None)).cast("string").alias(f) for f in self.families]
-        rows = delta.select("PK", part.alias("part"), *families)
-        rows.write.mode("overwrite").parquet(f"{self.path}/log/batch_id={batch_id}")
-        self._commit(Commit(now.version + 1, now.base, now.base_batch, batch_id))
+        rows = delta.select("PK", part.alias("part"), F.lit(replace_journeys).alias("replaces"), *families)
+        rows.write.mode("overwrite").parquet(f"{self.path}/log/commit={version}")
+        self._record(Snapshot(version, now.base, now.base_commit, {**now.writers, writer: batch_id}))
         return True
 
-    def _commit(self, commit: Commit) -> None:
-        values = [F.lit(getattr(commit, c)).cast("long").alias(c) for c in _CONTROL.names]
-        record = self.spark.range(1).select(*values)
-        record.coalesce(1).write.mode("append").parquet(f"{self.path}/control")
-
-    def _log(self, commit: Commit) -> DataFrame | None:
-        """Committed rows that are not yet in the base; the batch range prunes directories."""
-        if commit.last_batch <= commit.base_batch:
-            return None
-        schema = T.StructType(
-            [self.schema["PK"], T.StructField("part", T.StringType()), *self.schema.fields[1:]]
-        ).add("batch_id", T.LongType())
+    def _record(self, snapshot: Snapshot) -> None:
+        writers = [v for w, b in snapshot.writers.items() for v in (F.lit(w), F.lit(b).cast("long"))]
+        numbers = [F.lit(getattr(snapshot, c)).cast("long").alias(c) for c in _CONTROL.names[:3]]
+        row = self.spark.range(1).select(*numbers, F.create_map(*writers).alias("writers"))
+        row.coalesce(1).write.mode("append").parquet(f"{self.path}/control")
+
+    def _log(self, now: Snapshot) -> DataFrame:
+        """Committed rows that are not yet in the base; the commit range prunes directories."""
+        extra = [T.StructField("part", T.StringType()), T.StructField("replaces", T.BooleanType())]
+        schema = T.StructType([*self.schema.fields, *extra, T.StructField("commit", T.LongType())])
         log = self.spark.read.schema(schema).parquet(f"{self.path}/log")
-        return log.filter(F.col("batch_id").between(commit.base_batch + 1, commit.last_batch))
+        return log.filter(F.col("commit").between(now.base_commit + 1, now.version))
+
+    def _base(self, now: Snapshot) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(f"{self.path}/base/v={now.base}")
 
-    def _base(self, commit: Commit) -> DataFrame | None:
-        if commit.base == 0:
-            return None
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/base/v={commit.base}")
+    def _rows(self, now: Snapshot, families: Sequence[str]) -> DataFrame:
+        """Base and log rows side by side: ``PK, commit, part, replaces`` and the families."""
+        rows = self._log(now).select("PK", "commit", "part", "replaces", *families)
+        if not now.base:
+            return rows
+        stamps = [F.lit(_BASE_COMMIT).cast("long").alias("commit"), F.lit(None).cast("string").alias("part")]
+        return self._base(now).select("PK", *stamps, F.lit(False).alias("replaces"), *families).unionByName(rows)
 
     def read(self, families: Sequence[str] | None = None) -> DataFrame:
         """One row per key with the chosen families. After a compaction this is a plain pruned scan, no shuffle."""
         wanted = [f for f in self.families if families is None or f in families]
-        commit = self.commit_record()
-        base, log = self._base(commit), self._log(commit)
-        if log is None:
-            if base is None:
-                return self.spark.createDataFrame([], self.schema).select("PK", *wanted)
-            return base.select("PK", *wanted)
-        rows = log.select("PK", "batch_id", "part", *wanted)
-        if base is not None:
-            before = [F.lit(_BEFORE_ALL).cast("long").alias("batch_id"), F.lit("").alias("part")]
-            rows = base.select("PK", *before, *wanted).unionByName(rows)
-        order = F.struct("batch_id", "part")
-        folded = [self._newest(f, order) if f in self.latest else self._journey(f) for f in wanted]
-        return rows.groupBy("PK").agg(*folded) if folded else rows.select("PK").distinct()
-
-    def _newest(self, family: str, order: Column) -> Column:
-        return F.max_by(family, F.when(F.col(family).isNotNull(), order)).alias(family)
+        now = self.snapshot()
+        if not now.has_log:
+            stored = self._base(now) if now.base else self.spark.createDataFrame([], self.schema)
+            return stored.select("PK", *wanted)
+        rows = self._rows(now, wanted)
+        if not wanted:
+            return rows.select("PK").distinct()
+        return rows.groupBy("PK").agg(*(self._newest(f) if f in self.latest else self._journey(f) for f in wanted))
+
+    def _newest(self, family: str) -> Column:
+        return F.max_by(family, F.when(F.col(family).isNotNull(), F.struct("commit", "part"))).alias(family)
 
     def _journey(self, family: str) -> Column:
         counts = F.col(family).isNotNull() if self.sentinel == "reference" else ~is_missing(family)
-        pieces = F.collect_list(F.when(counts, F.struct("batch_id", "part", F.col(family).alias("text"))))
-        joined = F.array_join(F.transform(F.sort_array(pieces), lambda p: p["text"]), EVENT_SEP)
-        return F.when(F.size(pieces) > 0, joined).alias(family)
+        pieces = F.collect_list(F.when(counts, F.struct("commit", "part", F.col(family).alias("text"))))
+        start = F.coalesce(F.max(F.when(counts & F.col("replaces"), F.col("commit"))), F.lit(_BASE_COMMIT))
+        valid = F.filter(F.sort_array(pieces), lambda p: p["commit"] >= start)
+        joined = F.array_join(F.transform(valid, lambda p: p["text"]), EVENT_SEP)
+        return F.when(F.size(valid) > 0, joined).alias(family)
 
     def journey_rows(self, family: str) -> DataFrame:
-        """``(PK, batch_id, part, text)``: a journey as ordered rows, for keys too long for one cell. No shuffle."""
-        commit = self.commit_record()
-        base, log = self._base(commit), self._log(commit)
-        columns = ["PK", "batch_id", "part", F.col(family).alias("text")]
-        empty = self.spark.createDataFrame([], "PK string, batch_id long, part string, text string")
-        rows = empty if log is None else log.select(*columns)
-        if base is not None:
-            stamps = [F.lit(_BEFORE_ALL).cast("long").alias("batch_id"), F.lit("").alias("part")]
-            rows = base.select("PK", *stamps, F.col(family).alias("text")).unionByName(rows)
-        return rows.filter(F.col("text").isNotNull())
+        """``(PK, commit, part, replaces, text)``: a journey as ordered rows, for keys too long for one cell.
+
+        No shuffle and no grouping; where a commit replaces journeys, rows of earlier commits are superseded.
+        """
+        now = self.snapshot()
+        if now.has_log:
+            rows = self._rows(now, [family])
+        else:
+            stored = self._base(now) if now.base else self.spark.createDataFrame([], self.schema)
+            stamps = [F.lit(_BASE_COMMIT).cast("long").alias("commit"), F.lit(None).cast("string").alias("part")]
+            rows = stored.select("PK", *stamps, F.lit(False).alias("replaces"), family)
+        return rows.withColumnRenamed(family, "text").filter(F.col("text").isNotNull())
 
     def compact(self) -> bool:
         """Write the fold of base and log as the next base. False if the log is empty.
 
         Key lookups on the base are pruned by parquet bloom filters on ``PK``.
         """
-        now = self.commit_record()
-        if now.last_batch <= now.base_batch:
+        now = self.snapshot()
+        if not now.has_log:
             return False
         target = now.base + 1
         writer = self.read().write.mode("overwrite").option("parquet.bloom.filter.enabled#PK", "true")
         writer.parquet(f"{self.path}/base/v={target}")
-        self._commit(Commit(now.version + 1, target, now.last_batch, now.last_batch))
+        self._record(Snapshot(now.version, target, now.version, now.writers))
         return True
 
+    def vacuum(self) -> None:
+        """Remove what no new reader sees: folded commits, older bases and all but the newest control record."""
+        now = self.snapshot()
+        for name in paths.child_names(self.spark, f"{self.path}/log"):
+            if name.startswith("commit=") and int(name.removeprefix("commit=")) <= now.base_commit:
+                paths.remove(self.spark, f"{self.path}/log/{name}")
+        for name in paths.child_names(self.spark, f"{self.path}/base"):
+            if name.startswith("v=") and int(name.removeprefix("v=")) < now.base:
+                paths.remove(self.spark, f"{self.path}/base/{name}")
+        records = self.spark.read.schema(_CONTROL).parquet(f"{self.path}/control")
+        old = records.filter((F.col("version") < now.version) | (F.col("base") < now.base))
+        for row in old.select(F.input_file_name().alias("f")).collect():
+            paths.remove(self.spark, row.f)
+
 
 def merge(base: DataFrame, delta: DataFrame, families: Sequence[str]) -> DataFrame:
     """Keyed upsert of two wide frames: delta values win, families and keys missing from the delta stay."""
