@@ -48,19 +48,21 @@ def latest_records(kv: DataFrame, order: Sequence[str] = ("op_ts",)) -> DataFram
     return latest_per_key(kv, ["PK"], order).select("PK", "CT_COL")
 
 
-def pivot_families(frames: Mapping[str, DataFrame], order: Sequence[str] = ("op_ts",)) -> DataFrame:
+def pivot_records(stacked: DataFrame, families: Sequence[str], order: Sequence[str] = ("op_ts",)) -> DataFrame:
     """One row per key with the latest record of every family as its own column, in a single shuffle.
 
-    ``frames`` maps a family code to ``(PK, CT_COL, *order)``. Keys that lack a family get NULL there.
+    ``stacked`` holds ``(family, PK, CT_COL, *order)``. Keys that lack a family get NULL there.
     """
-    stacked = reduce(
-        DataFrame.unionByName,
-        [f.select(F.lit(name).alias("_family"), "PK", "CT_COL", *order) for name, f in frames.items()],
-    )
     ranked = F.struct(*order, "CT_COL")
-    newest = {name: F.max(F.when(F.col("_family") == name, ranked)) for name in frames}
-    wide = stacked.groupBy("PK").agg(*(c.alias(n) for n, c in newest.items()))
-    return wide.select("PK", *(F.col(f"{n}.CT_COL").alias(n) for n in frames))
+    newest = [F.max(F.when(F.col("family") == name, ranked)).alias(name) for name in families]
+    wide = stacked.groupBy("PK").agg(*newest)
+    return wide.select("PK", *(F.col(f"{name}.CT_COL").alias(name) for name in families))
+
+
+def pivot_families(frames: Mapping[str, DataFrame], order: Sequence[str] = ("op_ts",)) -> DataFrame:
+    """``pivot_records`` of one frame ``(PK, CT_COL, *order)`` per family."""
+    stacked = [df.select(F.lit(name).alias("family"), "PK", "CT_COL", *order) for name, df in frames.items()]
+    return pivot_records(reduce(DataFrame.unionByName, stacked), list(frames), order)
 
 
 def contact_pair(

@@ -20,18 +20,20 @@ from tracklayer.layouts import EVENT_SEP
 SLICE_CHARS = 13  # date and hour of a leading "yyyy-MM-dd HH:mm:ss"
 
 
-def event_text(fields: Sequence[Column | str], suffix: str = "", op_type: Column | str | None = "op_type") -> Column:
+def event_text(
+    fields: Sequence[Column | str], suffix: Column | str = "", op_type: Column | str | None = "op_type"
+) -> Column:
     """One event: its fields, NULLs kept as empty places, a suffix naming the leg and the change type.
 
     NULL when the change type is NULL, so such a row adds no event.
     """
-    parts = [record([or_empty(f) for f in fields]), F.lit(suffix)]
+    parts = [record([or_empty(f) for f in fields]), suffix if isinstance(suffix, Column) else F.lit(suffix)]
     if op_type is not None:
         parts += [F.lit(":"), F.col(op_type) if isinstance(op_type, str) else op_type]
     return F.concat(*parts)
 
 
-def status_event(suffix: str) -> Column:
+def status_event(suffix: Column | str) -> Column:
     """Event of an inbound (``@IB``) or outbound (``@OB``) status row joined to the status master."""
     code = F.concat(or_empty("cstattype"), or_empty("cstatcode"))
     return event_text(["dstatdate", code, "cloccode", "cemplcode", "stat_cstatgroup", "stat_cstatdesc"], suffix)

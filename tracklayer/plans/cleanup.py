@@ -34,7 +34,7 @@ def run_cleanup(
     layers: Layers, *, as_of: AsOf, batch_id: int, codes: Sequence[str] = CLOSURE_CODES, days: int = HELD_DAYS
 ) -> bool:
     """Re-derive status and status date of every stored key."""
-    pl = layers.persistent.read(["ABM", "SLT", "PDJ", "DLS", "DTS"])
+    pl = layers.persistent.read(["ABM", "SLT", "PDJ", "DLS", "DTS"], marks=["ABM", "SLT"])
     return layers.persistent.upsert(reclassify(pl, codes, as_of=as_of, days=days), batch_id, "cleanup")
 
 

@@ -18,8 +18,6 @@ from tracklayer.plans.state import StateTable
 from tracklayer.session import materialise
 from tracklayer.sources.masters import Masters
 
-_CONTROL_ROW = T.StructType([T.StructField("PK", T.StringType()), T.StructField("PL", T.StringType())])
-
 
 class Layers:
     """Incremental layer, keyed state tables and batch control below one root folder."""
@@ -41,6 +39,22 @@ class Layers:
         self.pickup = table("pickup", ["CPS", "LTS"], ["CPJ"])
         self.contact = table("contact", ["ADT"])
         self.deleted = table("deleted", ["DEL"])
+        self.control = table("control", ["PL"])
+
+    def tables(self) -> dict[str, StateTable]:
+        return {
+            "persistent": self.persistent,
+            "link": self.link,
+            "pickup": self.pickup,
+            "contact": self.contact,
+            "deleted": self.deleted,
+            "batch_control": self.control,
+        }
+
+    def register_views(self, prefix: str = "") -> None:
+        """Make the current state of every table queryable in SQL under its name."""
+        for name, state in self.tables().items():
+            state.read().createOrReplaceTempView(prefix + name)
 
     def incremental(self, bundle: Mapping[str, DataFrame]) -> DataFrame:
         """``PK`` and the latest record of each family of this batch, all families in one shuffle."""
@@ -71,7 +85,7 @@ class Layers:
         unknown = bundle.keys() - ROUTES.keys()
         if unknown:
             raise ValueError(f"no route for {sorted(unknown)}")
-        if self.contact.committed(writer, batch_id):
+        if self.control.committed(writer, batch_id):
             return False
         il = materialise(self.incremental(bundle), f"{self.root}/incremental")
         stamp = self._stamp(il)
@@ -100,28 +114,16 @@ class Layers:
             self.pickup.upsert(_stack(pickup), **done)
         if "DEL" in bundle:
             self.deleted.upsert(latest_of(bundle["DEL"], "DEL"), **done)
-        if stamp is not None:
-            self._write_control(stamp)
-        # The contact table closes the batch, so it commits even when it has no rows.
-        contacts = latest_of(bundle["ADT"], "ADT") if "ADT" in bundle else self._no_rows("ADT")
-        self.contact.upsert(contacts, **done)
+        if "ADT" in bundle:
+            self.contact.upsert(latest_of(bundle["ADT"], "ADT"), **done)
+        # Key 1 -> load timestamp. A batch without stamps leaves it, but is closed all the same.
+        self.control.upsert(self.spark.range(1).select(F.lit("1").alias("PK"), F.lit(stamp).alias("PL")), **done)
         return True
 
     def _stamp(self, il: DataFrame) -> str | None:
         stamps = batch_stamps(il, self.layouts)
         return self.spark.range(1).select(load_ts_text(il, stamps)).first()[0] if stamps else None
 
-    def _no_rows(self, family: str) -> DataFrame:
-        return self.spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in ("PK", family)]))
-
-    def _write_control(self, stamp: str) -> None:
-        row = self.spark.range(1).select(F.lit("1").alias("PK"), F.lit(stamp).alias("PL"))
-        row.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/batch_control")
-
-    def batch_control(self) -> DataFrame:
-        """``(PK, PL)``: key ``1`` and the load timestamp of the last batch."""
-        return self.spark.read.schema(_CONTROL_ROW).parquet(f"{self.root}/batch_control")
-
 
 def _with_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.select("PK", "CT_COL", *(n if n in df.columns else F.lit(None).cast("string").alias(n) for n in names))

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tracklayer.functions.text import is_missing
-from tracklayer.layouts import EVENT_SEP
+from tracklayer.layouts import EVENT_SEP, NA
 from tracklayer.sources import paths
 
 _CONTROL = T.StructType(
@@ -128,14 +128,19 @@ class StateTable:
         stamps = [F.lit(_BASE_COMMIT).cast("long").alias("commit"), F.lit(None).cast("string").alias("part")]
         return self._base(now).select("PK", *stamps, F.lit(False).alias("replaces"), *families).unionByName(rows)
 
-    def read(self, families: Sequence[str] | None = None) -> DataFrame:
-        """One row per key with the chosen families. After a compaction this is a plain pruned scan, no shuffle."""
+    def read(self, families: Sequence[str] | None = None, marks: Sequence[str] = ()) -> DataFrame:
+        """One row per key with the chosen families. After a compaction this is a plain pruned scan, no shuffle.
+
+        Families named in ``marks`` are wanted for their presence only: a real record is read as ``*``, so that long
+        records are not shuffled to learn whether they are there.
+        """
         wanted = [f for f in self.families if families is None or f in families]
+        marked = {f: F.when(F.col(f) == NA, NA).when(F.col(f).isNotNull(), "*") for f in wanted if f in marks}
         now = self.snapshot()
         if not now.has_log:
             stored = self._base(now) if now.base else self.spark.createDataFrame([], self.schema)
-            return stored.select("PK", *wanted)
-        rows = self._rows(now, wanted)
+            return stored.select("PK", *wanted).withColumns(marked)
+        rows = self._rows(now, wanted).withColumns(marked)
         if not wanted:
             return rows.select("PK").distinct()
         return rows.groupBy("PK").agg(*(self._newest(f) if f in self.latest else self._journey(f) for f in wanted))

@@ -14,7 +14,14 @@ from pyspark.sql import functions as F
 
 from tracklayer.functions.text import field, or_na, restamped
 from tracklayer.layouts import NA, TOMBSTONE, Layout
-from tracklayer.operators.cdc import contact_pair, latest_per_key, latest_records, pivot_families, split_cdc
+from tracklayer.operators.cdc import (
+    contact_pair,
+    latest_per_key,
+    latest_records,
+    pivot_families,
+    pivot_records,
+    split_cdc,
+)
 from tracklayer.operators.codec import decode, encode, reencode, scrub
 from tracklayer.operators.enrich import enrich_pickup, enrich_shipment, lookup, with_customer, with_pack, with_status
 from tracklayer.operators.journey import append_journey, build_journey, events_of, journey_parts, status_event
@@ -29,12 +36,12 @@ from tracklayer.operators.status import (
     reformat_lts,
 )
 from tracklayer.plans.batch import BatchConfig, run_batch
-from tracklayer.plans.bundle import build_bundle
+from tracklayer.plans.bundle import status_journey
 from tracklayer.plans.cleanup import reload_alt
 from tracklayer.plans.layers import Layers
 from tracklayer.plans.promote import promote, promote_alternates
 from tracklayer.plans.state import StateTable, delete_keys, merge
-from tracklayer.session import work_path
+from tracklayer.session import materialise, work_path
 from tracklayer.sources.feed import parse, read_feed, source_table
 from tracklayer.sources.landing import latest_partition, select_batch, write_partitions
 from tracklayer.sources.masters import Masters, no_masters
@@ -69,14 +76,17 @@ def text_of(c: str) -> Column:
     return F.substring(F.col(c).cast("string"), 1, 19)
 
 
+def snapshot(master: DataFrame) -> DataFrame:
+    """A derived master as a written table, as masters are in practice: its size is then known to the planner."""
+    return materialise(master, work_path(master.sparkSession, "master"))
+
+
 # --- events as a status feed -----------------------------------------------------------------------------------------
 
 
 def _choose(pairs: dict[str, str], otherwise: str, on: str = "event_type") -> Column:
-    out = F
-    for value, result in pairs.items():
-        out = out.when(F.col(on) == value, result)
-    return out.otherwise(otherwise)
+    chosen = [F.when(F.col(on) == value, result) for value, result in pairs.items()]
+    return F.coalesce(*chosen, F.lit(otherwise))
 
 
 def status_rows(events: DataFrame) -> DataFrame:
@@ -117,7 +127,7 @@ def status_master(rows: DataFrame) -> DataFrame:
     """Statuses by (type, code), clicks missing."""
     known = rows.filter(F.col("event_type") != "click").select("cstattype", "cstatcode", "event_type").distinct()
     group, desc = F.concat(F.lit("G"), "cstattype"), F.upper("event_type")
-    return known.select("cstattype", "cstatcode", group.alias("cstatgroup"), desc.alias("cstatdesc"))
+    return snapshot(known.select("cstattype", "cstatcode", group.alias("cstatgroup"), desc.alias("cstatdesc")))
 
 
 STATUS_MASTER = """
@@ -158,10 +168,10 @@ e AS (SELECT DISTINCT r.cawbno AS pk, {EVENT_TEXT}
 
 
 def leg_events(rows: DataFrame) -> DataFrame:
-    master = status_master(rows)
-    legs = zip(_legs(rows.filter(F.col("op_type") != "D")), ("@IB", "@OB"))
-    first, second = (events_of(with_status(leg, master), "cawbno", status_event(suffix)) for leg, suffix in legs)
-    return first.unionByName(second)
+    """Events of both legs in one pass."""
+    suffix = F.when(F.col("event_type").isin("purchase", "view"), "@IB").otherwise("@OB")
+    known = with_status(rows.filter(F.col("op_type") != "D"), status_master(rows))
+    return events_of(known, "cawbno", status_event(suffix))
 
 
 @query(
@@ -169,7 +179,10 @@ def leg_events(rows: DataFrame) -> DataFrame:
 SELECT pk AS "PK", string_agg(j, '|' ORDER BY j) AS "CT_COL" FROM e GROUP BY pk"""
 )
 def journey_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build_journey(leg_events(status_rows(table(spark, sf_dir, "events"))))
+    rows = status_rows(table(spark, sf_dir, "events"))
+    inbound, outbound = _legs(rows)
+    masters = Masters(status_master(rows), *_other_masters(spark))
+    return build_journey(status_journey({"IBS": inbound, "OBS": outbound}, FEED_LAYOUTS, masters))
 
 
 @query(
@@ -258,11 +271,10 @@ SELECT cawbno AS "PK", max(CASE event_type WHEN 'click' THEN ct END) AS click,
 FROM k GROUP BY cawbno"""
 )
 def family_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = status_rows(table(spark, sf_dir, "events"))
+    rows = status_rows(table(spark, sf_dir, "events")).withColumnRenamed("event_type", "family")
     order = ["op_ts", "pos"]
-    kinds = ("click", "error", "purchase", "signup", "view")
-    frames = {k: encode(rows.filter(F.col("event_type") == k), EVENT_LAYOUT, order) for k in kinds}
-    return pivot_families(frames, order)
+    records = encode(rows, EVENT_LAYOUT, ["family", *order])
+    return pivot_records(records, ["click", "error", "purchase", "signup", "view"], order)
 
 
 # --- codec -----------------------------------------------------------------------------------------------------------
@@ -330,7 +342,7 @@ def dim_two_key(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lower("l_linestatus").alias("cstatdesc"),
     )
     columns = ["l_orderkey", "l_linenumber", "l_partkey", "l_returnflag", "l_linestatus"]
-    return with_status(facts.select(*columns), master.distinct(), "l_returnflag", "l_linestatus")
+    return with_status(facts.select(*columns), snapshot(master.distinct()), "l_returnflag", "l_linestatus")
 
 
 def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -388,7 +400,7 @@ def order_masters(spark: SparkSession, sf_dir: str) -> Masters:
     region = table(spark, sf_dir, "region")
     group = region.select(F.col("r_regionkey").cast("string").alias("ccompgrp"), F.col("r_name").alias("ccompname"))
     rows = status_rows(table(spark, sf_dir, "events"))
-    return Masters(status_master(rows), customer, pack, group)
+    return Masters(status_master(rows), snapshot(customer), snapshot(pack), group)
 
 
 ORDER_MASTERS = """
@@ -475,12 +487,15 @@ def pickup_enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- status and dates ------------------------------------------------------------------------------------------------
 
 
-def _latest_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _leg_records(rows: DataFrame) -> DataFrame:
     """Latest inbound and outbound record of each shipment, encoded."""
-    inbound, outbound = _legs(status_rows(table(spark, sf_dir, "events")))
+    leg = F.when(F.col("event_type").isin("purchase", "view"), "IBS").otherwise("OBS")
     order = ["op_ts", "pos"]
-    frames = {"IBS": encode(inbound, EVENT_LAYOUT, order), "OBS": encode(outbound, EVENT_LAYOUT, order)}
-    return pivot_families(frames, order)
+    return pivot_records(encode(rows.withColumn("family", leg), EVENT_LAYOUT, ["family", *order]), ["IBS", "OBS"], order)
+
+
+def _latest_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _leg_records(status_rows(table(spark, sf_dir, "events")))
 
 
 LATEST_LEGS = f"""
@@ -650,9 +665,7 @@ def _two_batches(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     master = status_master(rows)
     out = []
     for half in (rows.filter(F.col("op_ts") < SPLIT), rows.filter(F.col("op_ts") >= SPLIT)):
-        order = ["op_ts", "pos"]
-        legs = dict(zip(("IBS", "OBS"), _legs(half)))
-        records = pivot_families({f: encode(df, EVENT_LAYOUT, order) for f, df in legs.items()}, order)
+        records = _leg_records(half)
         live = half.filter(F.col("op_type") != "D")
         parts = journey_parts(events_of(with_status(live, master), "cawbno", status_event("@IB")))
         journeys = parts.select("PK", "part", F.col("CT_COL").alias("PDJ"))

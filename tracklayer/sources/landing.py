@@ -57,8 +57,12 @@ def latest_partition(batch: DataFrame) -> DataFrame:
 
 
 def write_partitions(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write a landed table: one directory per load stamp."""
-    df.write.mode(mode).partitionBy("load_ts").parquet(path)
+    """Write a landed table: one directory per load stamp.
+
+    Rows are rebalanced by stamp first, so that each directory gets few files of the advisory size, and a stamp that
+    holds much of the data is split over several tasks.
+    """
+    df.hint("rebalance", "load_ts").write.mode(mode).partitionBy("load_ts").parquet(path)
 
 
 def load_stamps(batch: DataFrame) -> list[int]:
