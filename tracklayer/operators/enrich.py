@@ -43,9 +43,8 @@ def lookup(
     right = master.select(*keys, *(F.col(c).alias(n) for c, n in take.items()))
     if single:
         right = one_per_key(right, names)
-    left = facts.withColumns({f"_f{i}": expr for i, (expr, _) in enumerate(on)})
-    condition = [F.col(f"_f{i}") == F.col(n) for i, n in enumerate(names)]
-    return left.join(right, condition, "left").select(*facts.columns, *take.values())
+    condition = [expr == F.col(n) for (expr, _), n in zip(on, names)]
+    return facts.join(right, condition, "left").select(*facts.columns, *take.values())
 
 
 def with_status(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,6 +13,7 @@ from tracklayer.layouts import SOURCE_TABLES, Layout
 from tracklayer.operators.status import CLOSURE_CODES, as_stamp
 from tracklayer.plans.bundle import build_bundle
 from tracklayer.plans.layers import Layers
+from tracklayer.session import concurrently
 from tracklayer.sources import paths
 from tracklayer.sources.landing import (
     SAFETY_LAG_SECONDS,
@@ -51,16 +53,18 @@ def stage_batch(spark: SparkSession, config: BatchConfig, as_of: datetime) -> in
     """Write what is due of every table to a fresh staging folder; its number, or None if nothing is due."""
     batch_id = as_stamp(as_of)
     folder = f"{config.staging}/{batch_id}"
-    staged = False
-    for family, table in config.sources().items():
+
+    def stage(family: str, table: str) -> bool:
         schema = config.layouts[family].landed_schema()
         landed = read_landing(spark, f"{config.landing}/{table}", schema)
         last = read_parquet_or_none(spark, f"{config.last}/{table}", schema)
         due = select_batch(landed, last, as_of, config.lag_seconds)
-        if not due.isEmpty():
-            write_partitions(due, f"{folder}/{table}")
-            staged = True
-    if not staged:
+        if due.isEmpty():
+            return False
+        write_partitions(due, f"{folder}/{table}")
+        return True
+
+    if not any(concurrently(spark, *(partial(stage, f, t) for f, t in config.sources().items()))):
         return None
     spark.range(1).coalesce(1).write.mode("overwrite").parquet(f"{folder}/{_READY}")
     return batch_id
@@ -114,9 +118,12 @@ def run_batch(
         codes=config.codes,
         keep_status=config.keep_status,
     )
-    for family, rows in changes.items():
+
+    def close(family: str, rows: DataFrame) -> None:
         table = config.sources()[family]
         archive_batch(spark, config, table, load_stamps(rows))
         write_partitions(latest_partition(rows), f"{config.last}/{table}")
+
+    concurrently(spark, *(partial(close, f, rows) for f, rows in changes.items()))
     paths.remove(spark, f"{config.staging}/{batch_id}")
     return batch_id

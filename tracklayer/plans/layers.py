@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import datetime
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from tracklayer.operators.status import CLOSURE_CODES, load_ts_text
 from tracklayer.plans.bundle import RECORD_FAMILIES, ROUTES, latest_of
 from tracklayer.plans.promote import batch_stamps, promote, promote_alternates
 from tracklayer.plans.state import StateTable
-from tracklayer.session import materialise
+from tracklayer.session import concurrently, materialise
 from tracklayer.sources.masters import Masters
 
 
@@ -103,19 +104,17 @@ class Layers:
         instructions = promote_alternates(il, self.layouts) if "SRT" in il.columns else None
         links = il.select("PK", "ALK").filter(F.col("ALK").isNotNull()) if "ALK" in il.columns else None
         journeys = [_journey(bundle[f], f) for f in ("PDJ", "SFJ") if f in bundle]
-        self.persistent.upsert(_stack([plain, instructions, links, *journeys]), **done)
-
-        linked = _stack([instructions, links])
-        if linked is not None:
-            self.link.upsert(linked, **done)
         pickup = [latest_of(bundle[f], f) for f in ("CPS", "LTS") if f in bundle]
         pickup += [_journey(bundle["CPJ"], "CPJ")] if "CPJ" in bundle else []
-        if pickup:
-            self.pickup.upsert(_stack(pickup), **done)
-        if "DEL" in bundle:
-            self.deleted.upsert(latest_of(bundle["DEL"], "DEL"), **done)
-        if "ADT" in bundle:
-            self.contact.upsert(latest_of(bundle["ADT"], "ADT"), **done)
+        deltas = {
+            self.persistent: _stack([plain, instructions, links, *journeys]),
+            self.link: _stack([instructions, links]),
+            self.pickup: _stack(pickup),
+            self.contact: latest_of(bundle["ADT"], "ADT") if "ADT" in bundle else None,
+            self.deleted: latest_of(bundle["DEL"], "DEL") if "DEL" in bundle else None,
+        }
+        jobs = [partial(t.upsert, df, **done) for t, df in deltas.items() if df is not None]
+        concurrently(self.spark, *jobs)
         # Key 1 -> load timestamp. A batch without stamps leaves it, but is closed all the same.
         self.control.upsert(self.spark.range(1).select(F.lit("1").alias("PK"), F.lit(stamp).alias("PL")), **done)
         return True

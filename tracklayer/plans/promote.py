@@ -20,20 +20,15 @@ PLAIN = ("MDP", "MOD", "SFM")
 PROMOTED = ("ABM", "IBS", "OBS", "SLT", "MDP", "MOD", "SFM", "DLS", "DTS", "LTS")
 
 
-class _Records:
-    """Fields of the families of an incremental row, while still encoded. Families without a layout are left alone."""
+# Fields the promotion rules read, by family.
+_STATUS_FIELDS = ("cstattype", "cstatcode")
+_SHIPMENT_FIELDS = ("cbtparea", "corgarea", "cbtpcode", "ccustcode", "cprodcode", "cmode", "cpacktype")
+READ_FIELDS = {"IBS": _STATUS_FIELDS, "OBS": _STATUS_FIELDS, "ABM": _SHIPMENT_FIELDS, "SLT": _SHIPMENT_FIELDS}
 
-    def __init__(self, il: DataFrame, layouts: Mapping[str, Layout]):
-        self.families = [f for f in il.columns if f in layouts]
-        self.layouts = layouts
 
-    def field(self, family: str, column: str) -> Column:
-        if family not in self.families:
-            return F.lit(None).cast("string")
-        return field(family, self.layouts[family].position(column))
-
-    def key(self, family: str) -> Column:
-        return self.field(family, self.layouts[family].key) if family in self.families else F.lit(None).cast("string")
+def record_field(layouts: Mapping[str, Layout], family: str, column: str) -> Column:
+    """Field of a family's encoded record."""
+    return field(family, layouts[family].position(column))
 
 
 def has_key(key: Column) -> Column:
@@ -43,9 +38,8 @@ def has_key(key: Column) -> Column:
 
 def batch_stamps(il: DataFrame, layouts: Mapping[str, Layout]) -> list[Column]:
     """Load stamps of all stamped families of an incremental frame, as numbers."""
-    records = _Records(il, layouts)
-    present = [f for f in STAMPED if f in records.families and "load_ts" in layouts[f].columns]
-    return [records.field(f, "load_ts").try_cast("long") for f in present]
+    present = [f for f in STAMPED if f in il.columns and "load_ts" in layouts[f].columns]
+    return [record_field(layouts, f, "load_ts").try_cast("long") for f in present]
 
 
 def promote(
@@ -63,55 +57,66 @@ def promote(
     ``il`` holds ``PK`` and encoded record families. A key without an inbound or outbound record has its status reset
     to the sentinel, unless ``keep_status`` leaves the stored one. ``load_ts`` defaults to the batch's greatest stamp.
     """
-    r = _Records(il, layouts)
-    status_rows = has_key(r.key("IBS")) | has_key(r.key("OBS"))
-    status = F.when(
-        status_rows,
-        delivery_status(
-            r.field("IBS", "cstattype"),
-            r.field("IBS", "cstatcode"),
-            r.field("OBS", "cstattype"),
-            r.field("OBS", "cstatcode"),
-            codes,
-        ),
-    )
+    present = [f for f in PROMOTED if f in il.columns and f in layouts]
+
+    def name(family: str, column: str) -> str:
+        return f"_{family}_{column}"
+
+    def read(family: str, column: str) -> Column:
+        return F.col(name(family, column)) if family in present else F.lit(None).cast("string")
+
+    # One projection takes all fields the rules need out of the records, so that a long record is split once.
+    fields = {
+        name(f, c): record_field(layouts, f, c) for f in present for c in (layouts[f].key, *READ_FIELDS.get(f, ()))
+    }
+    out = il.withColumns(fields)
+
+    legs = [read(f, c) for f in ("IBS", "OBS") for c in _STATUS_FIELDS]
+    keyed = [has_key(read(f, layouts[f].key)) for f in ("IBS", "OBS") if f in present]
+    status = F.when(keyed[0] | keyed[-1], delivery_status(*legs, codes=codes)) if keyed else F.lit(None).cast("string")
     if load_ts is None:
         stamps = batch_stamps(il, layouts)
         load_ts = load_ts_text(il, stamps) if stamps else F.lit(None).cast("string")
 
-    out = il.withColumns(
-        {
-            "DLS": status if keep_status else or_na(status),
-            "DTS": closure_ts(status, as_of),
-            "LTS": load_ts,
-            **{f: F.when(r.key(f).isNotNull(), reencode(F.col(f), layouts[f])) for f in PLAIN if f in r.families},
-        }
-    )
-    keep = [*il.columns, "DLS", "DTS", "LTS"]
     for family in ("IBS", "OBS"):
-        if family in r.families:
-            kind, code = r.field(family, "cstattype"), r.field(family, "cstatcode")
-            named = with_status(out, masters.status, kind, code, single=True)
-            out = _with_record(named, family, layouts[family], STATUS_EXTRA).select(*keep)
+        if family in present:
+            out = with_status(out, masters.status, *(read(family, c) for c in _STATUS_FIELDS), single=True)
+            out = _re_record(out, family, layouts[family], STATUS_EXTRA)
     for family in ("ABM", "SLT"):
-        if family in r.families:
-            known = enrich_shipment(
-                out, masters.customer, masters.pack, masters.group, lambda c, f=family: r.field(f, c), single=True
+        if family in present:
+            out = enrich_shipment(
+                out, masters.customer, masters.pack, masters.group, lambda c, f=family: read(f, c), single=True
             )
-            out = _with_record(known, family, layouts[family], CUSTOMER_EXTRA).select(*keep)
-    return out.select("PK", *(c for c in PROMOTED if c in out.columns))
-
-
-def _with_record(df: DataFrame, family: str, layout: Layout, extra: Sequence[str]) -> DataFrame:
+            out = _re_record(out, family, layouts[family], CUSTOMER_EXTRA)
+
+    plain = {
+        f: F.when(read(f, layouts[f].key).isNotNull(), reencode(F.col(f), layouts[f])).alias(f)
+        for f in PLAIN
+        if f in present
+    }
+    derived = {
+        "DLS": (status if keep_status else or_na(status)).alias("DLS"),
+        "DTS": closure_ts(status, as_of).alias("DTS"),
+        "LTS": load_ts.alias("LTS"),
+    }
+    return out.select("PK", *({**plain, **derived}.get(f, F.col(f)) for f in PROMOTED if f in present or f in derived))
+
+
+def _re_record(df: DataFrame, family: str, layout: Layout, extra: Sequence[str]) -> DataFrame:
+    """The family's persistent record with the looked-up columns appended, which are then dropped."""
+    first = F.col(f"_{family}_{layout.key}")
     record = reencode(F.col(family), layout, [F.col(c) for c in extra])
-    first = field(family, 0)
-    return df.withColumn(family, F.when(first == TOMBSTONE, TOMBSTONE).when(first.isNotNull(), record))
+    text = F.when(first == TOMBSTONE, TOMBSTONE).when(first.isNotNull(), record)
+    return df.withColumn(family, text).drop(*extra)
 
 
 def promote_alternates(il: DataFrame, layouts: Mapping[str, Layout]) -> DataFrame:
     """``(PK, SRT, SRT_AFLG, SRJ)`` of keys with an alternate instruction: its record, a flag, and its event."""
-    r = _Records(il, layouts)
-    fields = [r.field("SRT", "dentdate"), r.field("SRT", "cremarks")]
-    event = event_text(fields, op_type=r.field("SRT", "op_type"))
-    rows = il.filter(has_key(r.key("SRT")))
-    return rows.select("PK", reencode(F.col("SRT"), layouts["SRT"]).alias("SRT"), F.lit("Y").alias("SRT_AFLG"), event.alias("SRJ"))
+    layout = layouts["SRT"]
+    date, remark, kind, key = (record_field(layouts, "SRT", c) for c in ("dentdate", "cremarks", "op_type", layout.key))
+    return il.filter(has_key(key)).select(
+        "PK",
+        reencode(F.col("SRT"), layout).alias("SRT"),
+        F.lit("Y").alias("SRT_AFLG"),
+        event_text([date, remark], op_type=kind).alias("SRJ"),
+    )

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from datetime import datetime
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,7 +42,7 @@ from tracklayer.plans.cleanup import reload_alt
 from tracklayer.plans.layers import Layers
 from tracklayer.plans.promote import promote, promote_alternates
 from tracklayer.plans.state import StateTable, delete_keys, merge
-from tracklayer.session import materialise, work_path
+from tracklayer.session import concurrently, materialise, work_path
 from tracklayer.sources.feed import parse, read_feed, source_table
 from tracklayer.sources.landing import latest_partition, select_batch, write_partitions
 from tracklayer.sources.masters import Masters, no_masters
@@ -400,7 +401,9 @@ def order_masters(spark: SparkSession, sf_dir: str) -> Masters:
     region = table(spark, sf_dir, "region")
     group = region.select(F.col("r_regionkey").cast("string").alias("ccompgrp"), F.col("r_name").alias("ccompname"))
     rows = status_rows(table(spark, sf_dir, "events"))
-    return Masters(status_master(rows), snapshot(customer), snapshot(pack), group)
+    jobs = [partial(snapshot, customer), partial(snapshot, pack), partial(status_master, rows)]
+    customer, pack, status = concurrently(spark, *jobs)
+    return Masters(status, customer, pack, group)
 
 
 ORDER_MASTERS = """
@@ -822,7 +825,7 @@ SELECT coalesce(shp.cawbno, sts.cawbno) AS "PK", CASE WHEN NOT gone THEN ct END
 FROM shp FULL JOIN sts ON shp.cawbno = sts.cawbno"""
 )
 def il_to_pl(spark: SparkSession, sf_dir: str) -> DataFrame:
-    il = promotion_input(spark, sf_dir)
+    il = materialise(promotion_input(spark, sf_dir), work_path(spark, "incremental"))
     return promote(il, REDUCED, order_masters(spark, sf_dir), as_of=AS_OF)
 
 

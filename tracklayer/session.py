@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
@@ -28,3 +31,11 @@ def materialise(df: DataFrame, path: str) -> DataFrame:
     """Write a reused frame once and read it back: cuts the lineage and survives lost executors."""
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def concurrently(spark: SparkSession, *jobs: Callable[[], object]) -> list:
+    """Run independent jobs side by side, so that small ones do not wait for each other; first failure surfaces."""
+    if len(jobs) < 2:
+        return [job() for job in jobs]
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]]
