@@ -103,6 +103,21 @@ def test_stored_sentinel_journey(spark, tmp_path, sentinel, expected):
     assert content(state)["1"] == (None, expected)
 
 
+def test_long_journeys_stay_rows_through_compaction(spark, tmp_path):
+    state = StateTable(spark, str(tmp_path / "s"), ["A", "B"], ["J"], cell_chars=8)
+    state.upsert(delta(spark, ("1", "a", None, None, None), ("1", None, None, "eeee", "1"), ("2", "b", None, "e", None)), 1)
+    state.upsert(delta(spark, ("1", None, "b", "ffff", "2"), ("1", None, None, "gggg", "1")), 2)
+    for i in range(3):
+        before = content(state)
+        assert before["1"][:3] == ("a", "b", "eeee|gggg|ffff" + "|h" * i)
+        assert state.compact()
+        assert content(state) == before
+        base = spark.read.parquet(f"{state.path}/base/v={state.snapshot().base}")
+        assert base.agg(F.max(F.length("J"))).first()[0] == 4
+        assert state.journey_rows("J").filter("PK = '1'").count() == 3 + i
+        state.upsert(delta(spark, ("1", None, None, "h", None)), 3 + i)
+
+
 def test_marks_read_presence_only(spark, state):
     state.upsert(delta(spark, ("1", "long record", NA, None, None)), 1)
     for _ in range(2):

@@ -44,7 +44,7 @@ def lookup(
     if single:
         right = one_per_key(right, names)
     condition = [expr == F.col(n) for (expr, _), n in zip(on, names)]
-    return facts.join(right, condition, "left").select(*facts.columns, *take.values())
+    return facts.join(right, condition, "left").drop(*names)
 
 
 def with_status(

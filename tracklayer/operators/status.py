@@ -143,13 +143,19 @@ def reclassified_date(codes: Sequence[str] = CLOSURE_CODES, *, as_of: AsOf, days
 
 
 def reclassify(
-    pl: DataFrame, codes: Sequence[str] = CLOSURE_CODES, *, as_of: AsOf, days: int = HELD_DAYS
+    pl: DataFrame,
+    codes: Sequence[str] = CLOSURE_CODES,
+    *,
+    as_of: AsOf,
+    days: int = HELD_DAYS,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """``(PK, DLS, DTS)`` of every persistent row, both re-derived."""
+    """``(PK, DLS, DTS)`` of every persistent row, both re-derived; stored columns to keep come as ``old_<name>``."""
     return pl.select(
         "PK",
         reclassified_status(codes, as_of=as_of, days=days).alias("DLS"),
         reclassified_date(codes, as_of=as_of, days=days).alias("DTS"),
+        *(F.col(c).alias(f"old_{c}") for c in keep),
     )
 
 

@@ -76,7 +76,7 @@ def build_bundle(
         rows = scrub(without_deletes(changes["CPS"]), layout.fields)
         known = enrich_pickup(rows, masters.customer, masters.group, single=True)
         bundle["CPS"] = encode(known, layout, order_columns(rows))
-        bundle["CPJ"] = journey_parts(events_of(rows, layout.key, pickup_event()))
+        bundle["CPJ"] = journey_parts(events_of(rows, F.trim(layout.key), pickup_event()))
         bundle["LTS"] = pickup_load_ts(without_deletes(changes["CPS"]), layout.key)
     if "ADT" in changes:
         rows = without_deletes(changes["ADT"])

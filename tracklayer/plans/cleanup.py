@@ -33,9 +33,11 @@ def reload_alt(pl: DataFrame, journey_filter: str = "SRT") -> DataFrame:
 def run_cleanup(
     layers: Layers, *, as_of: AsOf, batch_id: int, codes: Sequence[str] = CLOSURE_CODES, days: int = HELD_DAYS
 ) -> bool:
-    """Re-derive status and status date of every stored key."""
+    """Re-derive status and status date of every stored key; only what changed is written."""
     pl = layers.persistent.read(["ABM", "SLT", "PDJ", "DLS", "DTS"], marks=["ABM", "SLT"])
-    return layers.persistent.upsert(reclassify(pl, codes, as_of=as_of, days=days), batch_id, "cleanup")
+    derived = reclassify(pl, codes, as_of=as_of, days=days, keep=["DLS", "DTS"])
+    changed = ~(F.col("DLS").eqNullSafe(F.col("old_DLS")) & F.col("DTS").eqNullSafe(F.col("old_DTS")))
+    return layers.persistent.upsert(derived.filter(changed), batch_id, "cleanup")
 
 
 def run_reformat(layers: Layers, *, batch_id: int, prefix: str = "20190") -> bool:

@@ -102,23 +102,28 @@ class Layers:
             keep_status=keep_status,
         )
         instructions = promote_alternates(il, self.layouts) if "SRT" in il.columns else None
-        links = il.select("PK", "ALK").filter(F.col("ALK").isNotNull()) if "ALK" in il.columns else None
         journeys = [_journey(bundle[f], f) for f in ("PDJ", "SFJ") if f in bundle]
-        pickup = [latest_of(bundle[f], f) for f in ("CPS", "LTS") if f in bundle]
-        pickup += [_journey(bundle["CPJ"], "CPJ")] if "CPJ" in bundle else []
-        deltas = {
-            self.persistent: _stack([plain, instructions, links, *journeys]),
-            self.link: _stack([instructions, links]),
-            self.pickup: _stack(pickup),
-            self.contact: latest_of(bundle["ADT"], "ADT") if "ADT" in bundle else None,
-            self.deleted: latest_of(bundle["DEL"], "DEL") if "DEL" in bundle else None,
-        }
-        jobs = [partial(t.upsert, df, **done) for t, df in deltas.items() if df is not None]
+        deltas = {name: self._routed(name, bundle, il) for name in ("link", "pickup", "contact", "deleted")}
+        deltas["link"].append(instructions)
+        deltas["persistent"] = [*self._routed("persistent", bundle, il), plain, instructions, *journeys]
+        stacked = {self.tables()[name]: _stack(frames) for name, frames in deltas.items()}
+        jobs = [partial(t.upsert, df, **done) for t, df in stacked.items() if df is not None]
         concurrently(self.spark, *jobs)
         # Key 1 -> load timestamp. A batch without stamps leaves it, but is closed all the same.
         self.control.upsert(self.spark.range(1).select(F.lit("1").alias("PK"), F.lit(stamp).alias("PL")), **done)
         return True
 
+    def _routed(self, name: str, bundle: Mapping[str, DataFrame], il: DataFrame) -> list[DataFrame | None]:
+        """Rows of the families that go to a table as they are."""
+        table, out = self.tables()[name], []
+        for family in bundle:
+            if name in ROUTES[family]:
+                if family in il.columns:
+                    out.append(il.select("PK", family).filter(F.col(family).isNotNull()))
+                else:
+                    out.append((_journey if family in table.journeys else latest_of)(bundle[family], family))
+        return out
+
     def _stamp(self, il: DataFrame) -> str | None:
         stamps = batch_stamps(il, self.layouts)
         return self.spark.range(1).select(load_ts_text(il, stamps)).first()[0] if stamps else None

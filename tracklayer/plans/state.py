@@ -11,7 +11,8 @@ A table has one writing job at a time.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,6 +21,7 @@ from pyspark.sql import types as T
 
 from tracklayer.functions.text import is_missing
 from tracklayer.layouts import EVENT_SEP, NA
+from tracklayer.session import materialise, work_path
 from tracklayer.sources import paths
 
 _CONTROL = T.StructType(
@@ -27,19 +29,25 @@ _CONTROL = T.StructType(
         T.StructField("version", T.LongType()),
         T.StructField("base", T.LongType()),
         T.StructField("base_commit", T.LongType()),
+        T.StructField("long_journeys", T.BooleanType()),
         T.StructField("writers", T.MapType(T.StringType(), T.LongType())),
     ]
 )
-_BASE_COMMIT = 0  # orders the base before all commits
+_BASE_COMMIT = 0  # orders folded rows before all commits
+CELL_CHARS = 64_000_000
 
 
 @dataclass(frozen=True)
 class Snapshot:
-    """What a reader may see: the last commit, the base, the last commit folded into it, and each writer's batch."""
+    """What a reader may see: the last commit, the base, the last commit folded into it, and each writer's batch.
+
+    ``long_journeys`` says that the base holds keys whose journeys stayed several rows.
+    """
 
     version: int = 0
     base: int = 0
     base_commit: int = 0
+    long_journeys: bool = False
     writers: dict[str, int] = field(default_factory=dict)
 
     @property
@@ -50,6 +58,7 @@ class Snapshot:
 class StateTable:
     """One keyed table of family columns.
 
+    Journeys of more than ``cell_chars`` characters stay rows in the base, so compaction gathers no longer ones.
     ``sentinel`` says what a stored journey equal to the sentinel is worth when events are appended to it:
     ``reference`` keeps it as text, ``strict`` treats it as nothing.
     """
@@ -61,10 +70,11 @@ class StateTable:
         latest: Sequence[str],
         journeys: Sequence[str] = (),
         sentinel: str = "reference",
+        cell_chars: int = CELL_CHARS,
     ):
         self.spark, self.path = spark, path.rstrip("/")
         self.latest, self.journeys = tuple(latest), tuple(journeys)
-        self.sentinel = sentinel
+        self.sentinel, self.cell_chars = sentinel, cell_chars
 
     @property
     def families(self) -> tuple[str, ...]:
@@ -101,49 +111,56 @@ class StateTable:
         families = [(F.col(f) if f in delta.columns else F.lit(None)).cast("string").alias(f) for f in self.families]
         rows = delta.select("PK", part.alias("part"), F.lit(replace_journeys).alias("replaces"), *families)
         rows.write.mode("overwrite").parquet(f"{self.path}/log/commit={version}")
-        self._record(Snapshot(version, now.base, now.base_commit, {**now.writers, writer: batch_id}))
+        self._record(replace(now, version=version, writers={**now.writers, writer: batch_id}))
         return True
 
     def _record(self, snapshot: Snapshot) -> None:
         writers = [v for w, b in snapshot.writers.items() for v in (F.lit(w), F.lit(b).cast("long"))]
-        numbers = [F.lit(getattr(snapshot, c)).cast("long").alias(c) for c in _CONTROL.names[:3]]
-        row = self.spark.range(1).select(*numbers, F.create_map(*writers).alias("writers"))
+        values = [F.lit(getattr(snapshot, c.name)).cast(c.dataType).alias(c.name) for c in _CONTROL.fields[:-1]]
+        row = self.spark.range(1).select(*values, F.create_map(*writers).alias("writers"))
         row.coalesce(1).write.mode("append").parquet(f"{self.path}/control")
 
-    def _log(self, now: Snapshot) -> DataFrame:
-        """Committed rows that are not yet in the base; the commit range prunes directories."""
-        extra = [T.StructField("part", T.StringType()), T.StructField("replaces", T.BooleanType())]
-        schema = T.StructType([*self.schema.fields, *extra, T.StructField("commit", T.LongType())])
-        log = self.spark.read.schema(schema).parquet(f"{self.path}/log")
-        return log.filter(F.col("commit").between(now.base_commit + 1, now.version))
-
-    def _base(self, now: Snapshot) -> DataFrame:
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/base/v={now.base}")
+    @property
+    def _row_schema(self) -> T.StructType:
+        order = [T.StructField("commit", T.LongType()), T.StructField("part", T.StringType())]
+        return T.StructType([*self.schema.fields, *order, T.StructField("replaces", T.BooleanType())])
 
     def _rows(self, now: Snapshot, families: Sequence[str]) -> DataFrame:
-        """Base and log rows side by side: ``PK, commit, part, replaces`` and the families."""
-        rows = self._log(now).select("PK", "commit", "part", "replaces", *families)
-        if not now.base:
-            return rows
-        stamps = [F.lit(_BASE_COMMIT).cast("long").alias("commit"), F.lit(None).cast("string").alias("part")]
-        return self._base(now).select("PK", *stamps, F.lit(False).alias("replaces"), *families).unionByName(rows)
+        """Base and log rows side by side: ``PK, commit, part, replaces`` and the families.
+
+        Of the log, only commits that are committed and not yet in the base; the range prunes directories.
+        """
+        columns = ["PK", "commit", "part", "replaces", *families]
+        reader = self.spark.read.schema(self._row_schema)
+        out = []
+        if now.base:
+            out.append(reader.parquet(f"{self.path}/base/v={now.base}").select(*columns))
+        if now.has_log:
+            fresh = F.col("commit").between(now.base_commit + 1, now.version)
+            out.append(reader.parquet(f"{self.path}/log").filter(fresh).select(*columns))
+        if not out:
+            return self.spark.createDataFrame([], self._row_schema).select(*columns)
+        return reduce(DataFrame.unionByName, out)
 
     def read(self, families: Sequence[str] | None = None, marks: Sequence[str] = ()) -> DataFrame:
         """One row per key with the chosen families. After a compaction this is a plain pruned scan, no shuffle.
 
         Families named in ``marks`` are wanted for their presence only: a real record is read as ``*``, so that long
-        records are not shuffled to learn whether they are there.
+        records are not shuffled to learn whether they are there. A journey is one cell here; ``journey_rows`` has no
+        such limit.
         """
         wanted = [f for f in self.families if families is None or f in families]
         marked = {f: F.when(F.col(f) == NA, NA).when(F.col(f).isNotNull(), "*") for f in wanted if f in marks}
         now = self.snapshot()
-        if not now.has_log:
-            stored = self._base(now) if now.base else self.spark.createDataFrame([], self.schema)
-            return stored.select("PK", *wanted).withColumns(marked)
         rows = self._rows(now, wanted).withColumns(marked)
-        if not wanted:
+        if now.has_log or now.long_journeys:
+            return self._folded(rows, wanted)
+        return rows.select("PK", *wanted)
+
+    def _folded(self, rows: DataFrame, families: Sequence[str]) -> DataFrame:
+        if not families:
             return rows.select("PK").distinct()
-        return rows.groupBy("PK").agg(*(self._newest(f) if f in self.latest else self._journey(f) for f in wanted))
+        return rows.groupBy("PK").agg(*(self._newest(f) if f in self.latest else self._journey(f) for f in families))
 
     def _newest(self, family: str) -> Column:
         return F.max_by(family, F.when(F.col(family).isNotNull(), F.struct("commit", "part"))).alias(family)
@@ -157,33 +174,46 @@ class StateTable:
         return F.when(F.size(valid) > 0, joined).alias(family)
 
     def journey_rows(self, family: str) -> DataFrame:
-        """``(PK, commit, part, replaces, text)``: a journey as ordered rows, for keys too long for one cell.
+        """``(PK, commit, part, replaces, text)``: a journey as rows ordered by ``(commit, part)``, however long.
 
         No shuffle and no grouping; where a commit replaces journeys, rows of earlier commits are superseded.
         """
-        now = self.snapshot()
-        if now.has_log:
-            rows = self._rows(now, [family])
-        else:
-            stored = self._base(now) if now.base else self.spark.createDataFrame([], self.schema)
-            stamps = [F.lit(_BASE_COMMIT).cast("long").alias("commit"), F.lit(None).cast("string").alias("part")]
-            rows = stored.select("PK", *stamps, F.lit(False).alias("replaces"), family)
+        rows = self._rows(self.snapshot(), [family])
         return rows.withColumnRenamed(family, "text").filter(F.col("text").isNotNull())
 
     def compact(self) -> bool:
         """Write the fold of base and log as the next base. False if the log is empty.
 
-        Key lookups on the base are pruned by parquet bloom filters on ``PK``.
+        Keys with a journey beyond ``cell_chars`` keep their journey rows as they are; the rest becomes one row per
+        key. Key lookups on the base are pruned by parquet bloom filters on ``PK``.
         """
         now = self.snapshot()
         if not now.has_log:
             return False
+        rows = self._rows(now, self.families)
+        long = self._long_keys(rows) if self.journeys else None
+        has_long = long is not None and not long.isEmpty()
+        stamps = {"commit": F.lit(_BASE_COMMIT).cast("long"), "part": F.lit(None).cast("string"), "replaces": F.lit(False)}
+        if has_long:
+            base = self._folded(rows.join(long, "PK", "left_anti"), self.families).withColumns(stamps)
+            kept = rows.join(long, "PK", "left_semi")
+            records = self._folded(kept, self.latest).withColumns(stamps)
+            events = kept.filter(F.coalesce(*self.journeys).isNotNull()).drop(*self.latest)
+            base = base.unionByName(records, allowMissingColumns=True).unionByName(events, allowMissingColumns=True)
+        else:
+            base = self._folded(rows, self.families).withColumns(stamps)
         target = now.base + 1
-        writer = self.read().write.mode("overwrite").option("parquet.bloom.filter.enabled#PK", "true")
+        writer = base.write.mode("overwrite").option("parquet.bloom.filter.enabled#PK", "true")
         writer.parquet(f"{self.path}/base/v={target}")
-        self._record(Snapshot(now.version, target, now.version, now.writers))
+        self._record(replace(now, base=target, base_commit=now.version, long_journeys=has_long))
         return True
 
+    def _long_keys(self, rows: DataFrame) -> DataFrame:
+        """Keys with a journey beyond ``cell_chars``: at most one per that many stored characters."""
+        beyond = [F.sum(F.length(j)) > self.cell_chars for j in self.journeys]
+        sized = rows.groupBy("PK").agg(reduce(Column.__or__, [F.coalesce(b, F.lit(False)) for b in beyond]).alias("long"))
+        return materialise(sized.filter("long").select("PK"), work_path(self.spark, "long-journeys"))
+
     def vacuum(self) -> None:
         """Remove what no new reader sees: folded commits, older bases and all but the newest control record."""
         now = self.snapshot()
