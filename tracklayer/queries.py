@@ -13,8 +13,8 @@ from functools import partial
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracklayer.functions.text import field, or_na, restamped
-from tracklayer.layouts import NA, TOMBSTONE, Layout
+from tracklayer.functions.text import field, or_na
+from tracklayer.layouts import NA, Layout, layout_from_columns
 from tracklayer.operators.cdc import (
     contact_pair,
     latest_per_key,
@@ -25,7 +25,15 @@ from tracklayer.operators.cdc import (
 )
 from tracklayer.operators.codec import decode, encode, reencode, scrub
 from tracklayer.operators.enrich import enrich_pickup, enrich_shipment, lookup, with_customer, with_pack, with_status
-from tracklayer.operators.journey import append_journey, build_journey, events_of, journey_parts, status_event
+from tracklayer.operators.journey import (
+    append_journey,
+    build_journey,
+    events_of,
+    flight_event,
+    journey_parts,
+    pickup_event,
+    status_event,
+)
 from tracklayer.operators.status import (
     CLOSURE_CODES,
     closure_ts,
@@ -37,16 +45,16 @@ from tracklayer.operators.status import (
     reformat_lts,
 )
 from tracklayer.plans.batch import BatchConfig, run_batch
-from tracklayer.plans.bundle import status_journey
-from tracklayer.plans.cleanup import reload_alt
+from tracklayer.plans.bundle import build_bundle, latest_of, status_journey
+from tracklayer.plans.cleanup import reload_alt, run_cleanup, run_reload
 from tracklayer.plans.layers import Layers
 from tracklayer.plans.promote import promote, promote_alternates
 from tracklayer.plans.state import StateTable, delete_keys, merge
 from tracklayer.session import concurrently, materialise, work_path
 from tracklayer.sources.feed import parse, read_feed, source_table
-from tracklayer.sources.landing import latest_partition, select_batch, write_partitions
+from tracklayer.sources.landing import latest_partition, read_landing, select_batch, write_partitions
 from tracklayer.sources.masters import Masters, no_masters
-from tracklayer.streaming.ingest import start_ingest
+from tracklayer.streaming.ingest import start_ingest, start_landing
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -487,6 +495,87 @@ def pickup_enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich_pickup(calls, m.customer, m.group).select("cawbno", "cust_ccompgrp", "cgrpname")
 
 
+# --- pickups and flights ---------------------------------------------------------------------------------------------
+
+PICKUP_COLUMNS = ("ntokenno", "carea", "ccustcode", "dregdate", "dpudate", "crevpu")
+
+
+def pickup_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as pickup calls of a customer; low-priority ones are deletes."""
+    day = F.substring(text_of("o_orderdate"), 1, 10)
+    return table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").cast("string").alias("ntokenno"),
+        F.nullif(F.col("o_orderpriority"), F.lit("3-MEDIUM")).alias("carea"),
+        F.nullif(F.col("o_orderstatus"), F.lit("P")).alias("ccustcode"),
+        day.alias("dregdate"),
+        F.nullif(day, F.lit("1998-01-01")).alias("dpudate"),
+        F.col("o_orderstatus").alias("crevpu"),
+        text_of("o_orderdate").alias("op_ts"),
+        F.when(F.col("o_orderpriority") == "5-LOW", "D").otherwise("I").alias("op_type"),
+        F.col("o_orderkey").alias("pos"),
+        F.regexp_replace(text_of("o_orderdate"), "[^0-9]", "").cast("long").alias("load_ts"),
+    )
+
+
+PICKUP_ROWS = """
+pick AS (
+  SELECT CAST(o_custkey AS VARCHAR) AS ntokenno, nullif(o_orderpriority, '3-MEDIUM') AS carea,
+    nullif(o_orderstatus, 'P') AS ccustcode, strftime(o_orderdate, '%Y-%m-%d') AS dregdate,
+    nullif(strftime(o_orderdate, '%Y-%m-%d'), '1998-01-01') AS dpudate, o_orderstatus AS crevpu,
+    strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS op_ts, 'I' AS op_type, o_orderkey AS pos,
+    strftime(o_orderdate, '%Y%m%d%H%M%S') AS load_ts
+  FROM orders WHERE o_orderpriority <> '5-LOW')"""
+
+
+@query(
+    f"""WITH {PICKUP_ROWS},
+e AS (SELECT DISTINCT ntokenno, concat_ws('~', dregdate, coalesce(dpudate, ''), crevpu) || ':I' AS j FROM pick)
+SELECT ntokenno AS "PK", string_agg(j, '|' ORDER BY j) AS "CT_COL" FROM e GROUP BY ntokenno"""
+)
+def pickup_journey(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = pickup_rows(spark, sf_dir).filter(F.col("op_type") != "D")
+    return build_journey(events_of(rows, "ntokenno", pickup_event()))
+
+
+@query(
+    f"""WITH {PICKUP_ROWS}, {ORDER_MASTERS},
+top AS (SELECT * FROM pick QUALIFY row_number() OVER (PARTITION BY ntokenno ORDER BY op_ts DESC, pos DESC) = 1)
+SELECT ntokenno AS "PK", concat_ws('~', ntokenno, coalesce(top.carea, 'NA!@#'), coalesce(top.ccustcode, 'NA!@#'),
+  dregdate, coalesce(dpudate, 'NA!@#'), crevpu, op_ts, op_type, coalesce(cust.ccompgrp, 'NA!@#'),
+  coalesce(ccompname, 'NA!@#'), load_ts) AS "CPS" FROM top
+LEFT JOIN cust ON top.carea = coalesce(cust.carea, 'NA!@#') AND top.ccustcode = coalesce(cust.ccustcode, 'NA!@#')
+LEFT JOIN grp ON grp.ccompgrp = cust.ccompgrp"""
+)
+def pickup_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+    layouts = {"CPS": layout_from_columns("CPS", PICKUP_COLUMNS)}
+    bundle = build_bundle({"CPS": pickup_rows(spark, sf_dir)}, layouts, order_masters(spark, sf_dir))
+    return latest_of(bundle["CPS"], "CPS")
+
+
+@query(
+    """WITH e AS (SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS pk, concat_ws('~', l_suppkey,
+  strftime(l_shipdate, '%Y-%m-%d'), '', l_partkey, l_returnflag, l_linestatus, coalesce(nullif(l_returnflag, 'N'), ''),
+  l_linenumber, strftime(l_shipdate, '%Y-%m-%d %H:%M:%S')) || ':U' AS j FROM lineitem)
+SELECT pk AS "PK", string_agg(j, '|' ORDER BY j) AS "CT_COL" FROM e GROUP BY pk"""
+)
+def flight_journey(spark: SparkSession, sf_dir: str) -> DataFrame:
+    date = text_of("l_shipdate")
+    rows = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").cast("string").alias("cawbno"),
+        F.col("l_suppkey").alias("nrunid"),
+        F.substring(date, 1, 10).alias("drundate"),
+        F.lit(None).cast("string").alias("corgarea"),
+        F.col("l_partkey").alias("cruncode"),
+        F.col("l_returnflag").alias("cstattype"),
+        F.col("l_linestatus").alias("cstatcode"),
+        F.nullif(F.col("l_returnflag"), F.lit("N")).alias("cemplcode"),
+        F.col("l_linenumber").alias("cloccode"),
+        date.alias("dstatdate"),
+        F.lit("U").alias("op_type"),
+    )
+    return build_journey(events_of(rows, "cawbno", flight_event()))
+
+
 # --- status and dates ------------------------------------------------------------------------------------------------
 
 
@@ -582,29 +671,36 @@ def _closure_case(result: Callable[[str], str]) -> str:
 _CODES_SQL = ", ".join(f"'{c}'" for c in CLOSURE_CODES)
 
 
-@query(
-    f"""WITH {STATUS_ROWS}, {STORED_ROWS}
-SELECT pk AS "PK", coalesce(CASE WHEN noship AND nojourney THEN 'I'
+_STATUS_CASE = f"""coalesce(CASE WHEN noship AND nojourney THEN 'I'
   WHEN noship AND pdj IS NOT NULL THEN CASE WHEN ignorable THEN 'I' ELSE 'UD' END
   WHEN ship AND nojourney THEN 'NA!@#' {_closure_case(lambda c: f"'T{c}'")}
   WHEN ship AND (dls IS NULL OR substr(dls, 1, 3) NOT IN ({_CODES_SQL}) OR dls IN ('I', 'NA!@#')) THEN 'UD'
-  ELSE dls END, 'NA!@#') AS "CT_COL" FROM ig"""
-)
+  ELSE dls END, 'NA!@#')"""
+_DATE_CASE = f"""coalesce(CASE WHEN noship AND nojourney THEN '{AS_OF[:16]}'
+  WHEN noship AND pdj IS NOT NULL THEN CASE WHEN ignorable THEN '{AS_OF[:16]}' ELSE lastdate END
+  {_closure_case(lambda c: f"substr(pdj, instr(pdj, '~T{c}~') - 19, 16)")}
+  WHEN ship AND pdj IS NOT NULL THEN lastdate ELSE dts END, 'NA!@#')"""
+
+
+@query(f"""WITH {STATUS_ROWS}, {STORED_ROWS} SELECT pk AS "PK", {_STATUS_CASE} AS "CT_COL" FROM ig""")
 def reclassify_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored_rows(spark, sf_dir).select("PK", reclassified_status(as_of=AS_OF).alias("CT_COL"))
 
 
-@query(
-    f"""WITH {STATUS_ROWS}, {STORED_ROWS}
-SELECT pk AS "PK", coalesce(CASE WHEN noship AND nojourney THEN '{AS_OF[:16]}'
-  WHEN noship AND pdj IS NOT NULL THEN CASE WHEN ignorable THEN '{AS_OF[:16]}' ELSE lastdate END
-  {_closure_case(lambda c: f"substr(pdj, instr(pdj, '~T{c}~') - 19, 16)")}
-  WHEN ship AND pdj IS NOT NULL THEN lastdate ELSE dts END, 'NA!@#') AS "CT_COL" FROM ig"""
-)
+@query(f"""WITH {STATUS_ROWS}, {STORED_ROWS} SELECT pk AS "PK", {_DATE_CASE} AS "CT_COL" FROM ig""")
 def reclassify_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored_rows(spark, sf_dir).select("PK", reclassified_date(as_of=AS_OF).alias("CT_COL"))
 
 
+@query(f"""WITH {STATUS_ROWS}, {STORED_ROWS} SELECT pk AS "PK", {_STATUS_CASE} AS "DLS", {_DATE_CASE} AS "DTS" FROM ig""")
+def cleanup_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    layers = Layers(spark, work_path(spark, "cleanup"), {})
+    layers.persistent.upsert(stored_rows(spark, sf_dir), 0)
+    layers.persistent.compact()
+    run_cleanup(layers, as_of=AS_OF, batch_id=0)
+    return layers.persistent.read(["DLS", "DTS"])
+
+
 @query(
     f"""WITH {STATUS_ROWS}, {LATEST_LEGS}
 SELECT pk AS "PK", (SELECT strftime(strptime(CAST(greatest(max(CASE WHEN side = 'I' THEN load_ts END),
@@ -742,8 +838,7 @@ def key_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
     return delete_keys(rows, gone.select(F.col("o_custkey").cast("string").alias("PK")))
 
 
-@query(
-    """WITH pl AS (SELECT CAST(o_orderkey AS VARCHAR) AS pk,
+ALTERNATES = """WITH pl AS (SELECT CAST(o_orderkey AS VARCHAR) AS pk,
   CASE o_orderstatus WHEN 'F' THEN 'NA!@#~x' WHEN 'O' THEN o_orderkey || '~' || o_orderpriority END AS alk,
   CASE WHEN o_orderpriority = '1-URGENT' THEN 'NA!@#' WHEN o_orderpriority <> '5-LOW' THEN o_custkey || '~i' END AS srt,
   CASE WHEN o_orderstatus <> 'P' THEN 'j' || o_custkey END AS srj FROM orders)
@@ -751,17 +846,31 @@ SELECT * FROM (SELECT pk AS "PK", CASE WHEN split_part(alk, '~', 1) <> 'NA!@#' T
   CASE WHEN split_part(srt, '~', 1) <> 'NA!@#' THEN srt END AS "SRT",
   CASE WHEN split_part(srt, '~', 1) <> 'NA!@#' THEN srj END AS "SRJ" FROM pl)
 WHERE coalesce("ALK", "SRT", "SRJ") IS NOT NULL"""
-)
+
+
+@query(ALTERNATES)
 def alternate_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reload_alt(stored_alternates(spark, sf_dir))
+
+
+@query(ALTERNATES)
+def reload_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    layers = Layers(spark, work_path(spark, "reload"), {})
+    layers.persistent.upsert(stored_alternates(spark, sf_dir), 0)
+    for batch_id in range(2):
+        run_reload(layers, batch_id=batch_id)  # replaces, so a second reload changes nothing
+    return layers.link.read(["ALK", "SRT", "SRJ"])
+
+
+def stored_alternates(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
-    pl = orders.select(
+    return orders.select(
         F.col("o_orderkey").cast("string").alias("PK"),
         F.when(status == "F", NA + "~x").when(status == "O", F.concat_ws("~", "o_orderkey", priority)).alias("ALK"),
         F.when(priority == "1-URGENT", NA).when(priority != "5-LOW", F.concat("o_custkey", F.lit("~i"))).alias("SRT"),
         F.when(status != "P", F.concat(F.lit("j"), "o_custkey")).alias("SRJ"),
     )
-    return reload_alt(pl)
 
 
 # --- promotion -------------------------------------------------------------------------------------------------------
@@ -870,6 +979,27 @@ def json_demux(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("cawbno", "cstatcode", "cloccode", "cemplcode", "op_ts", "op_type", "pos")
 
 
+@query(
+    f"""WITH {STATUS_ROWS}
+SELECT cawbno, cstattype, cstatcode, dstatdate, cloccode, cemplcode, op_ts, op_type,
+  CAST(20240116000000 AS BIGINT) AS load_ts FROM rows_ WHERE event_type NOT IN ('purchase', 'view')"""
+)
+def stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = work_path(spark, "landing")
+    envelopes(status_rows(table(spark, sf_dir, "events"))).write.text(f"{root}/feed")
+    start_landing(
+        read_feed(spark, "text", path=f"{root}/feed"),
+        f"{root}/landing",
+        FEED_LAYOUTS,
+        checkpoint=f"{root}/checkpoint",
+        times=f"{root}/times",
+        trigger={"availableNow": True},
+        tables=FEED_TABLES,
+        clock=lambda: datetime(2024, 1, 16),
+    ).awaitTermination()
+    return read_landing(spark, f"{root}/landing/OUTBOUND", FEED_LAYOUTS["OBS"].landed_schema())
+
+
 def _halves(rows: DataFrame) -> Sequence[DataFrame]:
     return rows.filter(F.col("op_ts") < SPLIT), rows.filter(F.col("op_ts") >= SPLIT)
 
