@@ -15,6 +15,7 @@ def spark(tmp_path_factory):
         SparkSession.builder.master("local[8]")
         .appName("tracklayer-tests")
         .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.codegen.wholeStage", "false")  # compiling costs more than the small fixtures
         .config("spark.default.parallelism", "2")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")

@@ -118,3 +118,30 @@ def test_billing_key_falls_back_to_origin(spark):
     out = {r.PK: r for r in enrich_shipment(facts, customer, pack, group).collect()}
     assert (out["1"].cust_ccompgrp, out["1"].pack_cprodparent, out["1"].cgrpname) == ("g1", "par", "Group One")
     assert (out["2"].cust_ccompgrp, out["2"].pack_cprodparent, out["2"].cgrpname) == ("g2", None, None)
+
+
+def test_empty_masters_cost_no_join(spark):
+    from tracklayer.sources.masters import no_masters
+
+    facts = spark.createDataFrame([("1", "S", "001")], "PK string, cstattype string, cstatcode string")
+    out = with_status(facts, no_masters(spark).status)
+    assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert tuple(out.first())[3:] == (None, None)
+
+
+def test_large_masters_are_merged_with_the_same_result(spark, tmp_path):
+    facts = spark.range(2000).select(F.col("id").alias("PK"), F.expr("if(id % 3 = 0, 'hot', cast(id as string))").alias("area"))
+    facts = facts.withColumn("code", F.lit("c"))
+    master = facts.select(F.col("area").alias("carea"), F.lit("c").alias("ccustcode"), F.col("PK").cast("string").alias("ccompgrp"))
+    master.write.parquet(f"{tmp_path}/m")
+    master = spark.read.parquet(f"{tmp_path}/m")
+    broadcast = with_customer(facts, master, "area", "code", single=True)
+    expected = sorted(map(tuple, broadcast.collect()))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merged = with_customer(facts, master, "area", "code", single=True)
+        assert "SortMergeJoin" in merged._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(tuple, merged.collect())) == expected
+        assert len(expected) == 2000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -151,6 +151,6 @@ def test_landing_then_file_stream(spark, tmp_path):
         no_masters(spark),
         checkpoint=str(tmp_path / "c2"),
         trigger={"availableNow": True},
-        as_of=lambda: NOW,
+        clock=lambda: NOW,
     ).awaitTermination()
     assert contents(layers)["persistent"]["k"]["LTS"] == "2019-08-15 09:30:00"

@@ -16,7 +16,7 @@ from tracklayer.operators.status import CLOSURE_CODES, load_ts_text
 from tracklayer.plans.bundle import RECORD_FAMILIES, ROUTES, latest_of
 from tracklayer.plans.promote import batch_stamps, promote, promote_alternates
 from tracklayer.plans.state import StateTable
-from tracklayer.session import concurrently, materialise
+from tracklayer.session import concurrently, empty_frame, materialise
 from tracklayer.sources.masters import Masters
 
 
@@ -62,7 +62,7 @@ class Layers:
         records = {f: bundle[f] for f in RECORD_FAMILIES if f in bundle}
         if not records:
             schema = T.StructType([T.StructField("PK", T.StringType())])
-            return self.spark.createDataFrame([], schema)
+            return empty_frame(self.spark, schema)
         order = [c for c in ("op_ts", "pos") if any(c in df.columns for df in records.values())]
         even = {f: _with_columns(df, order) for f, df in records.items()}
         return pivot_families(even, order)

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from tracklayer.functions.text import is_missing
 from tracklayer.layouts import EVENT_SEP, NA
-from tracklayer.session import materialise, work_path
+from tracklayer.session import empty_frame, materialise, work_path
 from tracklayer.sources import paths
 
 _CONTROL = T.StructType(
@@ -91,8 +91,8 @@ class StateTable:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return Snapshot()
-        row = records.agg(F.max_by(F.struct(*_CONTROL.names), F.struct("version", "base")).alias("s")).first()
-        return Snapshot(**row.s.asDict()) if row.s else Snapshot()
+        row = records.orderBy(F.desc("version"), F.desc("base")).first()
+        return Snapshot(**row.asDict()) if row else Snapshot()
 
     def committed(self, writer: str, batch_id: int) -> bool:
         return batch_id <= self.snapshot().writers.get(writer, -1)
@@ -139,7 +139,7 @@ class StateTable:
             fresh = F.col("commit").between(now.base_commit + 1, now.version)
             out.append(reader.parquet(f"{self.path}/log").filter(fresh).select(*columns))
         if not out:
-            return self.spark.createDataFrame([], self._row_schema).select(*columns)
+            return empty_frame(self.spark, self._row_schema).select(*columns)
         return reduce(DataFrame.unionByName, out)
 
     def read(self, families: Sequence[str] | None = None, marks: Sequence[str] = ()) -> DataFrame:

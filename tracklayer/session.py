@@ -9,6 +9,8 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _SETTING = "spark.checkpoint.dir"
 
@@ -39,3 +41,9 @@ def concurrently(spark: SparkSession, *jobs: Callable[[], object]) -> list:
         return [job() for job in jobs]
     with ThreadPoolExecutor(len(jobs)) as pool:
         return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]]
+
+
+def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """A typed frame without rows, which the optimizer knows to be empty and so plans no join or shuffle for."""
+    nulls = [F.lit(None).cast(c.dataType).alias(c.name) for c in schema]
+    return spark.range(1).select(*nulls).limit(0)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tracklayer.operators.status import as_stamp
+from tracklayer.session import empty_frame
 
 SAFETY_LAG_SECONDS = 120
 _NOTHING_THERE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
@@ -33,7 +34,7 @@ def read_parquet_or_none(spark: SparkSession, path: str, schema: T.StructType |
 def read_landing(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A landed table with its declared schema (``load_ts`` pinned to a long); empty if nothing landed."""
     df = read_parquet_or_none(spark, path, schema)
-    return spark.createDataFrame([], schema) if df is None else df
+    return empty_frame(spark, schema) if df is None else df
 
 
 def select_batch(

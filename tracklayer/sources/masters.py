@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tracklayer.session import empty_frame
 from tracklayer.sources.landing import read_parquet_or_none
 
 
@@ -59,8 +60,8 @@ def read_masters(spark: SparkSession, primary: str, backup: str) -> Masters:
 def no_masters(spark: SparkSession) -> Masters:
     """Empty masters, for jobs that run without enrichment."""
     return Masters(
-        status=spark.createDataFrame([], STATUS_SCHEMA),
-        customer=spark.createDataFrame([], CUSTOMER_SCHEMA),
-        pack=spark.createDataFrame([], PACK_SCHEMA),
-        group=spark.createDataFrame([], GROUP_SCHEMA),
+        status=empty_frame(spark, STATUS_SCHEMA),
+        customer=empty_frame(spark, CUSTOMER_SCHEMA),
+        pack=empty_frame(spark, PACK_SCHEMA),
+        group=empty_frame(spark, GROUP_SCHEMA),
     )

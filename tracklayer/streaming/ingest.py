@@ -13,6 +13,7 @@ from tracklayer.layouts import SOURCE_TABLES, Layout
 from tracklayer.operators.status import CLOSURE_CODES, as_stamp
 from tracklayer.plans.bundle import build_bundle
 from tracklayer.plans.layers import Layers
+from tracklayer.sources import paths
 from tracklayer.sources.feed import demultiplex, parse, source_table
 from tracklayer.sources.landing import read_parquet_or_none
 from tracklayer.sources.masters import Masters
@@ -82,6 +83,7 @@ def start_ingest(
                 codes=codes,
                 keep_status=keep_status,
             )
+            paths.remove(spark, f"{layers.root}/batch_time/batch={batch_id - 1}")
         finally:
             values.unpersist()
 
@@ -130,7 +132,7 @@ def start_landed_ingest(
     checkpoint: str,
     archive: str | None = None,
     trigger: Mapping[str, object] | None = None,
-    as_of: Callable[[], datetime] = datetime.now,
+    clock: Callable[[], datetime] = datetime.now,
     **options: str,
 ) -> StreamingQuery:
     """Merge a landed table into the layers as files arrive; the checkpoint is the watermark.
@@ -142,11 +144,15 @@ def start_landed_ingest(
     schema = layouts[family].landed_schema()
     stream = spark.readStream.schema(schema).options(**options).parquet(landing)
 
+    writer = f"landed-{family}"
+
     def handle(rows: DataFrame, batch_id: int) -> None:
+        now = batch_time(spark, f"{layers.root}/{writer}_time", batch_id, clock)
         rows = rows.persist()
         try:
             bundle = build_bundle({family: rows}, layouts, masters)
-            layers.apply(bundle, masters, as_of=as_of(), batch_id=batch_id, writer=f"landed-{family}")
+            layers.apply(bundle, masters, as_of=now, batch_id=batch_id, writer=writer)
+            paths.remove(spark, f"{layers.root}/{writer}_time/batch={batch_id - 1}")
         finally:
             rows.unpersist()
 
