@@ -205,8 +205,8 @@ def test_reload_replaces_the_link_journey(spark, layers, masters):
 
 def test_views(spark, layers, masters):
     apply(spark, layers, masters, {"IBS": frame(spark, "IBS", status("k", "123", 1))})
-    layers.register_views("ct_")
-    assert spark.sql("SELECT DLS FROM ct_persistent").first()[0] == "T123"
+    layers.register_views("now_")
+    assert spark.sql("SELECT DLS FROM now_persistent").first()[0] == "T123"
 
 
 # --- selection and the batch protocol

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tracklayer.layouts import NA, TOMBSTONE, Layout
@@ -103,6 +105,17 @@ def test_slices_do_not_change_the_journey(spark):
     assert rows(render(journey_parts(events, 1))) == whole
 
 
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    st.lists(st.tuples(st.sampled_from("xyz"), st.text(alphabet="ab~é", max_size=5)), min_size=1, max_size=30),
+    st.integers(1, 4),
+)
+def test_journey_is_the_sorted_distinct_events(spark, data, chars):
+    expected = {k: "|".join(sorted({e for j, e in data if j == k}, key=str.encode)) for k, _ in data}
+    events = spark.createDataFrame(data, "PK string, event string")
+    assert dict(rows(build_journey(events, chars))) == expected
+
+
 def test_hot_key_spreads_over_its_slices(spark):
     n = 30_000
     stamp = F.date_format(F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") * 60), "yyyy-MM-dd HH:mm:ss")

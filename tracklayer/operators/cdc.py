@@ -29,7 +29,8 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     """
     rest = [c for c in df.columns if c not in keys and c not in order]
     best = F.max(F.struct(*order, *rest)).alias("_best")
-    return df.groupBy(*keys).agg(best).select(*(F.col(c) if c in keys else F.col(f"_best.{c}").alias(c) for c in df.columns))
+    columns = [F.col(c) if c in keys else F.col(f"_best.{c}").alias(c) for c in df.columns]
+    return df.groupBy(*keys).agg(best).select(*columns)
 
 
 def split_cdc(df: DataFrame, layout: Layout, tombstone: bool = False, keep: Sequence[str] = ()) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tracklayer.functions.text import is_missing, or_empty, or_na, record
 from tracklayer.layouts import EVENT_SEP
 
-SLICE_CHARS = 13  # date and hour of a leading "yyyy-MM-dd HH:mm:ss"
+SLICE_CHARS = 16  # date, hour and minute of a leading "yyyy-MM-dd HH:mm:ss"
 
 
 def event_text(

@@ -8,7 +8,15 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracklayer.functions.text import MINUTE_FORMAT, MINUTE_STAMP_FORMAT, STAMP_FORMAT, is_missing, last_event, or_na, restamped
+from tracklayer.functions.text import (
+    MINUTE_FORMAT,
+    MINUTE_STAMP_FORMAT,
+    STAMP_FORMAT,
+    is_missing,
+    last_event,
+    or_na,
+    restamped,
+)
 from tracklayer.layouts import NA
 
 UNDELIVERED = "UD"

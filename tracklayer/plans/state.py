@@ -193,7 +193,11 @@ class StateTable:
         rows = self._rows(now, self.families)
         long = self._long_keys(rows) if self.journeys else None
         has_long = long is not None and not long.isEmpty()
-        stamps = {"commit": F.lit(_BASE_COMMIT).cast("long"), "part": F.lit(None).cast("string"), "replaces": F.lit(False)}
+        stamps = {
+            "commit": F.lit(_BASE_COMMIT).cast("long"),
+            "part": F.lit(None).cast("string"),
+            "replaces": F.lit(False),
+        }
         if has_long:
             base = self._folded(rows.join(long, "PK", "left_anti"), self.families).withColumns(stamps)
             kept = rows.join(long, "PK", "left_semi")

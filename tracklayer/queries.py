@@ -491,8 +491,8 @@ LEFT JOIN grp ON grp.ccompgrp = cust.ccompgrp"""
 )
 def pickup_enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = order_masters(spark, sf_dir)
-    calls = shipments(spark, sf_dir).select("cawbno", F.col("cbtparea").alias("carea"), F.col("cbtpcode").alias("ccustcode"))
-    return enrich_pickup(calls, m.customer, m.group).select("cawbno", "cust_ccompgrp", "cgrpname")
+    calls = shipments(spark, sf_dir).withColumns({"carea": F.col("cbtparea"), "ccustcode": F.col("cbtpcode")})
+    return enrich_pickup(calls.select("cawbno", "carea", "ccustcode"), m.customer, m.group).select("cawbno", "cust_ccompgrp", "cgrpname")
 
 
 # --- pickups and flights ---------------------------------------------------------------------------------------------
@@ -946,7 +946,8 @@ SELECT cawbno AS "PK", concat_ws('~', cawbno, dstatdate, coalesce(cemplcode, 'NA
   'Y' AS "SRT_AFLG", concat_ws('~', dstatdate, coalesce(cemplcode, 'NA!@#')) || ':' || op_type AS "SRJ" FROM top"""
 )
 def alternate_promotion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = status_rows(table(spark, sf_dir, "events")).withColumnsRenamed({"dstatdate": "dentdate", "cemplcode": "cremarks"})
+    rows = status_rows(table(spark, sf_dir, "events"))
+    rows = rows.withColumnsRenamed({"dstatdate": "dentdate", "cemplcode": "cremarks"})
     order = ["op_ts", "pos"]
     il = pivot_families({"SRT": split_cdc(rows, REDUCED["SRT"], keep=order)}, order)
     return promote_alternates(il, REDUCED)
