@@ -214,8 +214,8 @@ class StateTable:
 
     def _long_keys(self, rows: DataFrame) -> DataFrame:
         """Keys with a journey beyond ``cell_chars``: at most one per that many stored characters."""
-        beyond = [F.sum(F.length(j)) > self.cell_chars for j in self.journeys]
-        sized = rows.groupBy("PK").agg(reduce(Column.__or__, [F.coalesce(b, F.lit(False)) for b in beyond]).alias("long"))
+        beyond = [F.coalesce(F.sum(F.length(j)) > self.cell_chars, F.lit(False)) for j in self.journeys]
+        sized = rows.groupBy("PK").agg(reduce(Column.__or__, beyond).alias("long"))
         return materialise(sized.filter("long").select("PK"), work_path(self.spark, "long-journeys"))
 
     def vacuum(self) -> None:

@@ -492,7 +492,8 @@ LEFT JOIN grp ON grp.ccompgrp = cust.ccompgrp"""
 def pickup_enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = order_masters(spark, sf_dir)
     calls = shipments(spark, sf_dir).withColumns({"carea": F.col("cbtparea"), "ccustcode": F.col("cbtpcode")})
-    return enrich_pickup(calls.select("cawbno", "carea", "ccustcode"), m.customer, m.group).select("cawbno", "cust_ccompgrp", "cgrpname")
+    known = enrich_pickup(calls.select("cawbno", "carea", "ccustcode"), m.customer, m.group)
+    return known.select("cawbno", "cust_ccompgrp", "cgrpname")
 
 
 # --- pickups and flights ---------------------------------------------------------------------------------------------
@@ -583,7 +584,8 @@ def _leg_records(rows: DataFrame) -> DataFrame:
     """Latest inbound and outbound record of each shipment, encoded."""
     leg = F.when(F.col("event_type").isin("purchase", "view"), "IBS").otherwise("OBS")
     order = ["op_ts", "pos"]
-    return pivot_records(encode(rows.withColumn("family", leg), EVENT_LAYOUT, ["family", *order]), ["IBS", "OBS"], order)
+    records = encode(rows.withColumn("family", leg), EVENT_LAYOUT, ["family", *order])
+    return pivot_records(records, ["IBS", "OBS"], order)
 
 
 def _latest_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
