@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tracklayer.llm import bpe, url_filter
+from tracklayer.llm import bpe, url_filter, warc
 from tracklayer.llm.common import table
 
 #: Verdict and rule (host, leading part of the path).
@@ -26,6 +27,13 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(pages, url_filter.repeated_urls(pages), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written to archives and read back."""
+    records = warc.read_warc(warc.write_warc(table(spark, sf_dir, "pages")), payload=False).where("kind = 'record'")
+    page = [F.regexp_extract(c, "^<urn:page:(.+)>$", 1).try_cast("long") for c in ("record_id", "refers_to")]
+    return records.select(page[0].alias("page_id"), "payload_bytes", "payload_digest", "record_type", page[1].alias("refers_to"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str, tokenizers: Callable[[str], str] = public_tokenizers.path) -> DataFrame:
     """Count and digests of every document's ids, and of its bytes decoded from them."""
     ranks = bpe.read_ranks(tokenizers("byte_bpe_multi_50k.tiktoken"))
@@ -35,6 +43,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str, tokenizers: Callable[[str],
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_url_filter": op2_url_filter,
+    "op8_warc": op8_warc,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
@@ -62,4 +71,11 @@ ORACLES: dict[str, str] = {
         SELECT k.page_id, k.host, k.path, f.rule,
                coalesce(f.verdict, CASE WHEN l.key IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict
         FROM keyed k LEFT JOIN fitting f ON f.host = k.host AND f.path = k.path LEFT JOIN listed l ON l.key = k.key""",
+    "op8_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS payload, strlen(coalesce(html, '')) AS n FROM pages),
+        f AS (SELECT payload, max(page_id) AS first FROM p WHERE n >= 1000 GROUP BY payload)
+        SELECT p.page_id, p.n AS payload_bytes, sha1(p.payload) AS payload_digest,
+               CASE WHEN f.first <> p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN f.first <> p.page_id THEN f.first END AS refers_to
+        FROM p LEFT JOIN f ON f.payload = p.payload""",
 }
