@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracklayer.llm import bpe, url_filter, warc
+from tracklayer.llm import bpe, line_crf, url_filter, warc
 from tracklayer.llm.common import table
 
 #: Verdict and rule (host, leading part of the path).
@@ -27,6 +27,13 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(pages, url_filter.repeated_urls(pages), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, rules and verdict for every document; the field is fitted to a bounded sample of `labels`."""
+    docs = table(spark, sf_dir, "documents")
+    field = line_crf.fit_lines(docs, table(spark, sf_dir, "labels"))
+    return line_crf.judge_quality(docs, field).drop("marks")
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written to archives and read back."""
     records = warc.read_warc(warc.write_warc(table(spark, sf_dir, "pages")), payload=False).where("kind = 'record'")
@@ -43,6 +50,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str, tokenizers: Callable[[str],
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_url_filter": op2_url_filter,
+    "op4_quality_rules": op4_quality_rules,
     "op8_warc": op8_warc,
     "op10_byte_bpe": op10_byte_bpe,
 }
