@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracklayer.llm import bpe, line_crf, url_filter, warc
+from tracklayer.llm import bpe, line_crf, token_files, url_filter, warc
 from tracklayer.llm.common import table
 
 #: Verdict and rule (host, leading part of the path).
@@ -27,6 +27,12 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(pages, url_filter.repeated_urls(pages), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op3_token_files(spark: SparkSession, sf_dir: str, tokenizers: Callable[[str], str] = public_tokenizers.path) -> DataFrame:
+    """All documents written to token files and read back."""
+    files = token_files.write_tokens(table(spark, sf_dir, "documents"), tokenizers("byte_bpe_50k.json"), end_id=2)
+    return token_files.read_tokens(files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, rules and verdict for every document; the field is fitted to a bounded sample of `labels`."""
     docs = table(spark, sf_dir, "documents")
@@ -50,6 +56,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str, tokenizers: Callable[[str],
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_url_filter": op2_url_filter,
+    "op3_token_files": op3_token_files,
     "op4_quality_rules": op4_quality_rules,
     "op8_warc": op8_warc,
     "op10_byte_bpe": op10_byte_bpe,
