@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracklayer.llm import bpe, line_crf, token_files, url_filter, warc
+from tracklayer.llm import bpe, line_crf, substring_dedup, token_files, url_filter, warc
 from tracklayer.llm.common import table
 
 #: Verdict and rule (host, leading part of the path).
@@ -40,6 +40,12 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_crf.judge_quality(docs, field).drop("marks")
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without its repeated 20-word windows."""
+    kept = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), window=20)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written to archives and read back."""
     records = warc.read_warc(warc.write_warc(table(spark, sf_dir, "pages")), payload=False).where("kind = 'record'")
@@ -58,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_url_filter": op2_url_filter,
     "op3_token_files": op3_token_files,
     "op4_quality_rules": op4_quality_rules,
+    "op6_substring_dedup": op6_substring_dedup,
     "op8_warc": op8_warc,
     "op10_byte_bpe": op10_byte_bpe,
 }
@@ -86,6 +93,25 @@ ORACLES: dict[str, str] = {
         SELECT k.page_id, k.host, k.path, f.rule,
                coalesce(f.verdict, CASE WHEN l.key IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict
         FROM keyed k LEFT JOIN fitting f ON f.host = k.host AND f.path = k.path LEFT JOIN listed l ON l.key = k.key""",
+    "op6_substring_dedup": """
+        WITH w AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents
+        ), windows AS (
+            SELECT doc_id, i, array_to_string(words[i : i + 19], ' ') AS win
+            FROM (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS i FROM w WHERE len(words) >= 20)
+        ), later AS (
+            SELECT doc_id, i FROM windows QUALIFY row_number() OVER (PARTITION BY win ORDER BY doc_id, i) > 1
+        ), gone AS (
+            SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS at FROM later
+        ), placed AS (
+            SELECT doc_id, unnest(range(1, len(words) + 1)) AS at, unnest(words) AS word FROM w
+        ), left_over AS (
+            SELECT p.doc_id, string_agg(p.word, ' ' ORDER BY p.at) AS kept, count(*) AS n
+            FROM placed p ANTI JOIN gone g ON g.doc_id = p.doc_id AND g.at = p.at GROUP BY p.doc_id
+        )
+        SELECT w.doc_id, len(w.words) AS n_words, len(w.words) - coalesce(l.n, 0) AS n_removed,
+               sha256(coalesce(l.kept, '')) AS kept_sha256
+        FROM w LEFT JOIN left_over l ON l.doc_id = w.doc_id""",
     "op8_warc": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS payload, strlen(coalesce(html, '')) AS n FROM pages),
         f AS (SELECT payload, max(page_id) AS first FROM p WHERE n >= 1000 GROUP BY payload)
