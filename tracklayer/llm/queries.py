@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracklayer.llm import bpe, line_crf, substring_dedup, token_files, url_filter, warc
+from tracklayer.llm import bpe, line_crf, line_dedup, substring_dedup, token_files, url_filter, warc
 from tracklayer.llm.common import table
 
 #: Verdict and rule (host, leading part of the path).
@@ -46,6 +46,12 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without its repeated chunks of lines."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup_lines(docs).select("doc_id", "text", "n_lines", "n_removed_lines", "n_removed_chunks")
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written to archives and read back."""
     records = warc.read_warc(warc.write_warc(table(spark, sf_dir, "pages")), payload=False).where("kind = 'record'")
@@ -65,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_files": op3_token_files,
     "op4_quality_rules": op4_quality_rules,
     "op6_substring_dedup": op6_substring_dedup,
+    "op7_line_dedup": op7_line_dedup,
     "op8_warc": op8_warc,
     "op10_byte_bpe": op10_byte_bpe,
 }
@@ -112,6 +119,29 @@ ORACLES: dict[str, str] = {
         SELECT w.doc_id, len(w.words) AS n_words, len(w.words) - coalesce(l.n, 0) AS n_removed,
                sha256(coalesce(l.kept, '')) AS kept_sha256
         FROM w LEFT JOIN left_over l ON l.doc_id = w.doc_id""",
+    "op7_line_dedup": f"""
+        WITH split AS (
+            SELECT doc_id, text, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+        ), placed AS (
+            SELECT doc_id, unnest(range(1, len(lines) + 1)) AS i, unnest(lines) AS line FROM split
+        ), hashed AS (
+            SELECT *, ('0x' || substr(md5(line), 1, 8))::BIGINT % {line_dedup.LINE_RANGE} AS h FROM placed
+        ), cut AS (
+            SELECT *, coalesce((h + {line_dedup.FACTOR} * lag(h) OVER d) % {line_dedup.LINE_RANGE} % {line_dedup.MEAN_LINES} = 0, false) AS ends
+            FROM hashed WINDOW d AS (PARTITION BY doc_id ORDER BY i)
+        ), numbered AS (
+            SELECT *, coalesce(sum(ends::INT) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS k FROM cut
+        ), chunks AS (
+            SELECT doc_id, k, string_agg(line, chr(10) ORDER BY i) AS body, count(*) AS lines,
+                   count(*) FILTER (WHERE trim(line, ' ') <> '') AS filled
+            FROM numbered GROUP BY doc_id, k
+        ), judged AS (
+            SELECT *, filled >= 2 AND row_number() OVER (PARTITION BY body ORDER BY doc_id, k) > 1 AS gone FROM chunks
+        )
+        SELECT s.doc_id, CASE WHEN bool_or(j.gone) THEN coalesce(string_agg(j.body, chr(10) ORDER BY j.k) FILTER (WHERE NOT j.gone), '') ELSE any_value(s.text) END AS text,
+               sum(j.lines)::BIGINT AS n_lines, coalesce(sum(j.lines) FILTER (WHERE j.gone), 0)::BIGINT AS n_removed_lines,
+               count(*) FILTER (WHERE j.gone) AS n_removed_chunks
+        FROM split s JOIN judged j ON j.doc_id = s.doc_id GROUP BY s.doc_id""",
     "op8_warc": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS payload, strlen(coalesce(html, '')) AS n FROM pages),
         f AS (SELECT payload, max(page_id) AS first FROM p WHERE n >= 1000 GROUP BY payload)
