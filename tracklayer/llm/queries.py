@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracklayer.llm import bpe, line_crf, line_dedup, substring_dedup, token_files, url_filter, warc
+from tracklayer.llm import bpe, line_crf, line_dedup, near_dup, substring_dedup, token_files, url_filter, warc
 from tracklayer.llm.common import table
 
 #: Verdict and rule (host, leading part of the path).
@@ -59,6 +59,11 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select(page[0].alias("page_id"), "payload_bytes", "payload_digest", "record_type", page[1].alias("refers_to"))
 
 
+def op9_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's class of near-duplicates."""
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str, tokenizers: Callable[[str], str] = public_tokenizers.path) -> DataFrame:
     """Count and digests of every document's ids, and of its bytes decoded from them."""
     ranks = bpe.read_ranks(tokenizers("byte_bpe_multi_50k.tiktoken"))
@@ -73,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_substring_dedup": op6_substring_dedup,
     "op7_line_dedup": op7_line_dedup,
     "op8_warc": op8_warc,
+    "op9_near_dup": op9_near_dup,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
