@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracklayer.llm import bpe, line_crf, line_dedup, near_dup, substring_dedup, token_files, url_filter, warc
+from tracklayer.llm import bpe, decontaminate, line_crf, line_dedup, near_dup, substring_dedup, token_files, url_filter, warc
 from tracklayer.llm.common import table
 
 #: Verdict and rule (host, leading part of the path).
@@ -21,6 +21,11 @@ URL_RULES = [
 ]
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold an item of the benchmark, with the item, the similarity and the place."""
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on every page; the list holds the canonical URLs that several pages carry."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
@@ -72,6 +77,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str, tokenizers: Callable[[str],
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
     "op2_url_filter": op2_url_filter,
     "op3_token_files": op3_token_files,
     "op4_quality_rules": op4_quality_rules,
@@ -86,6 +92,32 @@ _HOST = "translate(regexp_extract(url, '^(?s:.*?)://([^/?#]*)', 1), 'ABCDEFGHIJK
 _PATH = "regexp_extract(url, '^(?s:.*?)://[^/?#]*([^?#]*)', 1)"
 
 ORACLES: dict[str, str] = {
+    "op1_decontamination": f"""
+        WITH d AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{{L}}\\p{{N}}]+'), lambda w: w <> '') AS words FROM documents
+        ), b AS (
+            SELECT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{{L}}\\p{{N}}]+'), lambda w: w <> '') AS words FROM benchmark
+        ), ds AS (
+            SELECT doc_id, i - 1 AS pos, length, array_to_string(words[i : i + 4], ' ') AS shingle
+            FROM (SELECT doc_id, words, len(words) AS length, unnest(range(1, len(words) - 3)) AS i FROM d WHERE len(words) >= 5)
+        ), bs AS (
+            SELECT item_id, i - 1 AS off, n, array_to_string(words[i : i + 4], ' ') AS shingle
+            FROM (SELECT item_id, words, len(words) AS n, unnest(range(1, len(words) - 3)) AS i FROM b WHERE len(words) >= 5)
+        ), windows AS (
+            SELECT DISTINCT doc_id, item_id, n, greatest(0, least(pos - off, length - n)) AS start, least(n, length) AS span
+            FROM ds JOIN bs USING (shingle)
+        ), wc AS (
+            SELECT w.doc_id, w.item_id, w.start, w.n, w.span - 4 AS of_window, s.shingle, count(*) AS a
+            FROM windows w JOIN ds s ON s.doc_id = w.doc_id AND s.pos BETWEEN w.start AND w.start + w.span - 5 GROUP BY ALL
+        ), bc AS (
+            SELECT item_id, shingle, count(*) AS b FROM bs GROUP BY ALL
+        ), common AS (
+            SELECT doc_id, item_id, start, of_window, n, sum(least(a, b)) AS common FROM wc JOIN bc USING (item_id, shingle) GROUP BY ALL
+        ), valued AS (
+            SELECT doc_id, item_id, start, common::DOUBLE / (of_window + n - 4 - common)::DOUBLE AS similarity FROM common
+        )
+        SELECT doc_id, item_id, similarity, start FROM valued WHERE similarity >= {decontaminate.SIMILARITY}
+        QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start) = 1""",
     "op2_url_filter": f"""
         WITH parts AS (
             SELECT page_id, coalesce({_HOST}, '') AS host, coalesce({_PATH}, '') AS path FROM pages
