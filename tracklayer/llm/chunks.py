@@ -68,8 +68,11 @@ class Chunk:
         return pd.Series(self.ids).astype("Int64").mask(self.ids == NO_ID)
 
 
-def make_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lower: bool = False) -> DataFrame:
-    """All documents with their words, stored. Ids are integers; null is kept. `lower` folds A-Z first."""
+def make_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lower: bool = False, describe: Callable[[list[str]], bytes] | None = None) -> DataFrame:
+    """All documents with their words, stored. Ids are integers; null is kept. `lower` folds A-Z first.
+
+    `describe` makes a column `described` from the distinct words of a chunk.
+    """
     rows = id_and_text(docs, id_col, text_col)
     if rows.schema["id"].dataType.typeName() not in ("byte", "short", "integer", "long"):
         raise TypeError("ids must be integers")
@@ -92,6 +95,8 @@ def make_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 "words": "\n".join(words).encode("utf-8", "surrogatepass"),
                 "codes": squeeze(codes),
             }
+            if describe:
+                row["described"] = describe(list(words))
             return pa.RecordBatch.from_pandas(pd.DataFrame([row]), preserve_index=False)
 
         for batch in batches:
@@ -106,7 +111,7 @@ def make_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         if ids:
             yield close()
 
-    return stored(rows.mapInArrow(build, CHUNK_SCHEMA), "chunks")
+    return stored(rows.mapInArrow(build, CHUNK_SCHEMA + (", described binary" if describe else "")), "chunks")
 
 
 def shard_bits(total_keys: int) -> int:

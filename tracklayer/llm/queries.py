@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracklayer.llm import bpe, decontaminate, line_crf, line_dedup, near_dup, substring_dedup, token_files, url_filter, warc
+from tracklayer.llm import attention_lm, bpe, decontaminate, line_crf, line_dedup, near_dup, substring_dedup, token_files, url_filter, warc
 from tracklayer.llm.common import table
 
 #: Verdict and rule (host, leading part of the path).
@@ -45,6 +45,11 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_crf.judge_quality(docs, field).drop("marks")
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str, tokenizers: Callable[[str], str] = public_tokenizers.path) -> DataFrame:
+    """Every text's log10 probability, by word counts and by the attention model."""
+    return attention_lm.score_texts(table(spark, sf_dir, "documents"), tokenizers("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without its repeated 20-word windows."""
     kept = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), window=20)
@@ -81,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_url_filter": op2_url_filter,
     "op3_token_files": op3_token_files,
     "op4_quality_rules": op4_quality_rules,
+    "op5_lm_scoring": op5_lm_scoring,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_line_dedup": op7_line_dedup,
     "op8_warc": op8_warc,
