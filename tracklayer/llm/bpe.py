@@ -28,6 +28,7 @@ from sentencepiece import sentencepiece_model_pb2 as model_pb2
 from tracklayer.llm.common import id_and_text
 
 REMEMBERED = 200_000
+STEP_DOCS = 500
 
 
 def byte_characters() -> list[str]:
@@ -123,14 +124,16 @@ def encode_texts(
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(model, pattern)
-        for batch in batches:
-            columns = [[] for _ in types]
-            for text in batch.column("text"):
-                ids = codec.encode(text.as_py())
-                for column, value in zip(columns, make(ids, codec.decode(ids)), strict=True):
-                    column.append(value)
-            made = [pa.array(c, t.type) for c, t in zip(columns, types, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), *made], names=[id_col, *types.names])
+        for whole in batches:
+            for start in range(0, whole.num_rows, STEP_DOCS):
+                batch = whole.slice(start, STEP_DOCS)
+                columns = [[] for _ in types]
+                for text in batch.column("text"):
+                    ids = codec.encode(text.as_py())
+                    for column, value in zip(columns, make(ids, codec.decode(ids)), strict=True):
+                        column.append(value)
+                made = [pa.array(c, t.type) for c, t in zip(columns, types, strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column("id"), *made], names=[id_col, *types.names])
 
     return id_and_text(docs, id_col, text_col).mapInArrow(encode, f"`{id_col}` {kind}, {schema}")
 

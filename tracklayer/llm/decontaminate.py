@@ -88,7 +88,8 @@ def find_leaks(
     anchors = hashed.select("n", F.posexplode(_shingles(F.col("h"), False)).alias("offset", "shingle")).distinct()
     anchors = stored(anchors, "anchors")
     texts = rows.withColumn("h", F.transform(_words(F.col("text")), lambda w: F.xxhash64(w)))
-    placed = texts.select("id", "tie", F.size("h").alias("length"), F.posexplode(_shingles(F.col("h"), False)).alias("pos", "shingle"))
+    # outer, as a plain generator gets a filter on its array, which would be moved below and computed for every element
+    placed = texts.select("id", "tie", F.size("h").alias("length"), F.posexplode_outer(_shingles(F.col("h"), False)).alias("pos", "shingle"))
     met = placed.join(_small(anchors, anchors.count()), "shingle")
     start = F.greatest(F.lit(0), F.least(F.col("pos") - F.col("offset"), F.col("length") - F.col("n")))
     spans = met.select("id", "tie", start.alias("start"), F.col("n").alias("span")).distinct()
@@ -98,7 +99,7 @@ def find_leaks(
     held = held.select("id", "tie", "spans", _words(F.col("text")).alias("all"))
     cut = F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["span"].alias("span"), F.slice("all", s["start"] + 1, s["span"]).alias("words")))
     key = ["id", "tie", "start", "span"]
-    windows = stored(held.select("id", "tie", F.inline(cut)), "windows")
+    windows = stored(held.select("id", "tie", F.inline_outer(cut)), "windows")
 
     window_blocks = hamming_blocks(fingerprints(windows, key).drop("n"), radius)
     item_blocks = hamming_blocks(fingerprints(bench, ["item"]), radius).select("item", F.col("n").alias("span"), F.col("fp").alias("item_fp"), "block", "value")

@@ -200,6 +200,27 @@ def judge_quality(docs: DataFrame, field: LineField | None, kept_share: float =
     return judged.withColumn("kept", ~F.col("base_failed") & (F.col("content_share") >= kept_share))
 
 
+def keep_good(docs: DataFrame, field: LineField | None, kept_share: float = KEPT_SHARE, text_col: str = "text") -> DataFrame:
+    """The rows of documents that stay, with all their columns: the verdict of `judge_quality`, without a join."""
+    place = docs.columns.index(text_col)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = []
+            for text in batch.column(place):
+                counts, share, _ = _verdict(text.as_py() or "", field)
+                good.append(not counts.failed and share >= kept_share)
+            yield batch.filter(pa.array(good, pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
+def _verdict(text: str, field: LineField | None) -> tuple[Measures, float, list[int]]:
+    counts, features, sizes = measure(text)
+    marks = field.decode(features) if field else [1] * len(sizes)
+    return counts, sum(n for n, mark in zip(sizes, marks, strict=True) if mark) / max(1, counts.n_words), marks
+
+
 def _judged(docs: DataFrame, field: LineField | None, id_col: str, text_col: str) -> DataFrame:
     kind = docs.schema[id_col].dataType.simpleString()
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -209,9 +230,7 @@ def _judged(docs: DataFrame, field: LineField | None, id_col: str, text_col: str
         for batch in batches:
             rows = []
             for text in batch.column("text"):
-                counts, features, sizes = measure(text.as_py())
-                marks = field.decode(features) if field else [1] * len(sizes)
-                share = sum(n for n, mark in zip(sizes, marks, strict=True) if mark) / max(1, counts.n_words)
+                counts, share, marks = _verdict(text.as_py(), field)
                 rows.append({n: getattr(counts, n) for n in names} | {"base_failed": counts.failed, "content_share": share, "marks": "".join("bc"[m] for m in marks)})
             made = pa.RecordBatch.from_pylist(rows, schema)
             yield pa.RecordBatch.from_arrays([batch.column("id"), *made.columns], names=[id_col, *schema.names])
