@@ -1,8 +1,8 @@
 """Token files: ids under one canonical, length-limited Huffman code, in blocks that decode independently.
 
 1. Documents are range-partitioned and sorted by id, and encoded once. Text is looked up in chunks (a word with its leading
-   space, or white space between words; the pre-tokeniser never joins across them) and chunks not seen lately go to the
-   tokeniser, so its result is that of the whole text. The ids are stored in the shared folder.
+   space, other characters between white space, or white space; the pre-tokeniser never joins across them). Chunks not seen
+   lately go to the tokeniser, a plain word straight to its merges, so the result is that of the whole text. The ids are stored in the shared folder.
 2. The ids' counts over all documents, at most one for each vocabulary entry, give the code lengths (package-merge, so no
    code is longer than `max_bits`), and the lengths alone give the canonical code.
 3. Each task writes files of bounded size: blocks of packed codes, and behind them the code lengths, the document table,
@@ -17,11 +17,13 @@ hash of their text. An empty table gives no file. Other columns of the input are
 
 from __future__ import annotations
 
+import array
 import functools
 import json
 import os
 import re
 import struct
+import sys
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -32,6 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tracklayer.llm.bpe import byte_characters
 from tracklayer.llm.common import file_system, id_and_text, stored
 from tracklayer.session import work_path
 
@@ -40,11 +43,35 @@ BLOCK_TOKENS = 1 << 16
 CHECKPOINT = 128
 FILE_TOKENS = 2_000_000
 MOST_TASKS = 4096
-REMEMBERED = 400_000
+REMEMBERED = 800_000
 MAGIC = b"TOKHUF01"
 #: What the pre-tokeniser takes for white space.
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-_CHUNK = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
+#: Latin letters, each of which the pre-tokeniser takes for a letter.
+_LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
+_WORD = f" ?[{_LETTER}]+"
+_CHUNK = re.compile(f"{_WORD}(?=[\\x00-@\\[-`{{-\\x7f]|\\Z)| ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
+
+
+class _Known(dict):
+    """Packed ids of chunks; a chunk not seen yet is encoded."""
+
+    def __init__(self, tokenizer, kind: np.dtype):
+        super().__init__()
+        self.tokenizer, self.model, self.code = tokenizer, tokenizer.model, {2: "H", 4: "I"}[kind.itemsize]
+        self.is_word = re.compile(_WORD).fullmatch
+        self.characters = {b: ord(c) for b, c in enumerate(byte_characters())}
+
+    def __missing__(self, chunk: str) -> bytes:
+        if self.is_word(chunk):  # one pre-token by itself
+            ids = [t.id for t in self.model.tokenize(chunk.encode().decode("latin-1").translate(self.characters))]
+        else:
+            ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
+        packed = array.array(self.code, ids)
+        if sys.byteorder == "big":
+            packed.byteswap()
+        found = self[chunk] = packed.tobytes()
+        return found
 
 
 class TextEncoder:
@@ -54,22 +81,16 @@ class TextEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.known: dict[str, bytes] = {}
+        tokenizer = Tokenizer.from_file(path)
+        tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.kind = np.dtype("<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.known = _Known(tokenizer, self.kind)
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
-        chunks = [_CHUNK.findall(text) for text in texts]
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new = list(set().union(*chunks).difference(self.known))
-        for i in range(0, len(new), 10_000):
-            part = new[i : i + 10_000]
-            for chunk, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.known[chunk] = np.array(found.ids, self.kind).tobytes()
-        for own in chunks:
-            yield b"".join(map(self.known.__getitem__, own))
+        for text in texts:
+            if len(self.known) > REMEMBERED:
+                self.known.clear()
+            yield b"".join(map(self.known.__getitem__, _CHUNK.findall(text)))
 
 
 @functools.lru_cache(maxsize=1)
