@@ -62,7 +62,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """The documents with repeated chunks of lines removed, and n_lines, n_removed_lines, n_removed_chunks (long)."""
     rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("tie"))
     rows = with_chunks(rows, window, mean)
-    pieces = rows.select("id", "tie", F.inline("chunks")).where("full >= 2").withColumn("key", F.xxhash64("body"))
+    # outer, as a plain generator gets a filter on its array, which would be moved below and computed for every element
+    pieces = rows.select("id", "tie", F.inline_outer("chunks")).where("full >= 2").withColumn("key", F.xxhash64("body"))
     place = F.struct("id", "tie", "k")
     first = pieces.groupBy("key").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1").select("key", "first")
     met = stored(pieces.join(first, "key").select("key", "id", "tie", "k", "body", place.eqNullSafe(F.col("first")).alias("lead")), "line-chunks")
@@ -80,5 +81,6 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         "n_removed_lines": F.when(F.col("gone").isNull(), F.lit(0).cast("long")).otherwise(removed),
         "n_removed_chunks": F.when(F.col("gone").isNull(), F.lit(0).cast("long")).otherwise(F.size("gone").cast("long")),
     }
-    kept = [(text if c == text_col else F.col("row").getField(c)).alias(c) for c in docs.columns if c not in added]
-    return joined.select(*kept, *(v.alias(c) for c, v in added.items()))
+    done = joined.select("row", text.alias("new_text"), *(v.alias(c) for c, v in added.items()))
+    kept = [(F.col("new_text") if c == text_col else F.col("row").getField(c)).alias(c) for c in docs.columns if c not in added]
+    return done.select(*kept, *added)
