@@ -6,7 +6,7 @@ from pathlib import Path
 
 import duckdb
 
-TABLES = "region nation customer supplier part orders lineitem events documents".split()
+TABLES = "region nation customer supplier part orders lineitem events documents pages benchmark labels".split()
 
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:

@@ -133,7 +133,7 @@ def test_shipments_are_enriched_and_deletes_become_tombstones(spark, layers, mas
 def test_duplicate_masters_do_not_repeat_a_stored_key(spark, layers, masters):
     twice = Masters(masters.status.union(masters.status), masters.customer, masters.pack, masters.group)
     apply(spark, layers, twice, {"IBS": frame(spark, "IBS", status("k", "123", 1))})
-    rows = spark.read.parquet(f"{layers.persistent.path}/log").filter("IBS IS NOT NULL")
+    rows = spark.read.parquet(f"{layers.persistent.path}/records").filter("IBS IS NOT NULL")
     assert rows.count() == 1
 
 
@@ -169,12 +169,12 @@ def test_alternates_and_links_go_to_both_tables(spark, layers, masters):
 def test_flight_and_contact_and_deletes(spark, layers, masters):
     sfm = frame(spark, "SFM", ("k", "r", "d", "o", "c", "S", "1", None, "l", "x", "t1", "U", 20190801000000))
     adt = spark.createDataFrame(
-        [("9", "c", "snd", "Y", "t1", "I"), ("9", "c", "rcv", "N", "t1", "I")],
+        [("9", "c", "snd", "Y", "t1", "I"), ("9", "c", "r~c|v", "N", "t1", "I")],
         "nawbid string, ccode string, cattn string, cshipper string, op_ts string, op_type string",
     )
     apply(spark, layers, masters, {"SFM": sfm, "ADT": adt})
     assert stored(layers.persistent, "SFJ") == {"k": "r~d~o~c~S~1~~l~x:U"}
-    assert stored(layers.contact, "ADT") == {"9": "9~c~rcv~snd~t1"}
+    assert stored(layers.contact, "ADT") == {"9": "9~c~rcv~snd~t1"}  # without the separators
     gone = delete_bundle(frame(spark, "MDP", ("k", "p", "t", "D", 1), ("l", "p", "t", "I", 1)), LAYOUTS["MDP"])
     layers.apply(gone, masters, as_of=AS_OF, batch_id=2)
     assert stored(layers.deleted, "DEL") == {"k": "k~p~t~D~1"}

@@ -67,12 +67,14 @@ def test_decode_inverts_encode_after_scrub(spark, rows):
 def test_layout_sizes_and_rule():
     layouts = default_layouts({"ABM": ["nawbid", "CAWBNO", "cprodcode", "op_ts", "op_type", "load_ts"]})
     sizes = {f: len(layouts[f].columns) for f in layouts}
-    assert sizes == {"IBS": 22, "OBS": 22, "MDP": 35, "ALK": 18, "SRT": 29, "MOD": 34, "SFM": 50, "ADT": 5, "ABM": 6}
+    assert sizes == {"IBS": 22, "OBS": 22, "MDP": 35, "ALK": 18, "SRT": 29, "MOD": 34, "SFM": 50, "ADT": 5, "ABM": 6, "CPS": 94}
     assert layouts["ABM"].columns == ("cawbno", "nawbid", "cprodcode", "op_ts", "op_type", "load_ts")
     assert len(layouts["IBS"].persistent_columns) == 21
     pickup = layout_from_columns("CPS", ["carea", "ntokenno"])
     assert pickup.columns == ("ntokenno", "carea", "op_ts", "op_type", "cust_ccompgrp", "cgrpname", "load_ts")
     assert not pickup.trim_key
+    assert len(default_layouts()["ABM"].fields) == 130 and default_layouts()["ABM"].key == "cawbno"
+    assert len(default_layouts()["CPS"].fields) == 89 and default_layouts()["CPS"].key == "ntokenno"
 
 
 def test_schemas_follow_the_layout():

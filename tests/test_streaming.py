@@ -127,6 +127,31 @@ def test_failure_stops_the_query(spark, tmp_path):
         query.awaitTermination()
 
 
+def test_landing_keeps_every_batch_of_one_second(spark, tmp_path):
+    for i, envelopes in enumerate((FEED[0][:1], FEED[0][1:], *FEED[1:])):
+        write(tmp_path / "feed", f"f{i}", envelopes)
+    landing = str(tmp_path / "landing")
+
+    def land(name, layouts):
+        start_landing(
+            read_feed(spark, "text", path=str(tmp_path / "feed"), maxFilesPerTrigger="1"),
+            f"{landing}/{name}",
+            layouts,
+            checkpoint=str(tmp_path / f"c{name}"),
+            times=str(tmp_path / f"times{name}"),
+            trigger={"availableNow": True},
+            clock=lambda: NOW,
+        ).awaitTermination()
+
+    land("all", LAYOUTS)
+    inbound = [e for batch in FEED for e in batch if "INBOUNDSTATUSREMARK" in str(e)]
+    rows = spark.read.parquet(f"{landing}/all/INBOUNDSTATUSREMARK")
+    assert rows.count() == len(inbound) and set(rows.columns) >= {"cawbno", "load_ts"} and "batch" not in rows.columns
+    assert {"nawbid", "caddresstype"} < set(spark.read.parquet(f"{landing}/all/AWBADDRESSDETAILS").columns)
+    with pytest.raises(Exception, match="no layout for"):
+        land("some", {"IBS": LAYOUTS["IBS"]})
+
+
 def test_landing_then_file_stream(spark, tmp_path):
     write(tmp_path / "feed", "f0", FEED[0] + FEED[1])
     landing = str(tmp_path / "landing")

@@ -2,8 +2,8 @@
 
 Every layout follows one rule: the key column first, then the other business columns in the order of the source
 table, then the trailing change columns. So a layout needs nothing but the column order of its table, and
-``layout_from_columns`` builds one from a landed table's schema. The narrow tables are stated below because the
-journey and status rules read them by name; the three wide masters (ABM, SLT, CPS) take their columns from the data.
+``layout_from_columns`` builds one from a landed table's schema. All tables but one are stated below, so that a feed
+can be landed and merged from nothing; the widest (SLT) takes its columns from the caller.
 """
 
 from __future__ import annotations
@@ -63,6 +63,40 @@ SOURCE_TABLES = {
     "AWBADDRESSDETAILS": "ADT",
 }
 
+# Columns of wide source tables in source order. The client detail table, with 219 columns, is a parameter.
+WIDE_COLUMNS = {
+    "ABM": """nawbid cawbno cprodcode cprodtype corgarea cdstarea cbatchno npcs dshipdate dpudate ntokenno cpuwi
+        ndimweight ccustcode ncshmemno ccmdtycode ncolamt namt ctrncode csplinst cpacktype coda cmode
+        cgsacode cfodcodflg cfoccode cbtpcode cbtparea cbillno brefno bduty csectyck nparrentcontid
+        bbillcnee cpuempcode bstamdart corgscrcd cdstscrcd bpriority csubcode ncurlookupid cputime cflfm
+        cdhlacctno crtoarea crtocode cemailid nweight noctroi nduty nsmartboxtypea nsmartboxtypeb ndccount
+        cbillcac bcrcrdref ndcrecd cdlvpurtcd caccuracy cdlcode ckgpound cmloccode cadecode dinscandt
+        cinscanloc bedptrnx bcrcrdpay biatadtl cdocattach cemplcode nopcs cmustgocrg codocattac
+        cdataentryloc bshpcrcrdref deptdtdlv bdetain cisoverage cdhlflag ddemudt ndemuamt cdemucode
+        cdemuloccode dstatusdt bcsbprinted ddataentrydt dbatchdt castattype castatcode cstatemplcode
+        caremarks captcode bpwpalletized cprintmode cpromocode crtoimtly bdgshipment ispwrec cpreftm crevpu
+        cpscode cfrdawbno crfdcompnm crefno2 crefno3 cpumode cputype nitemcnt bpartialpu npaycash nputmslot
+        cmanifstno coffcltime ndeferreddeliverydays dcustedd cisddn cactdelloc cgstno cvehicleno cexchawb
+        dprefdate cpreftime ndistance dcustpudt ccustputm cavailtime cavaildays cotptype notpno cpackagingid
+        cccode""",
+    "CPS": """carea cscrcd dregdate cprodcode cprodtype ctrncode ccustcode ccustname ccustadr1 ccustadr2 ccustadr3
+        ccustpin ccusttel ccontact dpudate cputime cpupsdtm cremarks npcs nweight ntokenno cdlvpurtcd
+        ctrnxpsd cpupsdemp bprinted ccustfax cmobileno cpsdbyemp cloggedby creminder dremdate coffcltime
+        cfod ccod coda bpriority caltpurtcd cpuemplcd caltpuemp nsrno ctdd cmode dactpudate cactputime
+        cactpuemp creschpu cemailid cbox cstatcode cstattype caltscrcd cregisterby cmodifiedby dmodifieddate
+        nvolweight ctopay cpustatus islocked lockinguser cdtp csii cimpexp numberofbox creasonremark
+        catmptime cawbno newntokenno dreassigneddate ccallername ccallerphone dreschdate bedptrnx cfilename
+        cpuarea cisbulkupld cisdedone crefno etail crawbno dstatusentrydt crevpu nattempted cclstatcode
+        cclstattype cclatmptime callstatus cisnewpu cisddn cgstno""",
+}
+
+# Columns of the address table in source order.
+ADDRESS_COLUMNS = tuple(
+    """nawbid cname ccode cattn cpincode cphoneno cmobile cemailid cfax cshipper naddpreference caddress1
+        caddress2 caddress3 ccntrycode cstatecode cgstno cgpslat cgpslon cdsource cconmobmask caddresstype
+        ccstmobmas crtomobmas""".split()
+)
+
 # Families whose first field is trimmed like the key, and whose key is taken as it is.
 TRIMMED_FIRST_FIELD = frozenset({"ABM", "IBS", "OBS", "SLT", "MDP"})
 UNTRIMMED_KEY = frozenset({"CPS", "ADT"})
@@ -77,7 +111,6 @@ CUSTOMER_EXTRA = (
     "pack_cprodgroup",
     "cgrpname",
 )
-PERSISTENT_EXTRA = {"IBS": STATUS_EXTRA, "OBS": STATUS_EXTRA, "ABM": CUSTOMER_EXTRA, "SLT": CUSTOMER_EXTRA}
 
 
 @dataclass(frozen=True)
@@ -135,7 +168,7 @@ def layout_from_columns(family: str, columns: Iterable[str], key: str | None = N
 
 
 def default_layouts(wide: Mapping[str, Iterable[str]] | None = None) -> dict[str, Layout]:
-    """Layouts of all narrow families, plus the wide ones whose column order is given (family -> columns)."""
+    """Layouts of all families with stated columns, and of those whose column order is given (family -> columns)."""
     layouts = {
         family: Layout(
             family,
@@ -146,6 +179,7 @@ def default_layouts(wide: Mapping[str, Iterable[str]] | None = None) -> dict[str
         )
         for family, text in COLUMNS.items()
     }
-    for family, columns in (wide or {}).items():
+    stated = {family: text.split() for family, text in WIDE_COLUMNS.items()}
+    for family, columns in {**stated, **(wide or {})}.items():
         layouts[family] = layout_from_columns(family, columns)
     return layouts

@@ -17,10 +17,6 @@ def without_deletes(df: DataFrame) -> DataFrame:
     return df.filter(F.col("op_type") != "D")
 
 
-def only_deletes(df: DataFrame) -> DataFrame:
-    return df.filter(F.col("op_type") == "D")
-
-
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key: the greatest by ``order``, ties settled by the rest of the row.
 

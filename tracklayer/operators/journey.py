@@ -48,10 +48,6 @@ def flight_event() -> Column:
     return event_text([*fields, "dstatdate"])
 
 
-def instruction_event() -> Column:
-    return event_text(["dentdate", "cremarks"])
-
-
 def events_of(df: DataFrame, key: Column | str, text: Column) -> DataFrame:
     """``(PK, event)`` of every row with a key."""
     key = F.col(key) if isinstance(key, str) else key

@@ -15,6 +15,7 @@ from tracklayer.plans.bundle import build_bundle
 from tracklayer.plans.layers import Layers
 from tracklayer.session import concurrently
 from tracklayer.sources import paths
+from tracklayer.sources.feed import landed_schema
 from tracklayer.sources.landing import (
     SAFETY_LAG_SECONDS,
     latest_partition,
@@ -46,16 +47,19 @@ class BatchConfig:
 
     def sources(self) -> dict[str, str]:
         """Family -> table directory, for families with a layout."""
-        return {f: t for t, f in self.tables.items() if f in self.layouts and f != "ADT"}
+        return {f: t for t, f in self.tables.items() if f in self.layouts}
 
 
 def stage_batch(spark: SparkSession, config: BatchConfig, as_of: datetime) -> int | None:
     """Write what is due of every table to a fresh staging folder; its number, or None if nothing is due."""
     batch_id = as_stamp(as_of)
     folder = f"{config.staging}/{batch_id}"
+    unknown = [t for t, f in config.tables.items() if f not in config.layouts]
+    if landed := [t for t in unknown if paths.child_names(spark, f"{config.landing}/{t}")]:
+        raise ValueError(f"no layout for {landed}")
 
     def stage(family: str, table: str) -> bool:
-        schema = config.layouts[family].landed_schema()
+        schema = landed_schema(config.layouts[family])
         landed = read_landing(spark, f"{config.landing}/{table}", schema)
         last = read_parquet_or_none(spark, f"{config.last}/{table}", schema)
         due = select_batch(landed, last, as_of, config.lag_seconds)
@@ -83,7 +87,7 @@ def staged_changes(spark: SparkSession, config: BatchConfig, batch_id: int) -> d
     changes = {}
     for family, table in config.sources().items():
         path = f"{config.staging}/{batch_id}/{table}"
-        df = read_parquet_or_none(spark, path, config.layouts[family].landed_schema())
+        df = read_parquet_or_none(spark, path, landed_schema(config.layouts[family]))
         if df is not None:
             changes[family] = df
     return changes

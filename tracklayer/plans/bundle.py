@@ -79,7 +79,7 @@ def build_bundle(
         bundle["CPJ"] = journey_parts(events_of(rows, F.trim(layout.key), pickup_event()))
         bundle["LTS"] = pickup_load_ts(without_deletes(changes["CPS"]), layout.key)
     if "ADT" in changes:
-        rows = without_deletes(changes["ADT"])
+        rows = scrub(without_deletes(changes["ADT"]), ["nawbid", "ccode", "cattn"])
         bundle["ADT"] = encode(contact_pair(rows, order=order_columns(rows)), layouts["ADT"], ["op_ts"])
     if "SFM" in changes:
         rows = scrub(without_deletes(changes["SFM"]), layouts["SFM"].fields)

@@ -17,6 +17,7 @@ from tracklayer.plans.bundle import RECORD_FAMILIES, ROUTES, latest_of
 from tracklayer.plans.promote import batch_stamps, promote, promote_alternates
 from tracklayer.plans.state import StateTable
 from tracklayer.session import concurrently, empty_frame, materialise
+from tracklayer.sources import paths
 from tracklayer.sources.masters import Masters
 
 
@@ -88,7 +89,8 @@ class Layers:
             raise ValueError(f"no route for {sorted(unknown)}")
         if self.control.committed(writer, batch_id):
             return False
-        il = materialise(self.incremental(bundle), f"{self.root}/incremental")
+        place = f"{self.root}/incremental/{writer}/{batch_id}"
+        il = materialise(self.incremental(bundle), place)
         stamp = self._stamp(il)
         done = {"batch_id": batch_id, "writer": writer}
 
@@ -111,6 +113,7 @@ class Layers:
         concurrently(self.spark, *jobs)
         # Key 1 -> load timestamp. A batch without stamps leaves it, but is closed all the same.
         self.control.upsert(self.spark.range(1).select(F.lit("1").alias("PK"), F.lit(stamp).alias("PL")), **done)
+        paths.remove(self.spark, place)
         return True
 
     def _routed(self, name: str, bundle: Mapping[str, DataFrame], il: DataFrame) -> list[DataFrame | None]:

@@ -1,18 +1,21 @@
-"""Keyed state on plain parquet: a base plus an append-only log of commits.
+"""Keyed state on plain parquet: records in a base and a log of commits, journeys as rows.
 
 A row key holds one *latest* column per family (last write wins, a family absent from a commit stays untouched) and one
-*journey* column per growing family (commits append). An upsert only appends its own rows, so a batch costs its own
-size and never a rewrite of the table; readers fold the log over the base by key, and ``compact`` writes the fold as
-the next base. One-row control records, written last, say which base and which commits count: a commit that failed
-half-way is invisible and is overwritten when it is tried again, and a batch its writer committed before is a no-op.
-A table has one writing job at a time.
+*journey* column per growing family (commits append). An upsert only writes its own rows, below its writer and batch, so
+writers never touch each other's files and a batch tried again overwrites itself and nothing else. A marker, written last,
+makes a commit visible; a batch its writer committed before is a no-op. Commits take the number after the newest marker;
+two that take the same number are ordered by the writers' names.
+
+Records: ``compact`` folds the log over the base, one row per key, in a table bucketed by key. Readers fold the log since
+then and merge it with the base, which needs no shuffle for that. Journeys stay rows of their commits, whatever their
+length, and are put in one cell only for a reader who asks for that form. One job compacts a table at a time; writers may
+go on meanwhile.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
-from dataclasses import dataclass, field, replace
-from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,46 +24,24 @@ from pyspark.sql import types as T
 
 from tracklayer.functions.text import is_missing
 from tracklayer.layouts import EVENT_SEP, NA
-from tracklayer.session import empty_frame, materialise, work_path
-from tracklayer.sources import paths
+from tracklayer.session import empty_frame
 
-_CONTROL = T.StructType(
+_COMMIT = T.StructType(
     [
-        T.StructField("version", T.LongType()),
-        T.StructField("base", T.LongType()),
-        T.StructField("base_commit", T.LongType()),
-        T.StructField("long_journeys", T.BooleanType()),
-        T.StructField("writers", T.MapType(T.StringType(), T.LongType())),
+        T.StructField("writer", T.StringType()),
+        T.StructField("batch", T.LongType()),
+        T.StructField("commit", T.LongType()),
     ]
 )
-_BASE_COMMIT = 0  # orders folded rows before all commits
-CELL_CHARS = 64_000_000
-
-
-@dataclass(frozen=True)
-class Snapshot:
-    """What a reader may see: the last commit, the base, the last commit folded into it, and each writer's batch.
-
-    ``long_journeys`` says that the base holds keys whose journeys stayed several rows.
-    """
-
-    version: int = 0
-    base: int = 0
-    base_commit: int = 0
-    long_journeys: bool = False
-    writers: dict[str, int] = field(default_factory=dict)
-
-    @property
-    def has_log(self) -> bool:
-        return self.version > self.base_commit
+_BASE = T.StructType([T.StructField("version", T.LongType()), T.StructField("buckets", T.IntegerType())])
 
 
 class StateTable:
     """One keyed table of family columns.
 
-    Journeys of more than ``cell_chars`` characters stay rows in the base, so compaction gathers no longer ones.
     ``sentinel`` says what a stored journey equal to the sentinel is worth when events are appended to it:
-    ``reference`` keeps it as text, ``strict`` treats it as nothing.
+    ``reference`` keeps it as text, ``strict`` treats it as nothing. ``buckets`` is the number of buckets of a new base
+    (default: the session's shuffle partitions).
     """
 
     def __init__(
@@ -70,32 +51,31 @@ class StateTable:
         latest: Sequence[str],
         journeys: Sequence[str] = (),
         sentinel: str = "reference",
-        cell_chars: int = CELL_CHARS,
+        buckets: int | None = None,
     ):
         self.spark, self.path = spark, path.rstrip("/")
         self.latest, self.journeys = tuple(latest), tuple(journeys)
-        self.sentinel, self.cell_chars = sentinel, cell_chars
+        self.sentinel, self.buckets = sentinel, buckets
 
     @property
     def families(self) -> tuple[str, ...]:
         return self.latest + self.journeys
 
-    @property
-    def schema(self) -> T.StructType:
-        return T.StructType([T.StructField(c, T.StringType()) for c in ("PK", *self.families)])
-
-    def snapshot(self) -> Snapshot:
+    def _stored(self, name: str, schema: T.StructType) -> DataFrame:
         try:
-            records = self.spark.read.schema(_CONTROL).parquet(f"{self.path}/control")
+            return self.spark.read.schema(schema).parquet(f"{self.path}/{name}")
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return Snapshot()
-        row = records.orderBy(F.desc("version"), F.desc("base")).first()
-        return Snapshot(**row.asDict()) if row else Snapshot()
+            return empty_frame(self.spark, schema)
+
+    def commits(self) -> DataFrame:
+        """Markers of all commits: ``(writer, batch, commit)``."""
+        return self._stored("commits", _COMMIT)
 
     def committed(self, writer: str, batch_id: int) -> bool:
-        return batch_id <= self.snapshot().writers.get(writer, -1)
+        """Whether the writer committed this batch or a later one."""
+        return not self.commits().filter((F.col("writer") == writer) & (F.col("batch") >= batch_id)).isEmpty()
 
     def upsert(self, delta: DataFrame, batch_id: int, writer: str = "batch", replace_journeys: bool = False) -> bool:
         """Append a batch: ``PK``, any of the families, and optionally ``part`` ordering journey rows of one key.
@@ -103,135 +83,137 @@ class StateTable:
         A key may have several rows, at most one of which sets a given latest family. ``replace_journeys`` makes the
         batch's journeys replace stored ones. False if this writer committed the batch (or a later one) before.
         """
-        now = self.snapshot()
-        if batch_id <= now.writers.get(writer, -1):
+        if self.committed(writer, batch_id):
             return False
-        version = now.version + 1
+        commit = (self.commits().agg(F.max("commit")).first()[0] or 0) + 1
         part = F.col("part").cast("string") if "part" in delta.columns else F.lit(None).cast("string")
         families = [(F.col(f) if f in delta.columns else F.lit(None)).cast("string").alias(f) for f in self.families]
-        rows = delta.select("PK", part.alias("part"), F.lit(replace_journeys).alias("replaces"), *families)
-        rows.write.mode("overwrite").parquet(f"{self.path}/log/commit={version}")
-        self._record(replace(now, version=version, writers={**now.writers, writer: batch_id}))
+        rows = delta.select("PK", part.alias("part"), *families)
+        place = f"writer={writer}/batch={batch_id}"
+        brought = [f for f in self.journeys if f in delta.columns]
+        if brought:
+            has_events = F.coalesce(*brought).isNotNull()
+            events = rows.filter(has_events).select("PK", "part", F.lit(replace_journeys).alias("replaces"), *self.journeys)
+            events.write.mode("overwrite").parquet(f"{self.path}/journeys/{place}")
+            has_record = F.coalesce(*self.latest).isNotNull() if self.latest else F.lit(False)
+            keys = rows.filter(~has_record).select("PK").distinct()  # so that records name every key
+            rows = rows.filter(has_record).drop(*self.journeys).unionByName(keys, allowMissingColumns=True)
+        rows.select("PK", "part", *self.latest).write.mode("overwrite").parquet(f"{self.path}/records/{place}")
+        values = [F.lit(writer), F.lit(batch_id), F.lit(commit)]
+        marker = [v.cast(c.dataType).alias(c.name) for v, c in zip(values, _COMMIT, strict=True)]
+        self.spark.range(1).select(*marker).coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
         return True
 
-    def _record(self, snapshot: Snapshot) -> None:
-        writers = [v for w, b in snapshot.writers.items() for v in (F.lit(w), F.lit(b).cast("long"))]
-        values = [F.lit(getattr(snapshot, c.name)).cast(c.dataType).alias(c.name) for c in _CONTROL.fields[:-1]]
-        row = self.spark.range(1).select(*values, F.create_map(*writers).alias("writers"))
-        row.coalesce(1).write.mode("append").parquet(f"{self.path}/control")
-
-    @property
-    def _row_schema(self) -> T.StructType:
-        order = [T.StructField("commit", T.LongType()), T.StructField("part", T.StringType())]
-        return T.StructType([*self.schema.fields, *order, T.StructField("replaces", T.BooleanType())])
-
-    def _rows(self, now: Snapshot, families: Sequence[str]) -> DataFrame:
-        """Base and log rows side by side: ``PK, commit, part, replaces`` and the families.
-
-        Of the log, only commits that are committed and not yet in the base; the range prunes directories.
-        """
-        columns = ["PK", "commit", "part", "replaces", *families]
-        reader = self.spark.read.schema(self._row_schema)
-        out = []
-        if now.base:
-            out.append(reader.parquet(f"{self.path}/base/v={now.base}").select(*columns))
-        if now.has_log:
-            fresh = F.col("commit").between(now.base_commit + 1, now.version)
-            out.append(reader.parquet(f"{self.path}/log").filter(fresh).select(*columns))
-        if not out:
-            return empty_frame(self.spark, self._row_schema).select(*columns)
-        return reduce(DataFrame.unionByName, out)
+    def _schema(self, families: Sequence[str], *more: T.StructField) -> T.StructType:
+        strings = [T.StructField(c, T.StringType()) for c in ("PK", "part", *families)]
+        return T.StructType([*strings, *more, *_COMMIT.fields[:2]])
+
+    def _base(self) -> tuple[int, DataFrame | None]:
+        """Newest base, by number and as a table that knows its buckets (0 and None before the first)."""
+        row = self._stored("bases", _BASE).orderBy(F.desc("version")).first()
+        if row is None:
+            return 0, None
+        name = self._base_name(row.version)
+        if not self.spark.catalog.tableExists(name):
+            columns = ", ".join(f"`{c}` STRING" for c in ("PK", *self.latest))
+            self.spark.sql(
+                f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet CLUSTERED BY (PK) SORTED BY (PK) "
+                f"INTO {row.buckets} BUCKETS LOCATION '{self.path}/base/v={row.version}'"
+            )
+        return row.version, self.spark.table(name)
+
+    def _base_name(self, version: int) -> str:
+        return f"state_{hashlib.md5(self.path.encode()).hexdigest()[:16]}_v{version}"
+
+    def _pending(self, version: int) -> DataFrame:
+        """Markers of commits that are not in the base."""
+        if not version:
+            return self.commits()
+        folded = self.spark.read.schema(_COMMIT).parquet(f"{self.path}/folded/v={version}")
+        return self.commits().join(folded.select("writer", "batch"), ["writer", "batch"], "left_anti")
+
+    def _log(self, pending: DataFrame, families: Sequence[str]) -> DataFrame:
+        rows = self._stored("records", self._schema(self.latest))
+        return rows.join(pending, ["writer", "batch"]).select("PK", "part", "writer", "commit", *families)
 
     def read(self, families: Sequence[str] | None = None, marks: Sequence[str] = ()) -> DataFrame:
-        """One row per key with the chosen families. After a compaction this is a plain pruned scan, no shuffle.
+        """One row per key with the chosen families. The base is read in its buckets and never shuffled for this.
 
         Families named in ``marks`` are wanted for their presence only: a real record is read as ``*``, so that long
         records are not shuffled to learn whether they are there. A journey is one cell here; ``journey_rows`` has no
         such limit.
         """
         wanted = [f for f in self.families if families is None or f in families]
-        marked = {f: F.when(F.col(f) == NA, NA).when(F.col(f).isNotNull(), "*") for f in wanted if f in marks}
-        now = self.snapshot()
-        rows = self._rows(now, wanted).withColumns(marked)
-        if now.has_log or now.long_journeys:
-            return self._folded(rows, wanted)
-        return rows.select("PK", *wanted)
-
-    def _folded(self, rows: DataFrame, families: Sequence[str]) -> DataFrame:
-        if not families:
-            return rows.select("PK").distinct()
-        return rows.groupBy("PK").agg(*(self._newest(f) if f in self.latest else self._journey(f) for f in families))
+        latest = [f for f in wanted if f in self.latest]
+        grown = [f for f in wanted if f in self.journeys]
+        marked = {f: F.when(F.col(f) == NA, NA).when(F.col(f).isNotNull(), "*") for f in latest if f in marks}
+        records = self._records(latest, marked)
+        if grown:
+            rows = self._journey_rows(grown).groupBy("PK").agg(*(self._journey(f) for f in grown))
+            records = records.join(rows, "PK", "left")
+        return records.select("PK", *wanted)
+
+    def _records(self, families: Sequence[str], marked: dict[str, Column] | None = None) -> DataFrame:
+        version, base = self._base()
+        pending = self._pending(version)
+        if base is not None:
+            base = base.select("PK", *families).withColumns(marked or {})
+            if pending.isEmpty():
+                return base
+        log = self._log(pending, families).withColumns(marked or {})
+        newest = [self._newest(f) for f in families]
+        folded = log.groupBy("PK").agg(*newest) if newest else log.select("PK").distinct()
+        return folded if base is None else merge(base, folded, families)
 
     def _newest(self, family: str) -> Column:
-        return F.max_by(family, F.when(F.col(family).isNotNull(), F.struct("commit", "part"))).alias(family)
+        return F.max_by(family, F.when(F.col(family).isNotNull(), F.struct("commit", "writer", "part"))).alias(family)
 
     def _journey(self, family: str) -> Column:
         counts = F.col(family).isNotNull() if self.sentinel == "reference" else ~is_missing(family)
-        pieces = F.collect_list(F.when(counts, F.struct("commit", "part", F.col(family).alias("text"))))
-        start = F.coalesce(F.max(F.when(counts & F.col("replaces"), F.col("commit"))), F.lit(_BASE_COMMIT))
+        pieces = F.collect_list(F.when(counts, F.struct("commit", "writer", "part", F.col(family).alias("text"))))
+        start = F.coalesce(F.max(F.when(counts & F.col("replaces"), F.col("commit"))), F.lit(0))
         valid = F.filter(F.sort_array(pieces), lambda p: p["commit"] >= start)
         joined = F.array_join(F.transform(valid, lambda p: p["text"]), EVENT_SEP)
         return F.when(F.size(valid) > 0, joined).alias(family)
 
+    def _journey_rows(self, families: Sequence[str]) -> DataFrame:
+        rows = self._stored("journeys", self._schema(self.journeys, T.StructField("replaces", T.BooleanType())))
+        rows = rows.join(self.commits(), ["writer", "batch"])
+        return rows.select("PK", "commit", "writer", "part", "replaces", *families)
+
     def journey_rows(self, family: str) -> DataFrame:
-        """``(PK, commit, part, replaces, text)``: a journey as rows ordered by ``(commit, part)``, however long.
+        """``(PK, commit, writer, part, replaces, text)``: a journey as rows in order of ``(commit, writer, part)``.
 
-        No shuffle and no grouping; where a commit replaces journeys, rows of earlier commits are superseded.
+        No grouping; where a commit replaces journeys, rows of earlier commits are superseded.
         """
-        rows = self._rows(self.snapshot(), [family])
-        return rows.withColumnRenamed(family, "text").filter(F.col("text").isNotNull())
+        return self._journey_rows([family]).withColumnRenamed(family, "text").filter(F.col("text").isNotNull())
 
     def compact(self) -> bool:
-        """Write the fold of base and log as the next base. False if the log is empty.
-
-        Keys with a journey beyond ``cell_chars`` keep their journey rows as they are; the rest becomes one row per
-        key. Key lookups on the base are pruned by parquet bloom filters on ``PK``.
-        """
-        now = self.snapshot()
-        if not now.has_log:
+        """Write the fold of base and log as the next base. False if the log is empty."""
+        version, _ = self._base()
+        pending = self._pending(version)
+        if pending.isEmpty():
             return False
-        rows = self._rows(now, self.families)
-        long = self._long_keys(rows) if self.journeys else None
-        has_long = long is not None and not long.isEmpty()
-        stamps = {
-            "commit": F.lit(_BASE_COMMIT).cast("long"),
-            "part": F.lit(None).cast("string"),
-            "replaces": F.lit(False),
-        }
-        if has_long:
-            base = self._folded(rows.join(long, "PK", "left_anti"), self.families).withColumns(stamps)
-            kept = rows.join(long, "PK", "left_semi")
-            records = self._folded(kept, self.latest).withColumns(stamps)
-            events = kept.filter(F.coalesce(*self.journeys).isNotNull()).drop(*self.latest)
-            base = base.unionByName(records, allowMissingColumns=True).unionByName(events, allowMissingColumns=True)
-        else:
-            base = self._folded(rows, self.families).withColumns(stamps)
-        target = now.base + 1
-        writer = base.write.mode("overwrite").option("parquet.bloom.filter.enabled#PK", "true")
-        writer.parquet(f"{self.path}/base/v={target}")
-        self._record(replace(now, base=target, base_commit=now.version, long_journeys=has_long))
+        target = version + 1
+        buckets = self.buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        # what is folded is fixed first: a commit that comes meanwhile belongs to the log of the new base
+        known = self._stored(f"folded/v={version}", _COMMIT).unionByName(pending) if version else pending
+        known.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/folded/v={target}")
+        folded = self.spark.read.schema(_COMMIT).parquet(f"{self.path}/folded/v={target}")
+        pending = folded.join(pending.select("writer", "batch"), ["writer", "batch"], "left_semi")
+        newest = [self._newest(f) for f in self.latest]
+        log = self._log(pending, self.latest)
+        log = log.groupBy("PK").agg(*newest) if newest else log.select("PK").distinct()
+        base = log if not version else merge(self._base()[1], log, self.latest)
+        name = self._base_name(target)
+        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        writer = base.repartition(buckets, "PK").write.mode("overwrite").format("parquet")
+        writer.bucketBy(buckets, "PK").sortBy("PK").option("path", f"{self.path}/base/v={target}").saveAsTable(name)
+        values = [F.lit(target), F.lit(buckets)]
+        marker = [v.cast(c.dataType).alias(c.name) for v, c in zip(values, _BASE, strict=True)]
+        self.spark.range(1).select(*marker).coalesce(1).write.mode("append").parquet(f"{self.path}/bases")
         return True
 
-    def _long_keys(self, rows: DataFrame) -> DataFrame:
-        """Keys with a journey beyond ``cell_chars``: at most one per that many stored characters."""
-        beyond = [F.coalesce(F.sum(F.length(j)) > self.cell_chars, F.lit(False)) for j in self.journeys]
-        sized = rows.groupBy("PK").agg(reduce(Column.__or__, beyond).alias("long"))
-        return materialise(sized.filter("long").select("PK"), work_path(self.spark, "long-journeys"))
-
-    def vacuum(self) -> None:
-        """Remove what no new reader sees: folded commits, older bases and all but the newest control record."""
-        now = self.snapshot()
-        for name in paths.child_names(self.spark, f"{self.path}/log"):
-            if name.startswith("commit=") and int(name.removeprefix("commit=")) <= now.base_commit:
-                paths.remove(self.spark, f"{self.path}/log/{name}")
-        for name in paths.child_names(self.spark, f"{self.path}/base"):
-            if name.startswith("v=") and int(name.removeprefix("v=")) < now.base:
-                paths.remove(self.spark, f"{self.path}/base/{name}")
-        records = self.spark.read.schema(_CONTROL).parquet(f"{self.path}/control")
-        old = records.filter((F.col("version") < now.version) | (F.col("base") < now.base))
-        for row in old.select(F.input_file_name().alias("f")).collect():
-            paths.remove(self.spark, row.f)
-
 
 def merge(base: DataFrame, delta: DataFrame, families: Sequence[str]) -> DataFrame:
     """Keyed upsert of two wide frames: delta values win, families and keys missing from the delta stay."""

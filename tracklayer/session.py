@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -16,9 +17,11 @@ _SETTING = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share, as the cluster names it; a temporary one only where none is named."""
+    """The folder all executors share, as the cluster names it. Only a local session may do without and gets its own."""
     folder = spark.conf.get(_SETTING, None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError(f"{_SETTING} must name a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="tracklayer-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")

@@ -8,11 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tracklayer.layouts import SOURCE_TABLES, Layout
-
-# The address columns a contact pair is made of.
-ADDRESS_COLUMNS = ("nawbid", "ccode", "cattn", "cshipper")
-
+from tracklayer.layouts import ADDRESS_COLUMNS, SOURCE_TABLES, Layout
 
 def read_feed(spark: SparkSession, source: str, **options: str) -> DataFrame:
     """A stream of envelopes as one text column ``value``.
@@ -32,6 +28,11 @@ def source_table(value: Column | str = "value") -> Column:
     return F.substring_index(F.get_json_object(value, "$.table"), ".", -1)
 
 
+def route(values: DataFrame) -> DataFrame:
+    """``(value, _table)``: envelopes with their table's name taken out, once for all that asks for it."""
+    return values.select("value", source_table().alias("_table"))
+
+
 def raw_schema(layout: Layout) -> T.StructType:
     """Envelope schema of a family's source table."""
     if layout.family != "ADT":
@@ -40,6 +41,14 @@ def raw_schema(layout: Layout) -> T.StructType:
     return T.StructType([T.StructField("after", after), *layout.envelope_schema().fields[1:]])
 
 
+def landed_schema(layout: Layout) -> T.StructType:
+    """Schema of a family's landed table. Address rows land with all their columns; their record holds a few of them."""
+    if layout.family != "ADT":
+        return layout.landed_schema()
+    strings = [T.StructField(c, T.StringType()) for c in (*ADDRESS_COLUMNS, "op_ts", "op_type")]
+    return T.StructType([*strings, T.StructField("load_ts", T.LongType())])
+
+
 def parse(values: DataFrame, layout: Layout, load_ts: Column | None = None) -> DataFrame:
     """Rows of one table's envelopes: the ``after`` fields, the change columns, and the load stamp where given."""
     parsed = values.select(F.from_json("value", raw_schema(layout)).alias("e"))
@@ -53,8 +62,8 @@ def demultiplex(
     load_ts: Column | None = None,
     tables: Mapping[str, str] = SOURCE_TABLES,
 ) -> dict[str, DataFrame]:
-    """One frame per family from a mixed batch. Persist ``values`` when several of them are used."""
-    routed = values.select("value", source_table().alias("_table"))
+    """One frame per family from a mixed batch, routed or not. Persist ``values`` when several of them are used."""
+    routed = values if "_table" in values.columns else route(values)
     return {
         family: parse(routed.filter(F.col("_table") == table), layouts[family], load_ts)
         for table, family in tables.items()

@@ -14,7 +14,7 @@ from tracklayer.operators.status import CLOSURE_CODES, as_stamp
 from tracklayer.plans.bundle import build_bundle
 from tracklayer.plans.layers import Layers
 from tracklayer.sources import paths
-from tracklayer.sources.feed import demultiplex, parse, source_table
+from tracklayer.sources.feed import demultiplex, landed_schema, parse, route
 from tracklayer.sources.landing import read_parquet_or_none
 from tracklayer.sources.masters import Masters
 
@@ -35,10 +35,13 @@ def batch_time(spark: SparkSession, folder: str, batch_id: int, clock: Callable[
     return now
 
 
-def _present(values: DataFrame, tables: Mapping[str, str]) -> list[str]:
-    """Known source tables that occur in a micro-batch."""
-    names = values.select(source_table().alias("t")).filter(F.col("t").isin(list(tables))).distinct()
-    return sorted(r[0] for r in names.collect())
+def _present(routed: DataFrame, layouts: Mapping[str, Layout], tables: Mapping[str, str]) -> list[str]:
+    """Known source tables that occur in a micro-batch; each needs a layout."""
+    names = routed.select("_table").filter(F.col("_table").isin(list(tables))).distinct()
+    present = sorted(r[0] for r in names.collect())  # at most the known tables
+    if missing := [t for t in present if tables[t] not in layouts]:
+        raise ValueError(f"no layout for {missing}")
+    return present
 
 
 def _start(stream: DataFrame, handle, checkpoint: str, trigger: Mapping[str, object] | None) -> StreamingQuery:
@@ -69,9 +72,9 @@ def start_ingest(
     def handle(values: DataFrame, batch_id: int) -> None:
         spark = values.sparkSession
         now = batch_time(spark, f"{layers.root}/batch_time", batch_id, clock)
-        values = values.persist()
+        values = route(values).persist()
         try:
-            present = _present(values, tables)
+            present = _present(values, layouts, tables)
             changes = demultiplex(values, layouts, F.lit(as_stamp(now)), {t: tables[t] for t in present})
             known = masters() if callable(masters) else masters
             layers.apply(
@@ -103,18 +106,18 @@ def start_landing(
 ) -> StreamingQuery:
     """Land every micro-batch as parquet, one directory per table and load stamp, for the batch job to pick up.
 
-    A replayed micro-batch overwrites its own load-stamp directories.
+    Below the stamp each micro-batch has a directory of its own, so those of one second stand side by side, and a
+    replayed one overwrites itself and nothing else. A known table without a layout is an error.
     """
 
     def handle(values: DataFrame, batch_id: int) -> None:
         now = batch_time(values.sparkSession, times, batch_id, clock)
-        values = values.persist()
+        values = route(values).persist()
         try:
-            for table in _present(values, tables):
-                layout = layouts.get(tables[table])
-                if layout is not None:
-                    rows = parse(values.filter(source_table() == table), layout).drop("pos")
-                    rows.write.mode("overwrite").parquet(f"{landing}/{table}/load_ts={as_stamp(now)}")
+            for table in _present(values, layouts, tables):
+                rows = parse(values.filter(F.col("_table") == table), layouts[tables[table]]).drop("pos")
+                rows.write.mode("overwrite").parquet(f"{landing}/{table}/load_ts={as_stamp(now)}/b{batch_id}")
+            paths.remove(values.sparkSession, f"{times}/batch={batch_id - 1}")
         finally:
             values.unpersist()
 
@@ -132,16 +135,19 @@ def start_landed_ingest(
     checkpoint: str,
     archive: str | None = None,
     trigger: Mapping[str, object] | None = None,
+    codes: Sequence[str] = CLOSURE_CODES,
+    keep_status: bool = True,
     clock: Callable[[], datetime] = datetime.now,
     **options: str,
 ) -> StreamingQuery:
     """Merge a landed table into the layers as files arrive; the checkpoint is the watermark.
 
-    With ``archive`` the source moves consumed files there by itself.
+    With ``archive`` the source moves consumed files there by itself. One table brings no status of the others, so the
+    stored status is kept unless ``keep_status`` is turned off.
     """
     if archive:
         options = {"cleanSource": "archive", "sourceArchiveDir": archive, **options}
-    schema = layouts[family].landed_schema()
+    schema = landed_schema(layouts[family])
     stream = spark.readStream.schema(schema).options(**options).parquet(landing)
 
     writer = f"landed-{family}"
@@ -151,7 +157,8 @@ def start_landed_ingest(
         rows = rows.persist()
         try:
             bundle = build_bundle({family: rows}, layouts, masters)
-            layers.apply(bundle, masters, as_of=now, batch_id=batch_id, writer=writer)
+            known = {"codes": codes, "keep_status": keep_status}
+            layers.apply(bundle, masters, as_of=now, batch_id=batch_id, writer=writer, **known)
             paths.remove(spark, f"{layers.root}/{writer}_time/batch={batch_id - 1}")
         finally:
             rows.unpersist()
