@@ -39,10 +39,11 @@ WIDTH = 32
 CLASSES, PLACES = 32, 32
 WINDOW, OVERLAP = 64, 16
 STEP_WINDOWS = 16
+SCORE_WINDOWS = 64
 ROUNDS = 2
 #: A round trains on one window in so many, each round on others.
-TRAIN_EVERY = 8
-RATE = 0.01
+TRAIN_EVERY = 16
+RATE = 0.02
 
 
 class Subwords:
@@ -147,6 +148,7 @@ def unflatten(flat: np.ndarray, like: Weights) -> Weights:
 
 
 _MASK = np.triu(np.full((WINDOW, WINDOW), -1e9, np.float32), 1)
+_SEEN = np.tril(np.ones((WINDOW, WINDOW), np.float32))
 
 
 def _attend(w: Weights, inputs: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -170,30 +172,77 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return z
 
 
-def _by_class(classes: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    order = np.argsort(classes, kind="stable")
-    edges = np.searchsorted(classes[order], np.arange(CLASSES + 1))
-    for c in range(CLASSES):
-        if edges[c] < edges[c + 1]:
-            yield c, order[edges[c] : edges[c + 1]]
+class Scorer:
+    """The model forward over windows, in buffers that are used again: fresh large arrays cost more than the sums."""
+
+    def __init__(self, w: Weights, most: int = SCORE_WINDOWS):
+        kind = w["qkv"].dtype
+        self.w, self.most = w, most
+        scaled = w["qkv"].copy()
+        scaled[:, :WIDTH] *= WIDTH**-0.5
+        self.parts = [np.ascontiguousarray(p) for p in np.split(scaled, 3, axis=1)]
+        self.x, self.mixed = (np.empty((most, WINDOW, WIDTH), kind) for _ in range(2))
+        self.q, self.k, self.v, self.out = (np.empty((most * WINDOW, WIDTH), kind) for _ in range(4))
+        self.s, self.sums = np.empty((most, WINDOW, WINDOW), kind), np.empty((most, WINDOW, 1), kind)
+        self.z = np.empty((most * WINDOW, max(CLASSES, PLACES)), kind)
+
+    def hidden(self, inputs: np.ndarray) -> np.ndarray:
+        n = len(inputs)
+        x, mixed, s, sums = self.x[:n], self.mixed[:n], self.s[:n], self.sums[:n]
+        q, k, v, out = (a[: n * WINDOW] for a in (self.q, self.k, self.v, self.out))
+        np.take(self.w["embed"], inputs, axis=0, out=x, mode="clip")
+        x += self.w["position"]
+        for part, to in zip(self.parts, (q, k, v), strict=True):
+            np.matmul(x.reshape(-1, WIDTH), part, out=to)
+        shape = (n, WINDOW, WIDTH)
+        np.matmul(q.reshape(shape), k.reshape(shape).transpose(0, 2, 1), out=s)
+        np.minimum(s, 60, out=s)
+        np.exp(s, out=s)
+        s *= _SEEN
+        np.sum(s, axis=2, keepdims=True, out=sums)
+        np.matmul(s, v.reshape(shape), out=mixed)
+        mixed /= sums
+        np.matmul(mixed.reshape(-1, WIDTH), self.w["out"], out=out)
+        x += out.reshape(shape)
+        return x
+
+    def _chosen(self, z: np.ndarray, goal: np.ndarray) -> np.ndarray:
+        """Log-softmax at each row's goal."""
+        own = z[np.arange(len(z)), goal]
+        top = z.max(axis=1, keepdims=True)
+        z -= top
+        np.exp(z, out=z)
+        return own - top[:, 0] - np.log(z.sum(axis=1))
+
+    def __call__(self, inputs: np.ndarray, targets: np.ndarray, scored: np.ndarray) -> np.ndarray:
+        """Natural logarithms for the scored places of windows: class and slot of the target."""
+        goal = targets[scored]
+        order = np.argsort(goal // PLACES, kind="stable")
+        h, goal = self.hidden(inputs)[scored][order], goal[order]
+        classes, z = goal // PLACES, self.z[: len(goal)]
+        np.matmul(h, self.w["classes"], out=z)
+        z += self.w["class_bias"]
+        value = self._chosen(z, classes)
+        edges = np.searchsorted(classes, np.arange(CLASSES + 1)).tolist()
+        for c in range(CLASSES):
+            own = slice(edges[c], edges[c + 1])
+            np.matmul(h[own], self.w["slots"][c], out=z[own])
+            z[own] += self.w["slot_bias"][c]
+        found = np.empty(len(goal), value.dtype)
+        found[order] = value + self._chosen(z, goal % PLACES)
+        return found
 
 
 def log_probabilities(w: Weights, inputs: np.ndarray, targets: np.ndarray, scored: np.ndarray) -> np.ndarray:
-    """Natural logarithms for the scored places of windows: class and slot of the target."""
-    h = _attend(w, inputs)[-1][scored]
-    goal = targets[scored]
-    classes, slots = goal // PLACES, goal % PLACES
-    found = np.log(_softmax(h @ w["classes"] + w["class_bias"])[np.arange(len(goal)), classes] + 1e-30)
-    for c, own in _by_class(classes):
-        p = _softmax(h[own] @ w["slots"][c] + w["slot_bias"][c])
-        found[own] += np.log(p[np.arange(len(own)), slots[own]] + 1e-30)
-    return found
+    return Scorer(w, len(inputs))(inputs, targets, scored)
 
 
 def gradients(w: Weights, inputs: np.ndarray, targets: np.ndarray, scored: np.ndarray) -> tuple[float, Weights]:
     """Mean loss over the scored places, and its gradient."""
     x, q, k, v, a, mixed, full = _attend(w, inputs)
-    h, goal = full[scored], targets[scored]
+    goal = targets[scored]
+    order = np.argsort(goal // PLACES, kind="stable")
+    h, goal = full[scored][order], goal[order]
     classes, slots, n = goal // PLACES, goal % PLACES, np.float32(len(goal))
     g = {"slots": np.zeros_like(w["slots"]), "slot_bias": np.zeros_like(w["slot_bias"])}
     p = _softmax(h @ w["classes"] + w["class_bias"])
@@ -203,16 +252,22 @@ def gradients(w: Weights, inputs: np.ndarray, targets: np.ndarray, scored: np.nd
     p /= n
     g["classes"], g["class_bias"] = h.T @ p, p.sum(0)
     dh = p @ w["classes"].T
-    for c, own in _by_class(classes):
-        p = _softmax(h[own] @ w["slots"][c] + w["slot_bias"][c])
-        rows = np.arange(len(own))
-        loss -= np.log(p[rows, slots[own]] + 1e-30).sum()
-        p[rows, slots[own]] -= 1
-        p /= n
-        g["slots"][c], g["slot_bias"][c] = h[own].T @ p, p.sum(0)
-        dh[own] += p @ w["slots"][c].T
+    edges = np.searchsorted(classes, np.arange(CLASSES + 1)).tolist()
+    groups = [(c, slice(a, b)) for c, (a, b) in enumerate(zip(edges, edges[1:], strict=False)) if a < b]
+    z = np.empty((len(goal), PLACES), h.dtype)
+    for c, own in groups:
+        np.matmul(h[own], w["slots"][c], out=z[own])
+    p = _softmax(z + w["slot_bias"][classes])
+    loss -= np.log(p[rows, slots] + 1e-30).sum()
+    p[rows, slots] -= 1
+    p /= n
+    for c, own in groups:
+        g["slots"][c], g["slot_bias"][c] = h[own].T @ p[own], p[own].sum(0)
+        dh[own] += p[own] @ w["slots"][c].T
+    back = np.empty_like(dh)
+    back[order] = dh
     dfull = np.zeros_like(full)
-    dfull[scored] = dh
+    dfull[scored] = back
     flat = lambda z: z.reshape(-1, z.shape[-1])
     g["out"] = flat(mixed).T @ flat(dfull)
     dmixed = dfull @ w["out"].T
@@ -224,7 +279,10 @@ def gradients(w: Weights, inputs: np.ndarray, targets: np.ndarray, scored: np.nd
     dx = dfull + dqkv @ w["qkv"].T
     g["position"] = dx.sum(0)
     g["embed"] = np.zeros_like(w["embed"])
-    np.add.at(g["embed"], inputs.ravel(), flat(dx))
+    order = np.argsort(inputs, axis=None, kind="stable")
+    names = inputs.ravel()[order]
+    lead = np.flatnonzero(np.concatenate([[True], names[1:] != names[:-1]]))
+    g["embed"][names[lead]] = np.add.reduceat(flat(dx)[order], lead)
     return float(loss / n), {name: g[name] for name in w}
 
 
@@ -378,9 +436,10 @@ def score_texts(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "d
         stream = Stream(row, places, end)
         chunk = stream.chunk
         each = places.share[stream.ids].astype(float)
-        for i in range(0, len(stream.doc), 128):
-            inputs, targets, scored, at = stream.batch(np.arange(i, min(i + 128, len(stream.doc))))
-            each[at[scored]] += log_probabilities(weights, inputs, targets, scored)
+        scorer = Scorer(weights)
+        for i in range(0, len(stream.doc), SCORE_WINDOWS):
+            inputs, targets, scored, at = stream.batch(np.arange(i, min(i + SCORE_WINDOWS, len(stream.doc))))
+            each[at[scored]] += scorer(inputs, targets, scored)
         starts = np.cumsum(stream.sizes) - stream.sizes
         known = np.zeros(len(chunk.words), np.int64)
         if len(own):
