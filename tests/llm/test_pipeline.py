@@ -6,7 +6,7 @@ import random
 
 import corpus_pipeline
 import pytest
-from conftest import sentence
+from texts import sentence
 from oracle import compare, connect
 
 from tracklayer.llm.queries import ORACLES, QUERIES

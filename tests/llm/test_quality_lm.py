@@ -10,7 +10,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers as P
 import pytest
-from conftest import sentence
+from texts import sentence
 
 from tracklayer.llm import attention_lm as lm
 from tracklayer.llm import line_crf

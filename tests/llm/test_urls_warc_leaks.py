@@ -6,7 +6,7 @@ import random
 import zlib
 
 import pyarrow as pa
-from conftest import sentence
+from texts import sentence
 
 from tracklayer.llm import decontaminate, url_filter, warc
 from tracklayer.llm.queries import URL_RULES
