@@ -6,9 +6,10 @@ stops as soon as its next arrival comes after the latest of all registers. The s
 estimates their probability Jaccard similarity, which is never below their Jaccard similarity on sets.
 
 Candidates. Documents with equal text are one node. Registers are cut in bands, and nodes with an equal band share a
-bucket. In each round every bucket that still holds several components is compared with one node of its smallest
-component, which then leaves the bucket; a bucket is done when all its nodes are connected. So every two nodes of a bucket
-are compared or already connected, without all pairs of a group: a bucket of copies takes one round.
+bucket. In each round the nodes of every bucket that still holds several components face some of them, in the first round
+the smallest node alone, in later ones a node of the smallest component and about 3, 15, 63, ... others by a hash; those then
+leave the bucket. A bucket is done when all its nodes are connected, so a bucket of copies takes one round and one pair for
+each copy. In the end every two nodes of a bucket were compared, were connected already, or differ too much in size.
 
 Verification. Both texts of a pair meet, and the weighted Jaccard similarity of their shingle counts is computed exactly.
 Components of the verified links are the classes.
@@ -22,6 +23,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -36,9 +38,11 @@ from tracklayer.llm.substring_dedup import mix, window_hashes
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
-BANDS, ROWS = 24, 5
+BANDS, ROWS = 28, 6
 #: A task works on so many words or documents at a time.
 STEP_WORDS, STEP_DOCS = 200_000, 2_000
+#: Components are made anew when a round found one link for so many rows of open buckets, at least.
+RELABEL = 100
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -111,7 +115,7 @@ def band_keys(signatures: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def sign(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, size: int = SHINGLE_WORDS) -> DataFrame:
-    """id, node (digest of the text) and keys (one for each band, none without words); expects id and text."""
+    """id, node (digest of the text), size (shingles) and keys (one for each band, none without words); from id and text."""
     kind = docs.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,10 +132,11 @@ def sign(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, size: int = SHIN
                 full = np.isin(np.arange(len(own)), at)
                 keys = band_keys(prob_minhash(at, elements, weights, len(own), bands * rows), bands, rows)
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(full * bands)]), pa.int32()), pa.array(keys[full].ravel()))
-                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("node"), lists], names=["id", "node", "keys"])
+                sizes = pa.array(np.bincount(at, weights, len(own)).astype(np.int64))
+                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("node"), sizes, lists], names=["id", "node", "size", "keys"])
                 start = stop
 
-    return docs.select("id", "text", F.unhex(F.md5("text")).alias("node")).mapInArrow(run, f"id {kind}, node binary, keys array<long>")
+    return docs.select("id", "text", F.unhex(F.md5("text")).alias("node")).mapInArrow(run, f"id {kind}, node binary, size long, keys array<long>")
 
 
 def verify(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY, size: int = SHINGLE_WORDS) -> DataFrame:
@@ -154,27 +159,40 @@ def verify(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY, s
 
 
 def _verified_links(members: DataFrame, texts: DataFrame, similarity: float, size: int) -> DataFrame | None:
-    """Stars of all nodes that share a bucket and are similar; `members` has bucket and node."""
-    stars = None
+    """Stars of all nodes that share a bucket and are similar; `members` has bucket, node and size.
+
+    Labels only spare comparisons, so they are made anew after a round in which many links were found, and else at the end.
+    """
+    members = members.withColumn("label", F.col("node"))
+    stars, fresh, others = None, [], 0
+
+    def merged() -> DataFrame | None:
+        links = [*fresh, *([stars] if stars is not None else [])]
+        return star_links(reduce(DataFrame.unionByName, links)) if fresh else stars
+
     while True:
-        if stars is None:
-            labelled = members.withColumn("label", F.col("node"))
-        else:
-            labels = stars.select(F.col("u").alias("node"), F.col("v").alias("label"))
-            labelled = members.join(labels, "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label"))
-        parts = labelled.groupBy("bucket", "label").agg(F.count("*").alias("n"), F.min("node").alias("node"))
+        parts = members.groupBy("bucket", "label").agg(F.count("*").alias("n"), F.min("node").alias("node"))
         least = F.min(F.struct("n", "label", "node")).alias("least")
-        lead = parts.groupBy("bucket").agg(F.count("*").alias("parts"), least).where("parts > 1")
-        lead = lead.select("bucket", F.col("least.node").alias("u"), F.col("least.label").alias("own"))
-        # the members of unfinished buckets, each with the node that it is compared with
-        faced = stored(labelled.join(lead, "bucket").select("bucket", "node", "label", "u", "own"), "faced")
-        if faced.isEmpty():
-            return stars
-        pairs = faced.where("label <> own").select("u", F.col("node").alias("v")).distinct()
+        whole = parts.groupBy("bucket").agg(F.count("*").alias("parts"), F.sum("n").alias("total"), least).where("parts > 1")
+        chosen = (F.col("node") == F.col("least.node")) | (F.pmod(F.xxhash64("node", "bucket"), F.col("total")) < others)
+        faced = stored(members.join(whole, "bucket").select("bucket", "node", "size", "label", chosen.alias("faces")), "faced")
+        n_faced = faced.count()
+        if not n_faced:
+            return merged()
+        faces = faced.where("faces").select("bucket", F.col("node").alias("u"), F.col("size").alias("u_size"), F.col("label").alias("own"))
+        pairs = faced.join(faces, "bucket").where("label <> own and not (faces and node < u)")
+        alike = F.least("size", "u_size") >= F.greatest("size", "u_size") * (similarity - 1e-9)  # else it cannot be reached
+        pairs = pairs.where(alike).select("u", F.col("node").alias("v")).distinct()
         found = stored(verify(pairs, texts, similarity, size), "similar")
-        members = faced.where("node <> u").select("bucket", "node")
-        if not found.isEmpty():
-            stars = star_links(found if stars is None else found.unionByName(stars))
+        members = faced.where("not faces").drop("faces")
+        others = 4 * others + 3
+        n_found = found.count()
+        if n_found:
+            fresh.append(found)
+        if n_found * RELABEL >= n_faced:
+            stars, fresh = merged(), []
+            labels = stars.select(F.col("u").alias("node"), F.col("v").alias("new"))
+            members = members.join(labels, "node", "left").withColumn("label", F.coalesce("new", "node")).drop("new")
 
 
 def near_duplicates(
@@ -189,7 +207,7 @@ def near_duplicates(
     """Every row's id and its class_id, the smallest id among the documents connected by similar pairs."""
     own = id_and_text(docs, id_col, text_col)
     signed = stored(sign(own, bands, rows, size), "signatures")
-    nodes = signed.select("node", F.explode("keys").alias("bucket")).distinct()
+    nodes = signed.select("node", "size", F.explode("keys").alias("bucket")).distinct()
     shared = nodes.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
     members = stored(nodes.join(shared, "bucket"), "buckets")
     heads = signed.where("size(keys) > 0").groupBy("node").agg(F.min("id").alias("id"))
