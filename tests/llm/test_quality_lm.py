@@ -116,6 +116,29 @@ def test_windows_score_each_id_once():
     assert (hits == 1).all()
 
 
+def test_every_training_window_is_learned_from(spark):
+    training = np.random.default_rng(3).random(100) < 0.8
+    for rounds in (1, 2, 3):
+        seen = np.concatenate([lm.round_windows(training, r, rounds) for r in range(rounds)])
+        assert sorted(seen.tolist()) == np.flatnonzero(training).tolist()
+    # another order of one text's words, with the same counts, gives other weights, wherever the text stands
+    rng = random.Random(8)
+    ids = [i for i in range(30) if zlib.crc32(str(i).encode()) % 7 != 2][:12]
+    texts = [sentence(rng, 12) for _ in ids]
+    counts = rng.sample(range(1, 60_000), 50_257)
+    places, path = lm.Places.of(np.array(counts), [str(i).encode() for i in range(50_257)]), P.path("byte_bpe_50k.tiktoken")
+
+    def weights(turned):
+        rows = [(i, " ".join(reversed(t.split(" "))) if k == turned else t) for k, (i, t) in enumerate(zip(ids, texts, strict=True))]
+        frame = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+        return lm.flatten(lm.train(lm.make_chunks(frame, "doc_id", "text", lower=True, describe=lm.describer(path, P.PATTERN)), places, 50_256))
+
+    plain = weights(None)
+    assert (plain == weights(None)).all()
+    for turned in (0, 4, 7, 11):
+        assert (plain != weights(turned)).any()
+
+
 def test_scores(docs, clashing, no_docs, rows):
     path = P.path("byte_bpe_50k.tiktoken")
     lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

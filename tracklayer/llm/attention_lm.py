@@ -7,7 +7,8 @@ their training counts. So a probability is that of the class, times that of the
 
 Model. Embedding and position, one masked self-attention head, a residual sum, and the two softmax layers. The class and
 place biases start at the counts. Training goes in rounds: each task takes the weights so far, makes Adam steps on its own
-training windows, and the weights of all tasks are averaged by the windows they saw; every training document takes part.
+training windows of the round, and the weights of all tasks are averaged by the windows they saw. The rounds share out all
+windows of all training texts: each is learned from in one round, and none is left out.
 
 Scoring. Windows of 64 ids overlap by 16. A window scores the ids behind the overlap, the first one of a text all of them,
 so each id is scored once, with 16 ids of context at least where the text has them.
@@ -41,8 +42,6 @@ WINDOW, OVERLAP = 64, 16
 STEP_WINDOWS = 16
 SCORE_WINDOWS = 64
 ROUNDS = 2
-#: A round trains on one window in so many, each round on others.
-TRAIN_EVERY = 16
 RATE = 0.02
 
 
@@ -342,7 +341,12 @@ def count_subwords(chunks: DataFrame, end: int) -> np.ndarray:
     return counts
 
 
-def train(chunks: DataFrame, places: Places, end: int, rounds: int = ROUNDS, every: int = TRAIN_EVERY) -> Weights:
+def round_windows(training: np.ndarray, number: int, rounds: int) -> np.ndarray:
+    """The windows that a round learns from, of a chunk's windows that are marked as training ones; the rounds have all of them."""
+    return np.flatnonzero(training)[number::rounds]
+
+
+def train(chunks: DataFrame, places: Places, end: int, rounds: int = ROUNDS) -> Weights:
     """Rounds of local Adam steps on training windows, averaged over all tasks."""
     weights = first_weights(places)
     like = weights
@@ -353,8 +357,7 @@ def train(chunks: DataFrame, places: Places, end: int, rounds: int = ROUNDS, eve
             flat, m, v, step, seen = begin.copy(), np.zeros_like(begin), np.zeros_like(begin), 0, 0
             for row in _rows(batches):
                 stream = Stream(row, places, end)
-                own = np.flatnonzero(~is_held_out(stream.chunk.ids)[stream.doc])
-                own = own[own % every == number % every]
+                own = round_windows(~is_held_out(stream.chunk.ids)[stream.doc], number, rounds)
                 own = np.random.default_rng(number).permutation(own)
                 for i in range(0, len(own), STEP_WINDOWS):
                     part = own[i : i + STEP_WINDOWS]
@@ -416,7 +419,7 @@ def _word_keys(chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
     return keys[order], order
 
 
-def score_texts(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS, every: int = TRAIN_EVERY) -> DataFrame:
+def score_texts(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS) -> DataFrame:
     """held_out, n_tokens, n_known, train_tokens, base_score, n_subwords and score (base 10) of every text.
 
     `vocabulary` is the path of a rank file that all workers can read; texts whose crc32(id as text) mod 7 is 2 are held out.
@@ -427,7 +430,7 @@ def score_texts(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "d
     chunks = make_chunks(docs, id_col, text_col, lower=True, describe=describer(vocabulary, pattern))
     counts = count_subwords(chunks, end)
     places = Places.of(counts, [*spelling, b""])
-    weights = train(chunks, places, end, rounds, every)
+    weights = train(chunks, places, end, rounds)
     answers, words, distinct = word_counts(chunks)
     texts = int(counts[end])
     n_all, n_distinct = words + texts, distinct + (texts > 0)
