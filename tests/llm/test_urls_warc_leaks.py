@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import zlib
+from collections import Counter
 
 import pyarrow as pa
 from texts import sentence
@@ -118,3 +119,39 @@ def test_leaks(spark, docs, clashing, no_docs):
         assert found[500, 0] == (1.0, 30) and found[501, 1] == (1.0, 0) and 0.8 <= found[502, 4][0] < 1
     assert decontaminate.find_leaks(no_docs, bench).collect() == []
     assert decontaminate.find_leaks(docs, bench.limit(0)).collect() == []
+
+
+def brute_leaks(docs, items):
+    """Best similarity of all sliding windows of an item's length, over the limit."""
+    out = {}
+    for d, text in docs:
+        words = text.split(" ")
+        for b, item in items:
+            own = item.split(" ")
+            wanted = Counter(tuple(own[i : i + 5]) for i in range(len(own) - 4))
+            for start in range(max(0, len(words) - len(own)) + 1):
+                part = words[start : start + len(own)]
+                found = Counter(tuple(part[i : i + 5]) for i in range(len(part) - 4))
+                common = sum((found & wanted).values())
+                value = common / (found.total() + wanted.total() - common)
+                if value >= 0.8:
+                    out[d, b] = max(value, out.get((d, b), 0))
+    return out
+
+
+def test_every_window_is_tried(spark):
+    """Items in two swapped halves, moved, edited, repeated, cut off and at the ends of texts."""
+    rng = random.Random(21)
+    items = [(k, sentence(rng, n)) for k, n in enumerate((50, 60, 44, 90, 12))] + [(5, "again and " * 25 + "on")]
+    docs = []
+    for k, item in items:
+        words, pad = item.split(" "), lambda: sentence(rng, 60).split(" ")
+        half = len(words) // 2
+        swapped = words[half:] + words[:half]
+        docs += [(10 * k, [*pad(), *swapped, *pad()]), (10 * k + 1, swapped), (10 * k + 2, [*words[1:], *pad()]), (10 * k + 3, [*pad(), *words[:-1]])]
+        docs += [(10 * k + 4, [*pad(), *words[:half], "edited", *words[half + 1 :], *pad()]), (10 * k + 5, [*pad(), *words[:half], *pad(), *words[half:]]), (10 * k + 6, words[1:-1] * 2)]
+    docs = [(i, " ".join(w)) for i, w in docs]
+    wanted = brute_leaks(docs, items)
+    assert {(0, 0), (1, 0), (10, 1), (20, 2), (30, 3)} <= set(wanted)
+    made = decontaminate.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id): round(r.similarity, 9) for r in made.collect()} == {k: round(v, 9) for k, v in wanted.items()}

@@ -1,7 +1,8 @@
 """Benchmark decontamination by SimHash over item-sized windows, in built-in column functions only.
 
-1. Windows. A document and an item that share a shingle of five words are lined up at it, which gives one window of the
-   item's length; a window that shares no shingle with any item cannot be similar to one and is not made.
+1. Windows. Items' lengths slide over every document, word by word. Of all windows those are made that hold as many
+   shingles of five words of items of their length as the similarity takes at least, wherever these stand in the item: the
+   others cannot be similar to an item. The places of such shingles come from an exact join.
 2. Fingerprints. Each window and item gets 64 bits: of the hashes of its words, repeats counting again, the majority at
    each bit. The counts are sums of columns, combined map-side.
 3. Multi-index. Fingerprints are cut in `radius + 1` blocks. Two that differ in at most `radius` bits agree in a block, so
@@ -13,7 +14,7 @@ are shuffled.
 
 Defined results: null and empty texts have no words; an item of fewer than five words has no shingle and matches nothing;
 repeated documents are found alike, and documents with equal ids count as one in the result; a null id is returned as
-null. Other columns of the inputs are ignored.
+null. Of windows equally similar, one in which a shingle stands at its place in the item comes first, then the earliest. Other columns of the inputs are ignored.
 """
 
 from __future__ import annotations
@@ -69,6 +70,28 @@ def hamming_blocks(prints: DataFrame, radius: int) -> DataFrame:
     return prints.select("*", F.inline(F.array(*blocks)))
 
 
+def _window_starts(similarity: float) -> Column:
+    """Of rows with n, length and at, the sorted places of shingles of items of n words: all windows that may be similar to one.
+
+    If a window of v shingles and an item of m have similarity s, they have s / (1 + s) * (v + m) shingles in common at least.
+    A window has k of the places exactly if it has, for some i, those numbered i to i + k - 1.
+    """
+    n, at, own = F.col("n"), F.col("at"), SHINGLE_WORDS - 1
+    end = F.greatest(F.lit(0), F.col("length") - n)
+    v = F.least(n, F.col("length")) - own
+    k = F.greatest(F.lit(1), F.ceil((v + n - own) * F.lit(similarity / (1 + similarity)) - 1e-9)).cast("int")
+    runs = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size(at) - k))
+
+    def starts(i: Column) -> Column:
+        return F.sequence(F.greatest(F.lit(0), F.get(at, i + k - 1) - (v - 1)), F.least(F.get(at, i), end), F.lit(1))
+
+    def close(i: Column) -> Column:
+        return F.get(at, i + k - 1) - F.get(at, i) < v
+
+    found = F.array_distinct(F.flatten(F.transform(F.filter(runs, close), starts)))
+    return F.transform(found, lambda x: F.struct(x.alias("start"), n.alias("span"), (x == end).alias("last")))
+
+
 def find_leaks(
     docs: DataFrame,
     items: DataFrame,
@@ -85,19 +108,19 @@ def find_leaks(
     bench = stored(bench.groupBy("words").agg(F.collect_set("item").alias("own"), F.min("item").alias("item")), "items")  # equal items are judged once
 
     hashed = bench.select(F.size("words").alias("n"), F.transform("words", lambda w: F.xxhash64(w)).alias("h"))
-    anchors = hashed.select("n", F.posexplode(_shingles(F.col("h"), False)).alias("offset", "shingle")).distinct()
+    anchors = hashed.select("n", F.explode(_shingles(F.col("h"), False)).alias("shingle")).distinct()
     anchors = stored(anchors, "anchors")
     texts = rows.withColumn("h", F.transform(_words(F.col("text")), lambda w: F.xxhash64(w)))
     # outer, as a plain generator gets a filter on its array, which would be moved below and computed for every element
     placed = texts.select("id", "tie", F.size("h").alias("length"), F.posexplode_outer(_shingles(F.col("h"), False)).alias("pos", "shingle"))
     met = placed.join(_small(anchors, anchors.count()), "shingle")
-    start = F.greatest(F.lit(0), F.least(F.col("pos") - F.col("offset"), F.col("length") - F.col("n")))
-    spans = met.select("id", "tie", start.alias("start"), F.col("n").alias("span")).distinct()
-    by_doc = spans.groupBy("id", "tie").agg(F.collect_list(F.struct("start", "span")).alias("spans"))
+    hits = met.groupBy("id", "tie", "n", "length").agg(F.sort_array(F.collect_set("pos")).alias("at"))  # a text's own places
+    spans = hits.select("id", "tie", F.inline(_window_starts(similarity)))
+    by_doc = spans.groupBy("id", "tie").agg(F.collect_list(F.struct("start", "span", "last")).alias("spans"))
     by_doc = by_doc.select(F.col("id").alias("own_id"), F.col("tie").alias("own_tie"), "spans")
     held = rows.join(by_doc, F.col("id").eqNullSafe(F.col("own_id")) & (F.col("tie") == F.col("own_tie"))).dropDuplicates(["id", "tie"])
     held = held.select("id", "tie", "spans", _words(F.col("text")).alias("all"))
-    cut = F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["span"].alias("span"), F.slice("all", s["start"] + 1, s["span"]).alias("words")))
+    cut = F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["span"].alias("span"), s["last"].alias("last"), F.slice("all", s["start"] + 1, s["span"]).alias("words")))
     key = ["id", "tie", "start", "span"]
     windows = stored(held.select("id", "tie", F.inline_outer(cut)), "windows")
 
@@ -106,16 +129,21 @@ def find_leaks(
     near = window_blocks.join(_small(item_blocks, bench.count() * (radius + 1)), ["span", "block", "value"])
     near = near.where(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= radius).select(*key, "item").distinct()
 
-    shown = windows.select(*key, _shingles(F.col("words"), True).alias("shingles"))
+    shown = windows.select(*key, "last", _shingles(F.col("words"), True).alias("shingles"))
     same = [F.col(c).eqNullSafe(F.col(f"w_{c}")) for c in key]
     condition = same[0] & same[1] & same[2] & same[3]
-    pairs = near.join(shown.select(*(F.col(c).alias(f"w_{c}") for c in key), "shingles"), condition)
-    counts = pairs.select(*key, "item", F.size("shingles").alias("of_window"), F.explode("shingles").alias("shingle"))
-    counts = counts.groupBy(*key, "item", "of_window", "shingle").agg(F.count("*").alias("a"))
-    of_items = bench.select("item", F.size("words").alias("m"), F.explode(_shingles(F.col("words"), True)).alias("shingle")).groupBy("item", "m", "shingle").agg(F.count("*").alias("b"))
-    common = counts.join(of_items, ["item", "shingle"]).groupBy(*key, "item", "of_window", "m").agg(F.sum(F.least("a", "b")).alias("common"))
+    pairs = near.join(shown.select(*(F.col(c).alias(f"w_{c}") for c in key), "last", "shingles"), condition)
+    counts = pairs.select(*key, "last", "item", F.size("shingles").alias("of_window"), F.posexplode("shingles").alias("at", "shingle"))
+    counts = counts.groupBy(*key, "last", "item", "of_window", "shingle").agg(F.count("*").alias("a"), F.collect_set("at").alias("at"))
+    of_items = bench.select("item", F.size("words").alias("m"), F.posexplode(_shingles(F.col("words"), True)).alias("off", "shingle"))
+    of_items = of_items.groupBy("item", "m", "shingle").agg(F.count("*").alias("b"), F.collect_set("off").alias("off"))
+    # lined up: at its place in the item, or as near to that as the text's ends allow
+    before, after = F.array_min("at") < F.array_max("off"), F.array_max("at") > F.array_min("off")
+    lined = F.arrays_overlap("at", "off") | ((F.col("start") == 0) & before) | (F.col("last") & after)
+    common = counts.join(of_items, ["item", "shingle"]).groupBy(*key, "item", "of_window", "m")
+    common = common.agg(F.sum(F.least("a", "b")).alias("common"), F.max(lined).alias("lined"))
     value = F.col("common") / (F.col("of_window") + F.col("m") - (SHINGLE_WORDS - 1) - F.col("common"))
     good = common.withColumn("similarity", value).where(F.col("similarity") >= similarity)
-    best = good.groupBy("id", "item").agg(F.max(F.struct("similarity", (-F.col("start")).alias("back"))).alias("best"))
+    best = good.groupBy("id", "item").agg(F.max(F.struct("similarity", "lined", (-F.col("start")).alias("back"))).alias("best"))
     found = best.join(bench.select("item", "own"), "item").select("id", F.explode("own").alias("item"), "best")
     return found.select(F.col("id").alias(id_col), F.col("item").alias(item_col), F.col("best.similarity").alias("similarity"), (-F.col("best.back")).cast("long").alias("start"))
