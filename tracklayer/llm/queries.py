@@ -8,8 +8,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracklayer.llm import attention_lm, bpe, decontaminate, line_crf, line_dedup, near_dup, substring_dedup, token_files, url_filter, warc
-from tracklayer.llm.common import table
+from tracklayer.llm import (
+    attention_lm,
+    bpe,
+    decontaminate,
+    fill_middle,
+    language_gru,
+    line_crf,
+    line_dedup,
+    near_dup,
+    periodic_runs,
+    substring_dedup,
+    token_files,
+    url_filter,
+    warc,
+)
+from tracklayer.llm.common import table, words_of
 
 #: Verdict and rule (host, leading part of the path).
 URL_RULES = [
@@ -81,6 +95,55 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str, tokenizers: Callable[[str],
     return bpe.encode_texts(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, bpe.digests, schema)
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text's language; the network learns from documents that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    languages, net = language_gru.learn_languages(docs, ~held_out)
+    return language_gru.predict_languages(docs, languages, net).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def looped(docs: DataFrame) -> DataFrame:
+    """Documents in a tenth of which, chosen by a checksum of the id, the words from some place on go round."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = words_of(F.coalesce("text", F.lit("")))
+    n = F.size("words")
+    begin = F.floor(h / 10) % n
+    turn = 1 + F.floor((n - begin) / (3 + F.floor(h / 10) % 8))
+    round_trip = F.concat(
+        F.slice("words", 1, F.col("begin")),
+        F.transform(F.sequence(F.lit(0), n - F.col("begin") - 1), lambda i: F.element_at("words", (F.col("begin") + i % F.col("turn") + 1).cast("int"))),
+    )
+    chosen = docs.select("doc_id", "text", h.alias("h"), F.when(h % 10 == 0, words).alias("words"))
+    placed = chosen.withColumn("begin", F.when(n > 0, begin).cast("int")).withColumn("turn", F.when(n > 0, turn).cast("int"))
+    return placed.select("doc_id", F.when(n > 0, F.array_join(round_trip, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text's periodic runs of words, and the text with each run cut down to one period."""
+    found = periodic_runs.periodic_runs(looped(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("back"), (-r["period"]).alias("less"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    placed = found.withColumn("best", longest)
+    return placed.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.back")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.less")).alias("period"),
+        F.expr("1000 * best.length div -best.less").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text in its fill-in-middle form, and restored from it."""
+    made = fill_middle.fill_in_middle(table(spark, sf_dir, "documents"))
+    digests = [F.sha2("output", 256).alias("output_sha256"), F.sha2(fill_middle.restored(), 256).alias("restored_sha256")]
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_url_filter": op2_url_filter,
@@ -92,6 +155,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_near_dup": op9_near_dup,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_language_id": op11_language_id,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_fill_middle": op13_fill_middle,
 }
 
 _HOST = "translate(regexp_extract(url, '^(?s:.*?)://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -193,4 +259,22 @@ ORACLES: dict[str, str] = {
                CASE WHEN f.first <> p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN f.first <> p.page_id THEN f.first END AS refers_to
         FROM p LEFT JOIN f ON f.payload = p.payload""",
+    "op13_fill_middle": """
+        WITH seeded AS (
+            SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS seed FROM documents
+        ), drawn AS (
+            SELECT doc_id, text, length(text) AS n, ('0x' || seed[1:8])::BIGINT AS h1, ('0x' || seed[9:16])::BIGINT AS h2,
+                   ('0x' || seed[17:24])::BIGINT AS h3, ('0x' || seed[25:32])::BIGINT AS h4 FROM seeded
+        ), cut AS (
+            SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+                   CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+                        WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM drawn
+        ), spans AS (
+            SELECT *, text[1:a] AS prefix, text[a + 1:b] AS middle, text[b + 1:n] AS suffix FROM cut
+        )
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                                ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+               sha256(text) AS restored_sha256
+        FROM spans""",
 }
