@@ -133,7 +133,7 @@ def test_shipments_are_enriched_and_deletes_become_tombstones(spark, layers, mas
 def test_duplicate_masters_do_not_repeat_a_stored_key(spark, layers, masters):
     twice = Masters(masters.status.union(masters.status), masters.customer, masters.pack, masters.group)
     apply(spark, layers, twice, {"IBS": frame(spark, "IBS", status("k", "123", 1))})
-    rows = spark.read.parquet(f"{layers.persistent.path}/records").filter("IBS IS NOT NULL")
+    rows = spark.read.parquet(layers.persistent.records_path).filter("IBS IS NOT NULL")
     assert rows.count() == 1
 
 

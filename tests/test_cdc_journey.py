@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tracklayer.layouts import NA, TOMBSTONE, Layout
 from tracklayer.operators.cdc import contact_pair, latest_per_key, latest_records, pivot_families, split_cdc
 from tracklayer.operators.enrich import with_status
-from tracklayer.operators.journey import append_journey, build_journey, event_text, events_of, journey_parts, render, status_event
+from tracklayer.operators.journey import append_journey, build_journey, event_text, events_of, journey_parts, journey_rows, render, sorted_runs, status_event
 
 LAYOUT = Layout("T", ("k", "a"), tail=("op_ts", "op_type"))
 SCHEMA = "k string, a string, op_ts string, op_type string"
@@ -98,9 +98,9 @@ def test_status_event_uses_the_master(spark):
 def test_slices_do_not_change_the_journey(spark):
     data = [(k, e) for k in "xy" for e in ("", "a", "ab", "abc", "abd", "b", "é", "z|")] + [("n", None), ("x", None)]
     events = spark.createDataFrame(data, "PK string, event string")
-    whole = rows(build_journey(events, 100))
-    for chars in (1, 2, 3):
-        assert rows(build_journey(events, chars)) == whole
+    whole = rows(build_journey(events))
+    for chars in (2, 3, 100):
+        assert rows(render(journey_parts(events, chars))) == whole
     assert ("n", "") in whole
     assert rows(render(journey_parts(events, 1))) == whole
 
@@ -113,17 +113,21 @@ def test_slices_do_not_change_the_journey(spark):
 def test_journey_is_the_sorted_distinct_events(spark, data, chars):
     expected = {k: "|".join(sorted({e for j, e in data if j == k}, key=str.encode)) for k, _ in data}
     events = spark.createDataFrame(data, "PK string, event string")
-    assert dict(rows(build_journey(events, chars))) == expected
+    assert dict(rows(build_journey(events))) == dict(rows(render(journey_parts(events, chars)))) == expected
 
 
-def test_hot_key_spreads_over_its_slices(spark):
+def test_hot_key_spreads_by_its_events(spark, uncoalesced):
+    """A key with a third of the rows, its events undated and alike at the begin, some of them very often."""
     n = 30_000
-    stamp = F.date_format(F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") * 60), "yyyy-MM-dd HH:mm:ss")
-    events = spark.range(n).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("PK"), stamp.alias("event"))
-    parts = journey_parts(events).filter("PK = 'hot'")
-    assert parts.count() >= 400
-    assert parts.agg(F.max(F.size(F.split("CT_COL", "\\|")))).first()[0] <= 60
-    assert len(render(parts).first().CT_COL.split("|")) == n // 3
+    alike = F.concat(F.lit("~" * 30), F.lpad((F.col("id") % 9000).cast("string"), 5, "0"))
+    events = spark.range(n).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("PK"), alike.alias("event"))
+    runs = sorted_runs(journey_rows(events).filter("PK = 'hot'")).withColumn("task", F.spark_partition_id())
+    per = runs.groupBy("task").agg(F.count("*").alias("n"), F.min("event").alias("low"), F.max("event").alias("high")).orderBy("low").collect()
+    assert sum(r.n for r in per) == 3000 and len(per) == 4 and max(r.n for r in per) < 1500
+    assert all(a.high < b.low for a, b in zip(per, per[1:]))
+    in_order = [r.event for r in runs.collect()]
+    assert in_order == sorted(in_order)
+    assert build_journey(events).filter("PK = 'hot'").first().CT_COL == "|".join(in_order)
 
 
 def test_append(spark):

@@ -1,10 +1,9 @@
 """Journeys: the distinct events of a key, in text order, joined into one string; and their growth over batches.
 
-A key may hold a large share of all events, so a journey is built in parts. A part holds the events of a key that share
-a leading slice of text, which is their date; equal events share their slice, and slices sort as whole events do, so
-parts are made distinct and put in order independently of each other, after a map-side combine, and a hot key spreads
-over as many tasks as it has slices. Reading the parts of a key in order gives its whole journey; ``render`` does that
-where one cell per key is asked for, moving finished text only.
+A key may hold a large share of all events, so a journey is rows first: distinct events, made so after a map-side combine
+and dealt by key and event together, so a hot key spreads by the whole content of its events, dated or not. ``sorted_runs``
+puts rows in order over all tasks, by ranges of key and event; that is the stored form. ``build_journey`` glues a key's
+rows where one cell per key is asked for, moving each distinct event once; that cell alone has to fit in one task.
 """
 
 from __future__ import annotations
@@ -17,8 +16,6 @@ from pyspark.sql import functions as F
 from tracklayer.functions.text import is_missing, or_empty, or_na, record
 from tracklayer.layouts import EVENT_SEP
 
-SLICE_CHARS = 16  # date, hour and minute of a leading "yyyy-MM-dd HH:mm:ss"
-
 
 def event_text(
     fields: Sequence[Column | str], suffix: Column | str = "", op_type: Column | str | None = "op_type"
@@ -54,13 +51,23 @@ def events_of(df: DataFrame, key: Column | str, text: Column) -> DataFrame:
     return df.select(key.cast("string").alias("PK"), text.alias("event")).filter(F.col("PK").isNotNull())
 
 
-def journey_parts(events: DataFrame, slice_chars: int = SLICE_CHARS) -> DataFrame:
-    """``(PK, part, CT_COL)``: the whole journey of each key, cut at its leading text slices.
+def journey_rows(events: DataFrame) -> DataFrame:
+    """``(PK, event)``: the distinct events of each key, equal ones met by key and event after a map-side combine."""
+    return events.select("PK", "event").distinct()
+
+
+def sorted_runs(rows: DataFrame, order: Sequence[str] = ("PK", "event")) -> DataFrame:
+    """Rows in order over all tasks: ranges of the whole order, each sorted, so no key has to fit in one of them."""
+    return rows.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
+def journey_parts(events: DataFrame, slice_chars: int) -> DataFrame:
+    """``(PK, part, CT_COL)``: the journey of each key cut at leading text slices, such as its days.
 
-    A larger slice makes smaller parts. A key with NULL events only gets one empty part.
+    Slices sort as whole events do. A key with NULL events only gets one empty part.
     """
-    sliced = events.select("PK", F.substring("event", 1, slice_chars).alias("part"), "event")
-    text = F.concat_ws(EVENT_SEP, F.sort_array(F.collect_set("event")))
+    sliced = journey_rows(events).select("PK", F.substring("event", 1, slice_chars).alias("part"), "event")
+    text = F.concat_ws(EVENT_SEP, F.sort_array(F.collect_list("event")))
     return sliced.groupBy("PK", "part").agg(text.alias("CT_COL"))
 
 
@@ -71,9 +78,10 @@ def render(parts: DataFrame) -> DataFrame:
     return parts.groupBy("PK").agg(F.array_join(ordered, EVENT_SEP).alias("CT_COL"))
 
 
-def build_journey(events: DataFrame, slice_chars: int = SLICE_CHARS) -> DataFrame:
+def build_journey(events: DataFrame) -> DataFrame:
     """``(PK, CT_COL)``: distinct events per key in text order, joined by ``|``."""
-    return render(journey_parts(events, slice_chars))
+    text = F.concat_ws(EVENT_SEP, F.sort_array(F.collect_list("event")))
+    return journey_rows(events).groupBy("PK").agg(text.alias("CT_COL"))
 
 
 def appended(stored: Column, new: Column, sentinel: str = "reference") -> Column:

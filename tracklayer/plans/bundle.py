@@ -12,7 +12,7 @@ from tracklayer.layouts import Layout
 from tracklayer.operators.cdc import contact_pair, latest_records, split_cdc, without_deletes
 from tracklayer.operators.codec import encode, key_text, scrub
 from tracklayer.operators.enrich import enrich_pickup, with_status
-from tracklayer.operators.journey import events_of, flight_event, journey_parts, pickup_event, status_event
+from tracklayer.operators.journey import events_of, flight_event, journey_rows, pickup_event, status_event
 from tracklayer.operators.status import pickup_load_ts
 from tracklayer.sources.masters import Masters
 
@@ -39,6 +39,11 @@ def order_columns(df: DataFrame) -> list[str]:
     return [c for c in ("op_ts", "pos") if c in df.columns]
 
 
+def _rows_of(events: DataFrame) -> DataFrame:
+    rows = journey_rows(events.filter(F.col("event").isNotNull()))
+    return rows.select("PK", F.col("event").alias("CT_COL"))
+
+
 def _journey_key(layout: Layout):
     # Like the record's key, but a NULL key stays NULL and so gets no journey.
     return F.when(F.col(layout.key).isNotNull(), key_text(layout))
@@ -63,8 +68,8 @@ def build_bundle(
 ) -> dict[str, DataFrame]:
     """Bundle of one batch.
 
-    Record families hold ``(PK, CT_COL)`` and ordering columns, one row per change; journeys hold ``(PK, part,
-    CT_COL)``. Families without changes in ``changes`` are left out, which the layers read as "nothing new".
+    Record families hold ``(PK, CT_COL)`` and ordering columns, one row per change; journeys hold ``(PK, CT_COL)``, one
+    row per distinct event. Families without changes in ``changes`` are left out, which the layers read as "nothing new".
     """
     bundle = {}
     for family in RECORD_FAMILIES:
@@ -76,16 +81,16 @@ def build_bundle(
         rows = scrub(without_deletes(changes["CPS"]), layout.fields)
         known = enrich_pickup(rows, masters.customer, masters.group, single=True)
         bundle["CPS"] = encode(known, layout, order_columns(rows))
-        bundle["CPJ"] = journey_parts(events_of(rows, F.trim(layout.key), pickup_event()))
+        bundle["CPJ"] = _rows_of(events_of(rows, F.trim(layout.key), pickup_event()))
         bundle["LTS"] = pickup_load_ts(without_deletes(changes["CPS"]), layout.key)
     if "ADT" in changes:
         rows = scrub(without_deletes(changes["ADT"]), ["nawbid", "ccode", "cattn"])
         bundle["ADT"] = encode(contact_pair(rows, order=order_columns(rows)), layouts["ADT"], ["op_ts"])
     if "SFM" in changes:
         rows = scrub(without_deletes(changes["SFM"]), layouts["SFM"].fields)
-        bundle["SFJ"] = journey_parts(events_of(rows, _journey_key(layouts["SFM"]), flight_event()))
+        bundle["SFJ"] = _rows_of(events_of(rows, _journey_key(layouts["SFM"]), flight_event()))
     if LEGS.keys() & changes.keys():
-        bundle["PDJ"] = journey_parts(status_journey(changes, layouts, masters))
+        bundle["PDJ"] = _rows_of(status_journey(changes, layouts, masters))
     return bundle
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tracklayer.functions.text import field
 from tracklayer.layouts import NA
-from tracklayer.operators.status import CLOSURE_CODES, HELD_DAYS, AsOf, reclassify, reformat_lts
+from tracklayer.operators.status import CLOSURE_CODES, HELD_DAYS, AsOf, JourneySummary, journey_summary, reclassify, reformat_lts
 from tracklayer.plans.layers import Layers
 
 ALTERNATE_FAMILIES = ("ALK", "SRT", "SRJ")
@@ -33,9 +33,13 @@ def reload_alt(pl: DataFrame, journey_filter: str = "SRT") -> DataFrame:
 def run_cleanup(
     layers: Layers, *, as_of: AsOf, batch_id: int, codes: Sequence[str] = CLOSURE_CODES, days: int = HELD_DAYS
 ) -> bool:
-    """Re-derive status and status date of every stored key; only what changed is written."""
-    pl = layers.persistent.read(["ABM", "SLT", "PDJ", "DLS", "DTS"], marks=["ABM", "SLT"])
-    derived = reclassify(pl, codes, as_of=as_of, days=days, keep=["DLS", "DTS"])
+    """Re-derive status and status date of every stored key; only what changed is written.
+
+    Journeys are read as rows and summed up by key, so none is put in one cell.
+    """
+    pl = layers.persistent.read(["ABM", "SLT", "DLS", "DTS"], marks=["ABM", "SLT"])
+    known = journey_summary(layers.persistent.journey_rows("PDJ"), codes)
+    derived = reclassify(pl.join(known, "PK", "left"), codes, as_of=as_of, days=days, keep=["DLS", "DTS"], journey=JourneySummary())
     changed = ~(F.col("DLS").eqNullSafe(F.col("old_DLS")) & F.col("DTS").eqNullSafe(F.col("old_DTS")))
     return layers.persistent.upsert(derived.filter(changed), batch_id, "cleanup")
 

@@ -15,7 +15,7 @@ from tracklayer.operators.cdc import pivot_families
 from tracklayer.operators.status import CLOSURE_CODES, load_ts_text
 from tracklayer.plans.bundle import RECORD_FAMILIES, ROUTES, latest_of
 from tracklayer.plans.promote import batch_stamps, promote, promote_alternates
-from tracklayer.plans.state import StateTable
+from tracklayer.plans.state import PARTS, StateTable
 from tracklayer.session import concurrently, empty_frame, materialise
 from tracklayer.sources import paths
 from tracklayer.sources.masters import Masters
@@ -25,12 +25,17 @@ class Layers:
     """Incremental layer, keyed state tables and batch control below one root folder."""
 
     def __init__(
-        self, spark: SparkSession, root: str, layouts: Mapping[str, Layout], sentinel: str = "reference"
+        self,
+        spark: SparkSession,
+        root: str,
+        layouts: Mapping[str, Layout],
+        sentinel: str = "reference",
+        parts: int = PARTS,
     ):
         self.spark, self.root, self.layouts = spark, root.rstrip("/"), dict(layouts)
 
-        def table(name: str, latest: Sequence[str], journeys: Sequence[str] = ()) -> StateTable:
-            return StateTable(spark, f"{self.root}/{name}", latest, journeys, sentinel)
+        def table(name: str, latest: Sequence[str], journeys: Sequence[str] = (), parts: int = parts) -> StateTable:
+            return StateTable(spark, f"{self.root}/{name}", latest, journeys, sentinel, parts)
 
         self.persistent = table(
             "persistent",
@@ -41,7 +46,7 @@ class Layers:
         self.pickup = table("pickup", ["CPS", "LTS"], ["CPJ"])
         self.contact = table("contact", ["ADT"])
         self.deleted = table("deleted", ["DEL"])
-        self.control = table("control", ["PL"])
+        self.control = table("control", ["PL"], parts=1)  # one row
 
     def tables(self) -> dict[str, StateTable]:
         return {
@@ -136,8 +141,8 @@ def _with_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.select("PK", "CT_COL", *(n if n in df.columns else F.lit(None).cast("string").alias(n) for n in names))
 
 
-def _journey(parts: DataFrame, family: str) -> DataFrame:
-    return parts.select("PK", "part", F.col("CT_COL").alias(family))
+def _journey(rows: DataFrame, family: str) -> DataFrame:
+    return rows.select("PK", F.col("CT_COL").alias(family))
 
 
 def _stack(frames: Sequence[DataFrame | None]) -> DataFrame | None:

@@ -1,21 +1,23 @@
-"""Keyed state on plain parquet: records in a base and a log of commits, journeys as rows.
-
-A row key holds one *latest* column per family (last write wins, a family absent from a commit stays untouched) and one
-*journey* column per growing family (commits append). An upsert only writes its own rows, below its writer and batch, so
-writers never touch each other's files and a batch tried again overwrites itself and nothing else. A marker, written last,
-makes a commit visible; a batch its writer committed before is a no-op. Commits take the number after the newest marker;
-two that take the same number are ordered by the writers' names.
-
-Records: ``compact`` folds the log over the base, one row per key, in a table bucketed by key. Readers fold the log since
-then and merge it with the base, which needs no shuffle for that. Journeys stay rows of their commits, whatever their
-length, and are put in one cell only for a reader who asks for that form. One job compacts a table at a time; writers may
-go on meanwhile.
+"""Keyed state on plain parquet: latest records hash-partitioned by key, journeys as rows of their batches.
+
+A row key holds one *latest* column per family (last write wins, a family absent from a batch stays untouched) and one
+*journey* column per growing family (batches append).
+
+Records lie in ``part=<n>`` folders, one row per key, the part being a hash of the key. An upsert is one plain job: it joins
+the batch with the parts its keys fall in and writes those parts anew; all other parts keep their files, and reading is a
+scan without a shuffle. The new parts are complete before the first one is put in place; from then on the batch counts, and
+if its run dies the next upsert of whichever writer puts the rest in place.
+
+Journeys are rows, one for each event, below their writer and batch, range-partitioned and sorted by key and event, so a
+hot key spreads over many files. They are put in one cell only for a reader who asks for that form. A batch tried again
+overwrites its own rows; rows are visible once the batch is through. What each writer has applied is a folder name.
+Batches of one writer come in order, and one process at a time upserts a table.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,24 +26,19 @@ from pyspark.sql import types as T
 
 from tracklayer.functions.text import is_missing
 from tracklayer.layouts import EVENT_SEP, NA
+from tracklayer.operators.journey import sorted_runs
 from tracklayer.session import empty_frame
+from tracklayer.sources import paths
 
-_COMMIT = T.StructType(
-    [
-        T.StructField("writer", T.StringType()),
-        T.StructField("batch", T.LongType()),
-        T.StructField("commit", T.LongType()),
-    ]
-)
-_BASE = T.StructType([T.StructField("version", T.LongType()), T.StructField("buckets", T.IntegerType())])
+#: Parts of a table; chosen so that one part is a few hundred megabytes, and kept for the table's life (see ``resized``).
+PARTS = 16
 
 
 class StateTable:
     """One keyed table of family columns.
 
     ``sentinel`` says what a stored journey equal to the sentinel is worth when events are appended to it:
-    ``reference`` keeps it as text, ``strict`` treats it as nothing. ``buckets`` is the number of buckets of a new base
-    (default: the session's shuffle partitions).
+    ``reference`` keeps it as text, ``strict`` treats it as nothing.
     """
 
     def __init__(
@@ -51,93 +48,115 @@ class StateTable:
         latest: Sequence[str],
         journeys: Sequence[str] = (),
         sentinel: str = "reference",
-        buckets: int | None = None,
+        parts: int = PARTS,
     ):
         self.spark, self.path = spark, path.rstrip("/")
         self.latest, self.journeys = tuple(latest), tuple(journeys)
-        self.sentinel, self.buckets = sentinel, buckets
+        self.sentinel, self.parts = sentinel, parts
 
     @property
     def families(self) -> tuple[str, ...]:
         return self.latest + self.journeys
 
-    def _stored(self, name: str, schema: T.StructType) -> DataFrame:
+    @property
+    def records_path(self) -> str:
+        return f"{self.path}/records-{self.parts}"
+
+    def _stored(self, path: str, schema: T.StructType) -> DataFrame:
         try:
-            return self.spark.read.schema(schema).parquet(f"{self.path}/{name}")
+            return self.spark.read.schema(schema).parquet(path)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return empty_frame(self.spark, schema)
 
-    def commits(self) -> DataFrame:
-        """Markers of all commits: ``(writer, batch, commit)``."""
-        return self._stored("commits", _COMMIT)
+    def applied(self) -> dict[str, tuple[int, int]]:
+        """Each writer's last batch and its number in the order of all batches."""
+        out = {}
+        for writer in paths.child_names(self.spark, f"{self.path}/applied"):
+            names = paths.child_names(self.spark, f"{self.path}/applied/{writer}")
+            out[writer.removeprefix("writer=")] = max(tuple(int(x) for x in n.split("-")) for n in names)
+        return out
 
     def committed(self, writer: str, batch_id: int) -> bool:
-        """Whether the writer committed this batch or a later one."""
-        return not self.commits().filter((F.col("writer") == writer) & (F.col("batch") >= batch_id)).isEmpty()
+        """Whether the writer applied this batch or a later one."""
+        return self.applied().get(writer, (-1, 0))[0] >= batch_id
 
     def upsert(self, delta: DataFrame, batch_id: int, writer: str = "batch", replace_journeys: bool = False) -> bool:
-        """Append a batch: ``PK``, any of the families, and optionally ``part`` ordering journey rows of one key.
+        """Merge a batch: ``PK`` and any of the families.
 
-        A key may have several rows, at most one of which sets a given latest family. ``replace_journeys`` makes the
-        batch's journeys replace stored ones. False if this writer committed the batch (or a later one) before.
+        A key may have several rows, at most one of which sets a given latest family; journey columns hold one event a
+        row. Where there are any, a row without a record and an event adds no key. ``replace_journeys`` makes the batch's journeys replace stored ones. False if this writer applied the batch
+        (or a later one) before.
         """
-        if self.committed(writer, batch_id):
+        for dead in paths.child_names(self.spark, f"{self.path}/pending"):
+            self._finish(dead)
+        applied = self.applied()
+        if applied.get(writer, (-1, 0))[0] >= batch_id:
             return False
-        commit = (self.commits().agg(F.max("commit")).first()[0] or 0) + 1
-        part = F.col("part").cast("string") if "part" in delta.columns else F.lit(None).cast("string")
-        families = [(F.col(f) if f in delta.columns else F.lit(None)).cast("string").alias(f) for f in self.families]
-        rows = delta.select("PK", part.alias("part"), *families)
-        place = f"writer={writer}/batch={batch_id}"
+        place = f"{self.path}/journeys/writer={writer}/batch={batch_id}"
+        number = 1 + max((n for _, n in applied.values()), default=0)
         brought = [f for f in self.journeys if f in delta.columns]
         if brought:
-            has_events = F.coalesce(*brought).isNotNull()
-            events = rows.filter(has_events).select("PK", "part", F.lit(replace_journeys).alias("replaces"), *self.journeys)
-            events.write.mode("overwrite").parquet(f"{self.path}/journeys/{place}")
-            has_record = F.coalesce(*self.latest).isNotNull() if self.latest else F.lit(False)
-            keys = rows.filter(~has_record).select("PK").distinct()  # so that records name every key
-            rows = rows.filter(has_record).drop(*self.journeys).unionByName(keys, allowMissingColumns=True)
-        rows.select("PK", "part", *self.latest).write.mode("overwrite").parquet(f"{self.path}/records/{place}")
-        values = [F.lit(writer), F.lit(batch_id), F.lit(commit)]
-        marker = [v.cast(c.dataType).alias(c.name) for v, c in zip(values, _COMMIT, strict=True)]
-        self.spark.range(1).select(*marker).coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
+            paths.remove(self.spark, place)  # of a run that died
+            self._append(delta, brought, replace_journeys, f"{place}/number={number}")
+        keys = self._stored(place, T.StructType([T.StructField("PK", T.StringType())])) if brought else None
+        self._prepare(delta, keys, f"{writer}-{batch_id}-{number}")
+        self._finish(f"{writer}-{batch_id}-{number}")
         return True
 
-    def _schema(self, families: Sequence[str], *more: T.StructField) -> T.StructType:
-        strings = [T.StructField(c, T.StringType()) for c in ("PK", "part", *families)]
-        return T.StructType([*strings, *more, *_COMMIT.fields[:2]])
-
-    def _base(self) -> tuple[int, DataFrame | None]:
-        """Newest base, by number and as a table that knows its buckets (0 and None before the first)."""
-        row = self._stored("bases", _BASE).orderBy(F.desc("version")).first()
-        if row is None:
-            return 0, None
-        name = self._base_name(row.version)
-        if not self.spark.catalog.tableExists(name):
-            columns = ", ".join(f"`{c}` STRING" for c in ("PK", *self.latest))
-            self.spark.sql(
-                f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet CLUSTERED BY (PK) SORTED BY (PK) "
-                f"INTO {row.buckets} BUCKETS LOCATION '{self.path}/base/v={row.version}'"
-            )
-        return row.version, self.spark.table(name)
-
-    def _base_name(self, version: int) -> str:
-        return f"state_{hashlib.md5(self.path.encode()).hexdigest()[:16]}_v{version}"
-
-    def _pending(self, version: int) -> DataFrame:
-        """Markers of commits that are not in the base."""
-        if not version:
-            return self.commits()
-        folded = self.spark.read.schema(_COMMIT).parquet(f"{self.path}/folded/v={version}")
-        return self.commits().join(folded.select("writer", "batch"), ["writer", "batch"], "left_anti")
-
-    def _log(self, pending: DataFrame, families: Sequence[str]) -> DataFrame:
-        rows = self._stored("records", self._schema(self.latest))
-        return rows.join(pending, ["writer", "batch"]).select("PK", "part", "writer", "commit", *families)
+    def _append(self, delta: DataFrame, families: Sequence[str], replaces: bool, path: str) -> None:
+        each = [F.struct(F.lit(f).alias("family"), F.col(f).cast("string").alias("event")) for f in families]
+        events = delta.select("PK", F.explode(F.array(*each)).alias("e")).select("e.family", "PK", "e.event")
+        runs = sorted_runs(events.filter(F.col("event").isNotNull()), ["family", "PK", "event"])
+        runs.withColumn("replaces", F.lit(replaces)).write.mode("overwrite").partitionBy("family").parquet(path)
+
+    def _part(self) -> Column:
+        return F.pmod(F.xxhash64("PK"), F.lit(self.parts)).cast("int").alias("part")
+
+    def _prepare(self, delta: DataFrame, keys: DataFrame | None, name: str) -> None:
+        """Write the parts that the batch touches, merged with it. `keys` are those that journeys bring."""
+        pending = f"{self.path}/pending/{name}"
+        brought = [f for f in self.latest if f in delta.columns]
+        rows = delta.select("PK", *(F.col(f).cast("string").alias(f) for f in brought))
+        if keys is not None:
+            has_record = F.coalesce(*(F.col(f) for f in brought)).isNotNull() if brought else F.lit(False)
+            rows = rows.filter(has_record).unionByName(keys.distinct(), allowMissingColumns=True)
+        folded = rows.withColumn("part", self._part()).repartition("part").groupBy("part", "PK")
+        folded = folded.agg(*(F.max(f).alias(f) for f in brought)) if brought else folded.agg(F.lit(0)).select("part", "PK")
+        if not paths.exists(self.spark, self.records_path):  # nothing to merge with yet
+            everything = folded.select("PK", *(F.col(f) if f in brought else F.lit(None).cast("string").alias(f) for f in self.latest), "part")
+            everything.write.mode("overwrite").partitionBy("part").parquet(f"{pending}/new")
+            return
+        folded.write.mode("overwrite").partitionBy("part").parquet(f"{pending}/delta")
+        touched = [int(n.removeprefix("part=")) for n in paths.child_names(self.spark, f"{pending}/delta") if n.startswith("part=")]
+        fresh = self.spark.read.schema(_records(brought)).parquet(f"{pending}/delta")
+        stored = self._stored(self.records_path, _records(self.latest)).filter(F.col("part").isin(touched))
+        merged = merge(stored.repartition("part"), fresh.repartition("part"), self.latest, ["part", "PK"])
+        merged.write.mode("overwrite").partitionBy("part").parquet(f"{pending}/new")
+
+    def _finish(self, name: str) -> None:
+        """Put new parts in place of the old ones and note the batch, or drop what was not prepared in full.
+
+        A run that died here left parts that are in place already, or lack the old one: the rest goes on from there.
+        """
+        pending = f"{self.path}/pending/{name}"
+        if paths.exists(self.spark, f"{pending}/new/_SUCCESS"):
+            for part in paths.child_names(self.spark, f"{pending}/new"):
+                if part.startswith("part="):
+                    paths.remove(self.spark, f"{self.records_path}/{part}")
+                    paths.move(self.spark, f"{pending}/new/{part}", f"{self.records_path}/{part}")
+            writer, batch, number = name.rsplit("-", 2)
+            done = f"{self.path}/applied/writer={writer}"
+            before = paths.child_names(self.spark, done)
+            paths.make(self.spark, f"{done}/{batch}-{number}")
+            for old in before:
+                if old != f"{batch}-{number}":
+                    paths.remove(self.spark, f"{done}/{old}")
+        paths.remove(self.spark, pending)
 
     def read(self, families: Sequence[str] | None = None, marks: Sequence[str] = ()) -> DataFrame:
-        """One row per key with the chosen families. The base is read in its buckets and never shuffled for this.
+        """One row per key with the chosen families. Records are scanned and not shuffled.
 
         Families named in ``marks`` are wanted for their presence only: a real record is read as ``*``, so that long
         records are not shuffled to learn whether they are there. A journey is one cell here; ``journey_rows`` has no
@@ -145,82 +164,59 @@ class StateTable:
         """
         wanted = [f for f in self.families if families is None or f in families]
         latest = [f for f in wanted if f in self.latest]
-        grown = [f for f in wanted if f in self.journeys]
+        records = self._stored(self.records_path, _records(self.latest)).select("PK", *latest)
         marked = {f: F.when(F.col(f) == NA, NA).when(F.col(f).isNotNull(), "*") for f in latest if f in marks}
-        records = self._records(latest, marked)
-        if grown:
-            rows = self._journey_rows(grown).groupBy("PK").agg(*(self._journey(f) for f in grown))
-            records = records.join(rows, "PK", "left")
+        records = records.withColumns(marked) if marked else records
+        for family in wanted:
+            if family in self.journeys:
+                records = records.join(self._cells(family), "PK", "left")
         return records.select("PK", *wanted)
 
-    def _records(self, families: Sequence[str], marked: dict[str, Column] | None = None) -> DataFrame:
-        version, base = self._base()
-        pending = self._pending(version)
-        if base is not None:
-            base = base.select("PK", *families).withColumns(marked or {})
-            if pending.isEmpty():
-                return base
-        log = self._log(pending, families).withColumns(marked or {})
-        newest = [self._newest(f) for f in families]
-        folded = log.groupBy("PK").agg(*newest) if newest else log.select("PK").distinct()
-        return folded if base is None else merge(base, folded, families)
-
-    def _newest(self, family: str) -> Column:
-        return F.max_by(family, F.when(F.col(family).isNotNull(), F.struct("commit", "writer", "part"))).alias(family)
-
-    def _journey(self, family: str) -> Column:
-        counts = F.col(family).isNotNull() if self.sentinel == "reference" else ~is_missing(family)
-        pieces = F.collect_list(F.when(counts, F.struct("commit", "writer", "part", F.col(family).alias("text"))))
-        start = F.coalesce(F.max(F.when(counts & F.col("replaces"), F.col("commit"))), F.lit(0))
-        valid = F.filter(F.sort_array(pieces), lambda p: p["commit"] >= start)
-        joined = F.array_join(F.transform(valid, lambda p: p["text"]), EVENT_SEP)
-        return F.when(F.size(valid) > 0, joined).alias(family)
-
-    def _journey_rows(self, families: Sequence[str]) -> DataFrame:
-        rows = self._stored("journeys", self._schema(self.journeys, T.StructField("replaces", T.BooleanType())))
-        rows = rows.join(self.commits(), ["writer", "batch"])
-        return rows.select("PK", "commit", "writer", "part", "replaces", *families)
+    def _cells(self, family: str) -> DataFrame:
+        ordered = F.sort_array(F.collect_list(F.struct("number", "writer", "event")))
+        text = F.array_join(F.transform(ordered, lambda e: e["event"]), EVENT_SEP)
+        return self.journey_rows(family).groupBy("PK").agg(text.alias(family))
 
     def journey_rows(self, family: str) -> DataFrame:
-        """``(PK, commit, writer, part, replaces, text)``: a journey as rows in order of ``(commit, writer, part)``.
+        """``(PK, number, writer, event)``: a journey as rows in order of ``(number, writer, event)``, without grouping.
 
-        No grouping; where a commit replaces journeys, rows of earlier commits are superseded.
+        Rows that a later batch replaced, and in ``strict`` mode sentinels, are left out.
+        """
+        strings = [T.StructField(c, T.StringType()) for c in ("PK", "event", "writer", "family")]
+        longs = [T.StructField(c, T.LongType()) for c in ("batch", "number")]
+        schema = T.StructType([*strings[:2], T.StructField("replaces", T.BooleanType()), *strings[2:], *longs])
+        rows = self._stored(f"{self.path}/journeys", schema).filter(F.col("family") == family)
+        through = [(F.col("writer") == w) & (F.col("batch") <= b) for w, (b, _) in self.applied().items()]
+        rows = rows.filter(reduce(Column.__or__, through, F.lit(False)))
+        if self.sentinel == "strict":
+            rows = rows.filter(~is_missing("event"))
+        replaced = rows.filter("replaces").groupBy("PK").agg(F.max("number").alias("since"))
+        rows = rows.join(replaced, "PK", "left").filter(F.col("since").isNull() | (F.col("number") >= F.col("since")))
+        return rows.select("PK", "number", "writer", "event")
+
+    def resized(self, parts: int) -> StateTable:
+        """The table with its records dealt to another number of parts, for when parts have grown too large or small.
+
+        The old parts stay until the caller, who then uses the returned table, drops them.
         """
-        return self._journey_rows([family]).withColumnRenamed(family, "text").filter(F.col("text").isNotNull())
+        if parts == self.parts:
+            return self
+        other = StateTable(self.spark, self.path, self.latest, self.journeys, self.sentinel, parts)
+        rows = self._stored(self.records_path, _records(self.latest)).withColumn("part", other._part())
+        rows.repartition("part").write.mode("overwrite").partitionBy("part").parquet(other.records_path)
+        return other
 
-    def compact(self) -> bool:
-        """Write the fold of base and log as the next base. False if the log is empty."""
-        version, _ = self._base()
-        pending = self._pending(version)
-        if pending.isEmpty():
-            return False
-        target = version + 1
-        buckets = self.buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        # what is folded is fixed first: a commit that comes meanwhile belongs to the log of the new base
-        known = self._stored(f"folded/v={version}", _COMMIT).unionByName(pending) if version else pending
-        known.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/folded/v={target}")
-        folded = self.spark.read.schema(_COMMIT).parquet(f"{self.path}/folded/v={target}")
-        pending = folded.join(pending.select("writer", "batch"), ["writer", "batch"], "left_semi")
-        newest = [self._newest(f) for f in self.latest]
-        log = self._log(pending, self.latest)
-        log = log.groupBy("PK").agg(*newest) if newest else log.select("PK").distinct()
-        base = log if not version else merge(self._base()[1], log, self.latest)
-        name = self._base_name(target)
-        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-        writer = base.repartition(buckets, "PK").write.mode("overwrite").format("parquet")
-        writer.bucketBy(buckets, "PK").sortBy("PK").option("path", f"{self.path}/base/v={target}").saveAsTable(name)
-        values = [F.lit(target), F.lit(buckets)]
-        marker = [v.cast(c.dataType).alias(c.name) for v, c in zip(values, _BASE, strict=True)]
-        self.spark.range(1).select(*marker).coalesce(1).write.mode("append").parquet(f"{self.path}/bases")
-        return True
+
+def _records(families: Sequence[str]) -> T.StructType:
+    strings = [T.StructField(c, T.StringType()) for c in ("PK", *families)]
+    return T.StructType([*strings, T.StructField("part", T.IntegerType())])
 
 
-def merge(base: DataFrame, delta: DataFrame, families: Sequence[str]) -> DataFrame:
+def merge(base: DataFrame, delta: DataFrame, families: Sequence[str], keys: Sequence[str] = ("PK",)) -> DataFrame:
     """Keyed upsert of two wide frames: delta values win, families and keys missing from the delta stay."""
-    joined = base.alias("b").join(delta.alias("d"), F.col("b.PK") == F.col("d.PK"), "full")
-    return joined.select(
-        F.coalesce("d.PK", "b.PK").alias("PK"), *(F.coalesce(f"d.{f}", f"b.{f}").alias(f) for f in families)
-    )
+    joined = base.alias("b").join(delta.alias("d"), [F.col(f"b.{k}") == F.col(f"d.{k}") for k in keys], "full")
+    both = [F.coalesce(f"d.{c}", f"b.{c}").alias(c) if c in delta.columns else F.col(f"b.{c}") for c in (*keys, *families)]
+    return joined.select(*both)
 
 
 def delete_keys(df: DataFrame, keys: DataFrame) -> DataFrame:

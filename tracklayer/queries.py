@@ -22,6 +22,7 @@ from tracklayer.operators.cdc import (
     pivot_families,
     pivot_records,
     split_cdc,
+    without_deletes,
 )
 from tracklayer.operators.codec import decode, encode, reencode, scrub
 from tracklayer.operators.enrich import enrich_pickup, enrich_shipment, lookup, with_customer, with_pack, with_status
@@ -31,6 +32,7 @@ from tracklayer.operators.journey import (
     events_of,
     flight_event,
     journey_parts,
+    journey_rows,
     pickup_event,
     status_event,
 )
@@ -55,6 +57,7 @@ from tracklayer.sources.feed import parse, read_feed, source_table
 from tracklayer.sources.landing import latest_partition, read_landing, select_batch, write_partitions
 from tracklayer.sources.masters import Masters, no_masters
 from tracklayer.streaming.ingest import start_ingest, start_landing
+from tracklayer.streaming.journeys import PROVIDER, ROCKSDB, read_journeys, render_journeys, start_journeys
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -623,14 +626,14 @@ def closure_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return status.filter(F.col("s") != "UD").select("PK", closure_ts(F.col("s"), AS_OF).alias("CT_COL"))
 
 
-def stored_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A persistent layer keyed by user and day, whose families are there, missing or sentinel as its events say."""
+def stored_facts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """A persistent layer keyed by user and day: families there, missing or sentinel as its events say; and the events."""
     rows = status_rows(table(spark, sf_dir, "events")).withColumn(
         "cawbno", F.concat("cawbno", F.lit("-"), F.substring("dstatdate", 1, 10))
     )
     code = F.concat("cstattype", "cstatcode")
     event = F.concat_ws("~", "dstatdate", code, "cloccode", F.coalesce("cemplcode", F.lit("")))
-    journey = build_journey(events_of(rows.filter(F.col("op_type") != "I"), "cawbno", F.concat(event, F.lit("@IB:U"))))
+    events = events_of(rows.filter(F.col("op_type") != "I"), "cawbno", F.concat(event, F.lit("@IB:U")))
 
     def seen(kind: str) -> Column:
         return F.max(F.col("event_type") == kind)
@@ -641,7 +644,13 @@ def stored_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(seen("error"), "T123").when(seen("purchase"), "123").when(seen("signup"), "I").alias("DLS"),
         F.substring(F.min("dstatdate"), 1, 16).alias("DTS"),
     )
-    return facts.join(journey.withColumnRenamed("CT_COL", "PDJ"), "PK", "left")
+    return facts, events
+
+
+def stored_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with each journey in a cell."""
+    facts, events = stored_facts(spark, sf_dir)
+    return facts.join(build_journey(events).withColumnRenamed("CT_COL", "PDJ"), "PK", "left")
 
 
 STORED_ROWS = """
@@ -697,8 +706,9 @@ def reclassify_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {STATUS_ROWS}, {STORED_ROWS} SELECT pk AS "PK", {_STATUS_CASE} AS "DLS", {_DATE_CASE} AS "DTS" FROM ig""")
 def cleanup_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     layers = Layers(spark, work_path(spark, "cleanup"), {})
-    layers.persistent.upsert(stored_rows(spark, sf_dir), 0)
-    layers.persistent.compact()
+    facts, events = stored_facts(spark, sf_dir)
+    journeys = journey_rows(events).select("PK", F.col("event").alias("PDJ"))
+    layers.persistent.upsert(facts.unionByName(journeys, allowMissingColumns=True), 0)
     run_cleanup(layers, as_of=AS_OF, batch_id=0)
     return layers.persistent.read(["DLS", "DTS"])
 
@@ -761,15 +771,15 @@ def newest_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _two_batches(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
-    """Latest record per leg and journey parts of each half of the feed: the deltas of two batches."""
+    """Latest record per leg and new events of each half of the feed: the deltas of two batches."""
     rows = status_rows(table(spark, sf_dir, "events"))
     master = status_master(rows)
     out = []
     for half in (rows.filter(F.col("op_ts") < SPLIT), rows.filter(F.col("op_ts") >= SPLIT)):
         records = _leg_records(half)
         live = half.filter(F.col("op_type") != "D")
-        parts = journey_parts(events_of(with_status(live, master), "cawbno", status_event("@IB")))
-        journeys = parts.select("PK", "part", F.col("CT_COL").alias("PDJ"))
+        events = journey_rows(events_of(with_status(live, master), "cawbno", status_event("@IB")))
+        journeys = events.select("PK", F.col("event").alias("PDJ"))
         out.append(records.unionByName(journeys, allowMissingColumns=True))
     return out
 
@@ -800,10 +810,11 @@ def state_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {STATUS_ROWS}, {STATUS_MASTER}, {TWO_BATCHES}")
 def state_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table is dealt to more parts after each batch."""
     state = _state(spark)
     for batch_id, delta in enumerate(_two_batches(spark, sf_dir)):
         state.upsert(delta, batch_id)
-        state.compact()
+        state = state.resized(2 * state.parts)
     return state.read()
 
 
@@ -1060,6 +1071,39 @@ def stream_journey(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest_stream(spark, sf_dir, ["PDJ"])
 
 
+THIRDS = ("2024-01-11 00:00:00", "2024-01-21 00:00:00")
+
+
+@query(
+    f"""WITH {STATUS_ROWS}, {STATUS_MASTER},
+e AS (SELECT DISTINCT r.cawbno AS pk, {EVENT_TEXT} || '@IB:' || r.op_type AS j,
+      (r.op_ts >= '{THIRDS[0]}')::INT + (r.op_ts >= '{THIRDS[1]}')::INT AS third FROM {JOINED} WHERE r.op_type <> 'D')
+SELECT pk AS "PK", string_agg(j, '|' ORDER BY third, j) AS "CT_COL" FROM e GROUP BY pk"""
+)
+def stream_state_journey(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed in three arrivals, the query begun anew for each, with journeys kept in the query's own state."""
+    root = work_path(spark, "state-journeys")
+    rows = status_rows(table(spark, sf_dir, "events"))
+    master = status_master(rows)
+    op_ts = F.col("op_ts")
+    before = spark.conf.get(PROVIDER)
+    spark.conf.set(PROVIDER, ROCKSDB)
+    try:
+        for third in (op_ts < THIRDS[0], (op_ts >= THIRDS[0]) & (op_ts < THIRDS[1]), op_ts >= THIRDS[1]):
+            envelopes(rows.filter(third)).write.mode("append").text(f"{root}/feed")
+            changes = parse(read_feed(spark, "text", path=f"{root}/feed"), FEED_LAYOUTS["IBS"])
+            live = with_status(without_deletes(changes), master)
+            start_journeys(
+                events_of(live, "cawbno", status_event("@IB")),
+                f"{root}/added",
+                checkpoint=f"{root}/checkpoint",
+                trigger={"availableNow": True},
+            ).awaitTermination()
+        return render_journeys(read_journeys(spark, f"{root}/checkpoint"))
+    finally:
+        spark.conf.set(PROVIDER, before)
+
+
 def batch_layers(spark: SparkSession, sf_dir: str) -> Layers:
     """The feed landed by day and taken in by two batch runs."""
     root = work_path(spark, "batch")

@@ -37,6 +37,13 @@ def move(spark: SparkSession, source: str, target: str) -> bool:
     return True
 
 
+def make(spark: SparkSession, path: str) -> None:
+    """Make an empty directory, and those above it."""
+    fs, p = _resolve(spark, path)
+    if not fs.mkdirs(p):
+        raise OSError(f"could not make {path}")
+
+
 def remove(spark: SparkSession, path: str) -> bool:
     fs, p = _resolve(spark, path)
     return fs.delete(p, True)
