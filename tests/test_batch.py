@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime
 
 import pytest
@@ -286,6 +287,45 @@ def test_a_run_that_died_after_merging_is_not_merged_again(spark, config, layers
     assert [e[8:10] for e in stored(layers.persistent, "PDJ")["k"].split("|")] == ["01", "02"]
 
 
+@pytest.mark.parametrize("step", ["apply", "archive", "half archived", "watermark", "manifest gone"])
+def test_a_run_that_died_in_any_step_is_finished(spark, config, layers, masters, monkeypatch, step):
+    """Each landed row is merged once, under the time of the run that staged it."""
+    config = replace(config, layouts=LAYOUTS, tables={"IBS": "IBS", "OBS": "OBS"})
+    landed(spark, config.landing, "IBS", status("k", "123", 1, load=20190801000000), status("k", "001", 2, load=20190802000000))
+    landed(spark, config.landing, "OBS", status("k", "016", 3, load=20190803000000))
+    real = paths.move
+    target, name, broken = {
+        "apply": (layers, "apply", lambda *a, **k: 1 / 0),
+        "archive": (batch_module, "archive_batch", lambda *a: 1 / 0),
+        "half archived": (paths, "move", lambda s, a, b: 1 / 0 if "load_ts=20190802" in a else real(s, a, b)),
+        "watermark": (paths, "make", lambda s, p: 1 / 0 if "/last/" in p else s._jvm.java.io.File(p).mkdirs()),
+        "manifest gone": (paths, "remove", lambda s, p: 1 / 0 if p.endswith("staging/20190815093000") else real_remove(s, p)),
+    }[step]
+    real_remove = paths.remove
+    monkeypatch.setattr(target, name, broken)
+    with pytest.raises(ZeroDivisionError):
+        run_batch(spark, config, layers, masters, AS_OF)
+    monkeypatch.undo()
+    assert run_batch(spark, config, layers, masters, datetime(2019, 8, 15, 10)) == 20190815093000
+    assert run_batch(spark, config, layers, masters, datetime(2019, 8, 15, 11)) is None
+    assert [e[8:10] for e in stored(layers.persistent, "PDJ")["k"].split("|")] == ["01", "02", "03"]
+    assert stored(layers.persistent, "DTS")["k"] == "2019-08-15 09:30"
+    assert paths.child_names(spark, f"{config.archive}/IBS") == ["load_ts=20190801000000", "load_ts=20190802000000"]
+    assert paths.is_empty(spark, config.staging)
+
+
+def test_a_file_that_lands_late_is_left_where_it_is(spark, config, layers, masters):
+    landed(spark, config.landing, "IBS", status("k", "001", 1, load=20190801000000))
+    batch_id = batch_module.stage_batch(spark, config, AS_OF)
+    landed(spark, config.landing, "IBS", status("late", "001", 1, load=20190801000000))
+    changes = batch_module.staged_changes(spark, config, batch_module.read_manifest(spark, config, batch_id))
+    assert [r.cawbno for r in changes["IBS"].collect()] == ["k"]
+    assert "Exchange" not in changes["IBS"]._jdf.queryExecution().executedPlan().toString()
+    run_batch(spark, config, layers, masters, AS_OF)
+    assert [r.cawbno for r in spark.read.parquet(f"{config.landing}/IBS").collect()] == ["late"]
+    assert [r.cawbno for r in spark.read.parquet(f"{config.archive}/IBS").collect()] == ["k"]
+
+
 def test_masters_fail_over_to_the_backup(spark, tmp_path, masters):
     for name, df in vars(masters).items():
         df.write.parquet(f"{tmp_path}/backup/{name}")

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from tracklayer.operators.status import as_stamp
 from tracklayer.session import empty_frame
+from tracklayer.sources import paths
 
 SAFETY_LAG_SECONDS = 120
 _NOTHING_THERE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
@@ -52,6 +53,15 @@ def select_batch(
     return due.filter(F.col("load_ts") > watermark)
 
 
+def due_stamps(
+    spark: SparkSession, path: str, after: int | None, as_of: datetime, lag_seconds: int = SAFETY_LAG_SECONDS
+) -> list[int]:
+    """``select_batch`` on the names of a landed table's partitions alone: no data is read."""
+    names = [n for n in paths.child_names(spark, path) if n.startswith("load_ts=")]
+    stamps = sorted(int(n.removeprefix("load_ts=")) for n in names)
+    return [s for s in stamps if s < as_stamp(as_of - timedelta(seconds=lag_seconds)) and (after is None or s > after)]
+
+
 def latest_partition(batch: DataFrame) -> DataFrame:
     """Rows carrying the newest load stamp of a batch: the watermark the next run starts from."""
     return batch.filter(F.col("load_ts") == batch.agg(F.max("load_ts")).scalar())
@@ -66,11 +76,6 @@ def write_partitions(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.hint("rebalance", "load_ts").write.mode(mode).partitionBy("load_ts").parquet(path)
 
 
-def load_stamps(batch: DataFrame) -> list[int]:
-    """The distinct load stamps of a batch, i.e. the names of its partitions."""
-    return sorted(r[0] for r in batch.select("load_ts").distinct().collect())
-
-
 def columns_of(spark: SparkSession, path: str) -> Sequence[str]:
     """Column order of a landed table, from its footer: what a wide table's layout is built from."""
     return [c.lower() for c in spark.read.parquet(path).columns]

@@ -21,6 +21,17 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
 
+def files_below(spark: SparkSession, path: str) -> list[str]:
+    """Data files below a directory at any depth, as full paths."""
+    fs, p = _resolve(spark, path)
+    found, out = fs.listFiles(p, True), []
+    while found.hasNext():
+        file = found.next().getPath()
+        if not file.getName().startswith(("_", ".")):
+            out.append(file.toString())
+    return sorted(out)
+
+
 def is_empty(spark: SparkSession, path: str) -> bool:
     return not child_names(spark, path)
 
