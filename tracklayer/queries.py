@@ -8,13 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from datetime import datetime
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracklayer.functions.text import field, or_na
-from tracklayer.layouts import NA, Layout, layout_from_columns
+from tracklayer.layouts import ADDRESS_COLUMNS, COLUMNS, NA, SOURCE_TABLES, Layout, default_layouts, layout_from_columns
 from tracklayer.operators.cdc import (
     contact_pair,
     latest_per_key,
@@ -53,7 +53,7 @@ from tracklayer.plans.layers import Layers
 from tracklayer.plans.promote import promote, promote_alternates
 from tracklayer.plans.state import StateTable, delete_keys, merge
 from tracklayer.session import concurrently, materialise, work_path
-from tracklayer.sources.feed import parse, read_feed, source_table
+from tracklayer.sources.feed import demultiplex, layout_from_feed, parse, read_feed, route, source_table
 from tracklayer.sources.landing import latest_partition, read_landing, select_batch, write_partitions
 from tracklayer.sources.masters import Masters, no_masters
 from tracklayer.streaming.ingest import start_ingest, start_landing
@@ -993,6 +993,90 @@ def json_demux(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("cawbno", "cstatcode", "cloccode", "cemplcode", "op_ts", "op_type", "pos")
 
 
+ALL_FIELDS = {f: layout for f, layout in default_layouts({"SLT": COLUMNS["SFM"].split()}).items()}
+
+
+def wide_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One feed of all eleven source tables at their full width; an event's number says which table it belongs to."""
+    events = table(spark, sf_dir, "events")
+    out = None
+    for i, (name, family) in enumerate(SOURCE_TABLES.items()):
+        columns = ADDRESS_COLUMNS if family == "ADT" else ALL_FIELDS[family].fields
+        key = ALL_FIELDS[family].key
+        own = events.filter(F.col("event_id") % len(SOURCE_TABLES) == i)
+        value = F.concat(F.lit("-"), (F.col("event_id") % 7).cast("string"))
+        fields = [(F.col("user_id").cast("string") if c == key else F.concat(F.lit(c), value)).alias(c) for c in columns]
+        change = F.when(F.col("event_type") == "error", "D").otherwise("U").alias("op_type")
+        pos = F.lpad(F.col("event_id").cast("string"), 12, "0").alias("pos")
+        body = F.struct(F.struct(*fields).alias("after"), text_of("ts").alias("op_ts"), change, pos, F.lit(f"DB.{name}").alias("table"))
+        rows = own.select(F.to_json(body).alias("value"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def _wide_record(family: str) -> str:
+    layout = ALL_FIELDS[family]
+    names = ", ".join(f"'{c}'" for c in layout.fields[1:])
+    tail = ["op_ts", "op_type", "'NA!@#'"] if layout.tail[1:] else ["op_ts"]
+    return f"concat_ws('~', user_id, array_to_string(list_transform([{names}], lambda c: c || k), '~'), {', '.join(tail)})"
+
+
+_WIDE = [(i, f) for i, f in enumerate(SOURCE_TABLES.values()) if f not in ("CPS", "ADT")]
+
+
+@query(
+    f"""WITH e AS (SELECT user_id, event_id, '-' || (event_id % 7) AS k, strftime(ts, '%Y-%m-%d %H:%M:%S') AS op_ts,
+  event_id % {len(SOURCE_TABLES)} AS t, CASE event_type WHEN 'error' THEN 'D' ELSE 'U' END AS op_type FROM events),
+r AS (SELECT CASE t {" ".join(f"WHEN {i} THEN '{f}'" for i, f in _WIDE)} END AS family, CAST(user_id AS VARCHAR) AS "PK",
+  CASE WHEN op_type = 'D' THEN 'D!@#' ELSE CASE t {" ".join(f"WHEN {i} THEN {_wide_record(f)}" for i, f in _WIDE)} END END AS "CT_COL",
+  op_ts, event_id FROM e WHERE op_type <> 'D' OR t = {next(i for i, f in _WIDE if f == "SLT")})
+SELECT family, "PK", "CT_COL" FROM r WHERE family IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY family, "PK" ORDER BY op_ts DESC, event_id DESC) = 1"""
+)
+def feed_families(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latest record of every family of a feed of eleven tables; the client detail table's columns come from the feed itself."""
+    feed = materialise(route(wide_feed(spark, sf_dir)), work_path(spark, "feed"))  # each envelope is parsed here, once
+    client = layout_from_feed(feed, "SHIPCLT", "SLT")
+    changes = demultiplex(feed, ALL_FIELDS | {"SLT": client})
+    bundle = build_bundle({f: changes[f].withColumn("load_ts", F.lit(None).cast("long")) for _, f in _WIDE}, ALL_FIELDS | {"SLT": client}, no_masters(spark))
+    records = [bundle[f].select(F.lit(f).alias("family"), "PK", "CT_COL", "op_ts", "pos") for _, f in _WIDE]
+    latest = latest_per_key(reduce(DataFrame.unionByName, records), ["family", "PK"], ["op_ts", "pos"])
+    return latest.select("family", "PK", "CT_COL")
+
+
+@query(
+    """SELECT CASE WHEN event_type = 'error' THEN 'malformed' WHEN event_type = 'click' THEN 'unknown table'
+  WHEN event_type IN ('purchase', 'view') THEN 'INBOUND' ELSE 'OUTBOUND' END AS kind, count(*) AS n
+FROM events GROUP BY 1 UNION ALL SELECT 'seen', count(*) FROM events"""
+)
+def feed_refused(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A feed with broken and foreign envelopes, landed: what each table took in, what was refused and why, and all."""
+    root = work_path(spark, "refused")
+    rows = status_rows(table(spark, sf_dir, "events"))
+    broken = F.col("event_type") == "error"
+    foreign = F.col("event_type") == "click"
+    good = envelopes(rows.filter(~broken & ~foreign))
+    cut = envelopes(rows.filter(broken)).select(F.substring("value", 1, 40).alias("value"))
+    other = envelopes(rows.filter(foreign)).select(F.regexp_replace("value", "FEED\\.(IN|OUT)BOUND", "FEED.OTHER").alias("value"))
+    good.unionByName(cut).unionByName(other).write.text(f"{root}/feed")
+    ingest = start_landing(
+        read_feed(spark, "text", path=f"{root}/feed"),
+        f"{root}/landing",
+        FEED_LAYOUTS,
+        checkpoint=f"{root}/checkpoint",
+        times=f"{root}/times",
+        trigger={"availableNow": True},
+        tables=FEED_TABLES,
+        clock=lambda: datetime(2024, 1, 16),
+    )
+    ingest.awaitTermination()
+    seen = sum(p["observedMetrics"]["routing"]["seen"] for p in ingest.recentProgress if "routing" in p["observedMetrics"])
+    landed = [spark.read.parquet(f"{root}/landing/{t}").select(F.lit(t).alias("kind")) for t in FEED_TABLES]
+    refused = spark.read.parquet(f"{root}/landing/refused").select(F.col("reason").alias("kind"))
+    counts = reduce(DataFrame.unionByName, [*landed, refused]).groupBy("kind").agg(F.count("*").alias("n"))
+    return counts.unionByName(spark.range(1).select(F.lit("seen").alias("kind"), F.lit(seen).cast("long").alias("n")))
+
+
 @query(
     f"""WITH {STATUS_ROWS}
 SELECT cawbno, cstattype, cstatcode, dstatdate, cloccode, cemplcode, op_ts, op_type,

@@ -14,7 +14,7 @@ from tracklayer.operators.status import CLOSURE_CODES, as_stamp
 from tracklayer.plans.bundle import build_bundle
 from tracklayer.plans.layers import Layers
 from tracklayer.sources import paths
-from tracklayer.sources.feed import demultiplex, landed_schema, parse, route
+from tracklayer.sources.feed import demultiplex, landed_schema, parse, refused, route, routing_counts
 from tracklayer.sources.landing import read_parquet_or_none
 from tracklayer.sources.masters import Masters
 
@@ -35,15 +35,22 @@ def batch_time(spark: SparkSession, folder: str, batch_id: int, clock: Callable[
     return now
 
 
-def _present(routed: DataFrame, layouts: Mapping[str, Layout], tables: Mapping[str, str]) -> list[str]:
-    """Known source tables that occur in a micro-batch; each needs a layout."""
-    names = routed.select("_table").filter(F.col("_table").isin(list(tables))).distinct()
-    present = sorted(r[0] for r in names.collect())  # at most the known tables
+def _present(routed: DataFrame, layouts: Mapping[str, Layout], tables: Mapping[str, str], dead: str) -> list[str]:
+    """Known source tables that occur in a micro-batch; each needs a layout. Refused envelopes go to `dead`."""
+    kinds = {(r[0], r[1]) for r in routed.select(F.when(F.col("_refused").isNull(), F.col("_table")), "_refused").distinct().collect()}
+    present = sorted(t for t, why in kinds if why is None)  # at most the known tables
     if missing := [t for t in present if tables[t] not in layouts]:
         raise ValueError(f"no layout for {missing}")
+    if any(why for _, why in kinds):
+        refused(routed).write.mode("overwrite").parquet(dead)
     return present
 
 
+def _routed(feed: DataFrame, tables: Mapping[str, str]) -> DataFrame:
+    """The feed parsed once, with counts of what is refused in the query's progress, under ``routing``."""
+    return route(feed, tables).observe("routing", *routing_counts())
+
+
 def _start(stream: DataFrame, handle, checkpoint: str, trigger: Mapping[str, object] | None) -> StreamingQuery:
     writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"processingTime": f"{BATCH_SECONDS} seconds"})).start()
@@ -64,7 +71,8 @@ def start_ingest(
 ) -> StreamingQuery:
     """Merge every micro-batch of envelopes into the layers.
 
-    Deletes, scrubbing, journeys and load stamps are those of the batch job. A replayed micro-batch keeps its time and
+    Each envelope is parsed once, whatever number of tables the feed has; those no table takes in go to ``refused`` below
+    the layers' root. Deletes, scrubbing, journeys and load stamps are those of the batch job. A replayed micro-batch keeps its time and
     is skipped where it was merged before. Failures stop the query; the checkpoint lets it go on from there. Masters
     given as a function are read anew for each micro-batch.
     """
@@ -72,9 +80,9 @@ def start_ingest(
     def handle(values: DataFrame, batch_id: int) -> None:
         spark = values.sparkSession
         now = batch_time(spark, f"{layers.root}/batch_time", batch_id, clock)
-        values = route(values).persist()
+        values = values.persist()
         try:
-            present = _present(values, layouts, tables)
+            present = _present(values, layouts, tables, f"{layers.root}/refused/batch={batch_id}")
             changes = demultiplex(values, layouts, F.lit(as_stamp(now)), {t: tables[t] for t in present})
             known = masters() if callable(masters) else masters
             layers.apply(
@@ -90,7 +98,7 @@ def start_ingest(
         finally:
             values.unpersist()
 
-    return _start(feed, handle, checkpoint, trigger)
+    return _start(_routed(feed, tables), handle, checkpoint, trigger)
 
 
 def start_landing(
@@ -107,21 +115,22 @@ def start_landing(
     """Land every micro-batch as parquet, one directory per table and load stamp, for the batch job to pick up.
 
     Below the stamp each micro-batch has a directory of its own, so those of one second stand side by side, and a
-    replayed one overwrites itself and nothing else. A known table without a layout is an error.
+    replayed one overwrites itself and nothing else. A known table without a layout is an error; envelopes no table takes in
+    land in ``refused``.
     """
 
     def handle(values: DataFrame, batch_id: int) -> None:
         now = batch_time(values.sparkSession, times, batch_id, clock)
-        values = route(values).persist()
+        values = values.persist()
         try:
-            for table in _present(values, layouts, tables):
+            for table in _present(values, layouts, tables, f"{landing}/refused/batch={batch_id}"):
                 rows = parse(values.filter(F.col("_table") == table), layouts[tables[table]]).drop("pos")
                 rows.write.mode("overwrite").parquet(f"{landing}/{table}/load_ts={as_stamp(now)}/b{batch_id}")
             paths.remove(values.sparkSession, f"{times}/batch={batch_id - 1}")
         finally:
             values.unpersist()
 
-    return _start(feed, handle, checkpoint, trigger)
+    return _start(_routed(feed, tables), handle, checkpoint, trigger)
 
 
 def start_landed_ingest(
