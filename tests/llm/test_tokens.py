@@ -19,7 +19,6 @@ RANKS = bpe.read_ranks(P.path("byte_bpe_multi_50k.tiktoken"))
 CODEC = bpe.Codec(bpe.serialise_model(RANKS), P.PATTERN)
 REFERENCE = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=RANKS, special_tokens={})
 TOKENIZER = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-TOKENIZER.encode_special_tokens = True
 ENCODER = token_files.TextEncoder(P.path("byte_bpe_50k.json"))
 
 
@@ -37,6 +36,15 @@ def test_text_encoder_is_that_of_the_library(text):
     assert np.frombuffer(next(ENCODER.encode([text])), "<u2").tolist() == TOKENIZER.encode(text, add_special_tokens=False).ids
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|endoftext", "|>", " ", "a b", "\n", "é🙂", "don't"]), max_size=9))
+def test_added_tokens_are_taken_as_the_library_takes_them(pieces):
+    text = "".join(pieces)
+    ids = np.frombuffer(next(ENCODER.encode([text])), "<u2").tolist()
+    assert ids == TOKENIZER.encode(text, add_special_tokens=False).ids
+    assert ids.count(50256) == text.count("<|endoftext|>")
+
+
 def test_encode_texts(docs, clashing, no_docs, rows):
     schema = "n_tokens long, ids_sha256 string, decoded_sha256 string"
     wanted = []

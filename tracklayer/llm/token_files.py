@@ -82,7 +82,8 @@ class TextEncoder:
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer = tokenizer
+        self.added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
         self.kind = np.dtype("<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.known = _Known(tokenizer, self.kind)
 
@@ -90,6 +91,9 @@ class TextEncoder:
         for text in texts:
             if len(self.known) > REMEMBERED:
                 self.known.clear()
+            if any(t in text for t in self.added):  # the tokenizer takes them out before it cuts the rest
+                yield np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+                continue
             yield b"".join(map(self.known.__getitem__, _CHUNK.findall(text)))
 
 
