@@ -48,6 +48,26 @@ def test_stages(spark, docs, tmp_path):
     assert len(corpus_pipeline.run(spark, folder).collect()) == len(ids["byte_bpe"])
 
 
+def test_stages_tell_documents_by_id_and_text(spark, docs, tmp_path):
+    """Equal ids with other texts, null ids, exact repeats, very long and missing texts, a column named as the key."""
+    rng = random.Random(8)
+    item, base = sentence(rng, 40), sentence(rng, 150)
+    near = base.replace(base.split(" ")[70], "edited", 1)
+    leak = sentence(rng, 60) + " " + item + " " + sentence(rng, 60)
+    clean = [sentence(rng, 90) for _ in range(3)]
+    long = sentence(rng, 30_000)
+    rows = [(7, base), (7, clean[0]), (7, leak), (8, near), (None, leak), (None, clean[1]), (None, near), (9, clean[2]), (9, clean[2]), (-1, long), (3, long), (11, None), (12, "")]
+    frame = spark.createDataFrame([(i, t, "en", "s", None, "x") for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long, row_key string")
+    folder = _tables(spark, tmp_path / "t", frame, item)
+    deduped = corpus_pipeline.near_dedup(spark, frame, folder)
+    assert deduped.columns == frame.columns and {r.row_key for r in deduped.collect()} == {"x"}
+    left = [(7, base), (7, clean[0]), (7, leak), (None, clean[1]), (9, clean[2]), (-1, long), (11, None), (12, "")]
+    assert sorted(((r.doc_id, r.text) for r in deduped.collect()), key=repr) == sorted(left, key=repr)
+    kept = corpus_pipeline.decontamination(spark, frame, folder)
+    assert kept.columns == frame.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted((r for r in rows if r[1] != leak), key=repr)
+
+
 def test_empty(spark, docs, tmp_path):
     assert corpus_pipeline.run(spark, _tables(spark, tmp_path / "t", docs.limit(0), None)).collect() == []
 
