@@ -3,9 +3,10 @@
 Quality rules, line dedup, near-dedup, benchmark decontamination, byte-level BPE. All stages but the last return the columns
 of their input. No SQL can express the first and third, so ORACLE_SQL is None and the stages are tested one by one.
 
-Defined results: a document whose lines were all repeats is gone after line dedup; documents with equal ids count as one
-from near-dedup on, and of those one stays; documents with a null id are no one's duplicate and stay. Empty tables pass
-through. Columns beyond those of `documents` are kept as they are; n_chars follows the text where it is there.
+Defined results: a document whose lines were all repeats is gone after line dedup. From near-dedup on a document is told by
+its id and text together: rows with equal ids and other texts are judged apart, rows equal in both count as one, of which
+one stays, and documents with a null id are compared like others, their ids last. Empty tables pass through. Columns beyond
+those of `documents` are kept as they are; n_chars follows the text where it is there.
 """
 
 from __future__ import annotations
@@ -35,17 +36,29 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return left.select(*(size.alias(c) if c == "n_chars" else c for c in docs.columns))
 
 
+def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """With one text column more that tells documents by id and text, and sorts as ids do, null ones last; and its name."""
+    name = "row_key"
+    while name in docs.columns:
+        name += "_"
+    number = F.lpad(F.hex(F.col("doc_id").cast("long").bitwiseXOR(F.lit(-(1 << 63)))), 16, "0")
+    key = F.concat(F.coalesce(number, F.lit("~")), F.lit(":"), F.md5(F.coalesce("text", F.lit(""))))
+    return docs.withColumn(name, key), name
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near-duplicates: that with the smallest id."""
-    heads = near_dup.near_duplicates(docs).where("doc_id = class_id").select("doc_id").distinct()
-    named = docs.join(heads, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(docs.columns).unionByName(docs.where("doc_id is null"))
+    keyed, key = _keyed(docs)
+    classes = near_dup.near_duplicates(keyed.select(key, "text"), id_col=key)
+    heads = classes.where(F.col(key) == F.col("class_id")).select(key).distinct()
+    return keyed.join(heads, key, "left_semi").dropDuplicates([key]).select(docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no item of the benchmark."""
-    leaks = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("leak")).distinct()
-    return docs.join(leaks, F.col("doc_id").eqNullSafe(F.col("leak")), "left_anti")
+    keyed, key = _keyed(docs)
+    leaks = decontaminate.find_leaks(keyed.select(key, "text"), table(spark, sf_dir, "benchmark"), id_col=key).select(key).distinct()
+    return keyed.join(leaks, key, "left_anti").select(docs.columns)
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str, tokenizers: Callable[[str], str] = public_tokenizers.path) -> DataFrame:
