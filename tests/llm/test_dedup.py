@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import random
 from collections import Counter
 
 import numpy as np
+from texts import sentence
 
 from tracklayer.llm import line_dedup, near_dup, substring_dedup
 from tracklayer.llm.common import WORD
@@ -117,3 +119,35 @@ def test_components(spark):
     found = dict(map(tuple, star_links(spark.createDataFrame(links, "u long, v long")).collect()))
     assert found == {2: 1, 3: 1, 4: 1, 11: 10, 12: 10} | {100 + i: 100 for i in range(1, 40)}
     assert Counter(found.values())[100] == 39
+
+
+def test_sketches_keep_similar_pairs(spark):
+    """Packed registers: natively counted as by hand, and no pair of the least similarity is over the limit."""
+    rng = np.random.default_rng(5)
+    signatures = rng.integers(0, 2**63, (60, 168)).astype(np.uint64)
+    signatures[1::2] = np.where(rng.random((30, 168)) < 0.2, signatures[1::2], signatures[::2])
+    packed = near_dup.sketches(signatures)
+    nibbles = near_dup.mix(signatures) & np.uint64(15)
+    expected = (nibbles[::2] != nibbles[1::2]).sum(axis=1).tolist()
+    frame = spark.createDataFrame([(i, packed[2 * i].tolist(), packed[2 * i + 1].tolist()) for i in range(30)], "i int, a array<long>, b array<long>")
+    counted = frame.orderBy("i").select(near_dup.n_differing(frame.a, frame.b, 168).alias("n")).collect()
+    assert [r.n for r in counted] == expected
+    assert max(expected) <= near_dup.most_differing(168, 0.8) < 168 * 0.4
+
+
+def test_near_dup_links_match_brute_force(spark):
+    """A large group of copies edited more and less: the classes are those of all pairs compared, but for one link in a hundred at most."""
+    rng = random.Random(21)
+    base = sentence(rng, 150).split(" ")
+    texts = []
+    for _ in range(150):
+        words = list(base)
+        for _ in range(rng.choice([1, 2, 3, 6, 10])):
+            words[rng.randrange(len(words))] = sentence(rng, 1)
+        texts.append(" ".join(words))
+    counts = [near_dup.shingle_counts(t.split(" ")) for t in texts]
+    links = {(i, j) for i in range(150) for j in range(i) if near_dup.weighted_jaccard(counts[i], counts[j]) >= 0.8}
+    classes = {r.doc_id: r.class_id for r in near_dup.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert len(links) > 300 and any(c == i and sum(v == i for v in classes.values()) == 1 for i, c in classes.items())
+    kept = sum(classes[i] == classes[j] for i, j in links)
+    assert kept >= 0.99 * len(links)

@@ -9,9 +9,14 @@ Candidates. Documents with equal text are one node. Registers are cut in bands,
 bucket. In each round the nodes of every bucket that still holds several components face some of them, in the first round
 the smallest node alone, in later ones a node of the smallest component and about 3, 15, 63, ... others by a hash; those then
 leave the bucket. A bucket is done when all its nodes are connected, so a bucket of copies takes one round and one pair for
-each copy. In the end every two nodes of a bucket were compared, were connected already, or differ too much in size.
+each copy. In the end every two nodes of a bucket were compared, were connected already, or differ too much in size or registers.
 
-Verification. Both texts of a pair meet, and the weighted Jaccard similarity of their shingle counts is computed exactly.
+Registers first. Four bits of each register travel with a node, and a pair whose registers differ at many more places than
+those of a pair of the least similarity do is dropped before any text is joined. Probability Jaccard is never below weighted
+Jaccard, so the number of places that differ in a pair similar enough is at most binomial with chance (1 - similarity) * 15/16;
+the limit lies PRUNE_DEVIATIONS standard deviations above its mean, which one such pair in some 100,000 exceeds.
+
+Verification. Both texts of a pair that is left meet, and the weighted Jaccard similarity of their shingle counts is computed exactly.
 Components of the verified links are the classes.
 
 Defined results: a text of one to four words is one shingle; texts without words are in no class but their own; rows with
@@ -29,7 +34,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracklayer.llm.common import WORD, id_and_text, stored
@@ -43,6 +48,8 @@ BANDS, ROWS = 28, 6
 STEP_WORDS, STEP_DOCS = 200_000, 2_000
 #: Components are made anew when a round found one link for so many rows of open buckets, at least.
 RELABEL = 100
+#: Pairs with so many standard deviations more differing registers than one of the least similarity are not verified.
+PRUNE_DEVIATIONS = 4.5
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -114,8 +121,34 @@ def band_keys(signatures: np.ndarray, bands: int, rows: int) -> np.ndarray:
         return key.view(np.int64)
 
 
+def sketches(signatures: np.ndarray) -> np.ndarray:
+    """Four bits of each register, sixteen to a word; the last word is filled up with zeros."""
+    n, registers = signatures.shape
+    nibbles = np.zeros((n, -(-registers // 16), 16), np.uint64)
+    nibbles.reshape(n, -1)[:, :registers] = mix(signatures) & np.uint64(15)
+    return (nibbles << np.arange(0, 64, 4, dtype=np.uint64)).sum(axis=2, dtype=np.uint64).view(np.int64)
+
+
+def most_differing(registers: int, similarity: float) -> int:
+    """At how many registers the sketches of a pair may differ that is still verified."""
+    chance = (1 - similarity) * 15 / 16
+    return int(registers * chance + PRUNE_DEVIATIONS * (registers * chance * (1 - chance)) ** 0.5 + 1)
+
+
+def n_differing(a: Column, b: Column, registers: int) -> Column:
+    """The number of registers at which two sketches differ, natively."""
+
+    def word(i: int) -> Column:
+        bits = F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))
+        for step in (1, 2):  # any bit of four reaches the lowest
+            bits = bits.bitwiseOR(F.shiftrightunsigned(bits, step))
+        return F.bit_count(bits.bitwiseAND(F.lit(0x1111111111111111)))
+
+    return reduce(Column.__add__, [word(i) for i in range(-(-registers // 16))])
+
+
 def sign(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, size: int = SHINGLE_WORDS) -> DataFrame:
-    """id, node (digest of the text), size (shingles) and keys (one for each band, none without words); from id and text."""
+    """id, node (digest of the text), size (shingles), keys (one for each band) and sketch, both empty without words; from id and text."""
     kind = docs.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,13 +163,16 @@ def sign(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, size: int = SHIN
                 own, part = texts[start:stop], batch.slice(start, stop - start)
                 at, elements, weights = weighted_shingles(own, size)
                 full = np.isin(np.arange(len(own)), at)
-                keys = band_keys(prob_minhash(at, elements, weights, len(own), bands * rows), bands, rows)
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(full * bands)]), pa.int32()), pa.array(keys[full].ravel()))
+                signatures = prob_minhash(at, elements, weights, len(own), bands * rows)
+                lists = [
+                    pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(full * values.shape[1])]), pa.int32()), pa.array(values[full].ravel()))
+                    for values in (band_keys(signatures, bands, rows), sketches(signatures))
+                ]
                 sizes = pa.array(np.bincount(at, weights, len(own)).astype(np.int64))
-                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("node"), sizes, lists], names=["id", "node", "size", "keys"])
+                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("node"), sizes, *lists], names=["id", "node", "size", "keys", "sketch"])
                 start = stop
 
-    return docs.select("id", "text", F.unhex(F.md5("text")).alias("node")).mapInArrow(run, f"id {kind}, node binary, size long, keys array<long>")
+    return docs.select("id", "text", F.unhex(F.md5("text")).alias("node")).mapInArrow(run, f"id {kind}, node binary, size long, keys array<long>, sketch array<long>")
 
 
 def verify(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY, size: int = SHINGLE_WORDS) -> DataFrame:
@@ -158,8 +194,8 @@ def verify(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY, s
     return pairs.join(left, "v").join(right, "u").select("u", "v", "u_text", "v_text").mapInArrow(run, "u binary, v binary")
 
 
-def _verified_links(members: DataFrame, texts: DataFrame, similarity: float, size: int) -> DataFrame | None:
-    """Stars of all nodes that share a bucket and are similar; `members` has bucket, node and size.
+def _verified_links(members: DataFrame, texts: DataFrame, similarity: float, size: int, registers: int) -> DataFrame | None:
+    """Stars of all nodes that share a bucket and are similar; `members` has bucket, node, size and sketch.
 
     Labels only spare comparisons, so they are made anew after a round in which many links were found, and else at the end.
     """
@@ -174,14 +210,15 @@ def _verified_links(members: DataFrame, texts: DataFrame, similarity: float, siz
         parts = members.groupBy("bucket", "label").agg(F.count("*").alias("n"), F.min("node").alias("node"))
         least = F.min(F.struct("n", "label", "node")).alias("least")
         whole = parts.groupBy("bucket").agg(F.count("*").alias("parts"), F.sum("n").alias("total"), least).where("parts > 1")
-        chosen = (F.col("node") == F.col("least.node")) | (F.pmod(F.xxhash64("node", "bucket"), F.col("total")) < others)
-        faced = stored(members.join(whole, "bucket").select("bucket", "node", "size", "label", chosen.alias("faces")), "faced")
+        chosen = (F.col("node") == F.col("least.node")) | (F.pmod(F.xxhash64("node"), F.col("total")) < others)
+        faced = stored(members.join(whole, "bucket").select("bucket", "node", "size", "sketch", "label", chosen.alias("faces")), "faced")
         n_faced = faced.count()
         if not n_faced:
             return merged()
-        faces = faced.where("faces").select("bucket", F.col("node").alias("u"), F.col("size").alias("u_size"), F.col("label").alias("own"))
+        faces = faced.where("faces").select("bucket", *(F.col(c).alias(a) for c, a in (("node", "u"), ("size", "u_size"), ("sketch", "u_sketch"), ("label", "own"))))
         pairs = faced.join(faces, "bucket").where("label <> own and not (faces and node < u)")
         alike = F.least("size", "u_size") >= F.greatest("size", "u_size") * (similarity - 1e-9)  # else it cannot be reached
+        alike = alike & (n_differing(F.col("sketch"), F.col("u_sketch"), registers) <= most_differing(registers, similarity))
         pairs = pairs.where(alike).select("u", F.col("node").alias("v")).distinct()
         found = stored(verify(pairs, texts, similarity, size), "similar")
         members = faced.where("not faces").drop("faces")
@@ -209,14 +246,15 @@ def near_duplicates(
     signed = stored(sign(own, bands, rows, size), "signatures")
     nodes = signed.select("node", "size", F.explode("keys").alias("bucket")).distinct()
     shared = nodes.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    members = stored(nodes.join(shared, "bucket"), "buckets")
+    own_sketch = signed.where("size(keys) > 0").select("node", "sketch").distinct()
+    members = stored(nodes.join(shared, "bucket").join(own_sketch, "node"), "buckets")
     heads = signed.where("size(keys) > 0").groupBy("node").agg(F.min("id").alias("id"))
     heads = stored(heads.join(members.select("node").distinct(), "node"), "heads")
     with_id = own.join(heads.where("id is not null"), "id").where(F.unhex(F.md5("text")) == F.col("node"))
     without = own.where("id is null").withColumn("node", F.unhex(F.md5("text")))
     without = without.join(heads.where("id is null").select("node"), "node")
     texts = stored(with_id.select("node", "text").unionByName(without.select("node", "text")), "texts")
-    stars = _verified_links(members, texts, similarity, size)
+    stars = _verified_links(members, texts, similarity, size, bands * rows)
     if stars is None:
         stars = members.select(F.col("node").alias("u"), F.col("node").alias("v")).limit(0)
     full = signed.select("id", "node", (F.size("keys") > 0).alias("full"))
