@@ -7,8 +7,8 @@ estimates their probability Jaccard similarity, which is never below their Jacca
 
 Candidates. Documents with equal text are one node. Registers are cut in bands, and nodes with an equal band share a
 bucket. In each round the nodes of every bucket that still holds several components face some of them, in the first round
-the smallest node alone, in later ones a node of the smallest component and about 3, 15, 63, ... others by a hash; those then
-leave the bucket. A bucket is done when all its nodes are connected, so a bucket of copies takes one round and one pair for
+the smallest node alone, in later ones a node of the smallest component and 4, 16, 64, ... others at most, on average, by a hash
+of the node, so that a pair of several buckets of like size meets once; those then leave the bucket. A bucket is done when all its nodes are connected, so a bucket of copies takes one round and one pair for
 each copy. In the end every two nodes of a bucket were compared, were connected already, or differ too much in size or registers.
 
 Registers first. Four bits of each register travel with a node, and a pair whose registers differ at many more places than
@@ -210,7 +210,9 @@ def _verified_links(members: DataFrame, texts: DataFrame, similarity: float, siz
         parts = members.groupBy("bucket", "label").agg(F.count("*").alias("n"), F.min("node").alias("node"))
         least = F.min(F.struct("n", "label", "node")).alias("least")
         whole = parts.groupBy("bucket").agg(F.count("*").alias("parts"), F.sum("n").alias("total"), least).where("parts > 1")
-        chosen = (F.col("node") == F.col("least.node")) | (F.pmod(F.xxhash64("node"), F.col("total")) < others)
+        # a share of the nodes by a hash of theirs alone: in all buckets of one size class a node faces in the same round
+        share = F.lit(float(others)) / F.pow(F.lit(4.0), F.ceil(F.log2("total") / 2))
+        chosen = (F.col("node") == F.col("least.node")) | (F.pmod(F.xxhash64("node"), F.lit(1 << 40)) < share * (1 << 40))
         faced = stored(members.join(whole, "bucket").select("bucket", "node", "size", "sketch", "label", chosen.alias("faces")), "faced")
         n_faced = faced.count()
         if not n_faced:
@@ -222,7 +224,7 @@ def _verified_links(members: DataFrame, texts: DataFrame, similarity: float, siz
         pairs = pairs.where(alike).select("u", F.col("node").alias("v")).distinct()
         found = stored(verify(pairs, texts, similarity, size), "similar")
         members = faced.where("not faces").drop("faces")
-        others = 4 * others + 3
+        others = 4 * max(others, 1)
         n_found = found.count()
         if n_found:
             fresh.append(found)
