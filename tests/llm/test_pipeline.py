@@ -75,3 +75,20 @@ def test_empty(spark, docs, tmp_path):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_agrees_with_sql(spark, name):
     compare(spark, connect(SF), QUERIES[name], ORACLES[name], SF)
+
+
+def test_short_items_agree_with_sql(spark, docs, tmp_path):
+    """Benchmark items of one to four words, one that occurs twice in a text, and one without words."""
+    rng = random.Random(4)
+    texts = [sentence(rng, 20) + " the short one, " + sentence(rng, 5) + " the short one", "Word", "word by word", "none of them", "two words more or less", ""]
+    item = sentence(rng, 30)
+    folder = _tables(spark, tmp_path, spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate([*texts, item + " end"])], docs.schema).coalesce(1), item)
+    rows = [(i, t) for i, t in enumerate([item, "The short one!", "word", "more or less", "two words more or", " - ", None, "WORD"])]
+    spark.createDataFrame(rows, "item_id long, text string").coalesce(1).write.mode("overwrite").parquet(f"{folder}/benchmark.parquet")
+    found = {(r.doc_id, r.item_id) for r in QUERIES["op1_decontamination"](spark, folder).collect()}
+    assert found == {(6, 0), (0, 1), (1, 2), (1, 7), (2, 2), (2, 7), (4, 3), (4, 4)}
+    sql = ORACLES["op1_decontamination"]
+    for name in ("documents", "benchmark"):
+        sql = sql.replace(f"FROM {name}", f"FROM read_parquet('{folder}/{name}.parquet/*.parquet')")
+    got = connect(SF).execute(sql).fetchall()
+    assert {r[:2] for r in got} == found

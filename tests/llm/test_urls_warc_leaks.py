@@ -100,7 +100,7 @@ def test_salvage():
 
 def test_leaks(spark, docs, clashing, no_docs):
     rng = random.Random(9)
-    items = [sentence(rng, 40), sentence(rng, 12), "too short item", None, sentence(rng, 90)]
+    items = [sentence(rng, 40), sentence(rng, 12), "a short item", None, sentence(rng, 90), "uniquq", " - "]
     words = items[4].split(" ")
     near = " ".join([*words[:40], "edited", *words[41:]])
     rows = [
@@ -108,14 +108,17 @@ def test_leaks(spark, docs, clashing, no_docs):
         (501, items[1]),
         (502, sentence(rng, 100) + "\n" + near + "\n" + sentence(rng, 10)),
         (503, " ".join(words[:30]) + " " + sentence(rng, 60)),
-        (504, "too short item"),
+        (504, "A short item"),
+        (505, sentence(rng, 20) + " (a short) item, uniquq uniquq"),
+        (506, sentence(rng, 20) + " a short other item"),
         (500, "same id, clean"),
     ]
     more = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], docs.schema)
     bench = spark.createDataFrame([(i, t, "x") for i, t in enumerate([*items, items[0]])], "item_id long, text string, words string")
     for frame in (docs.unionByName(more), clashing.unionByName(more, allowMissingColumns=True)):
         found = {(r.doc_id, r.item_id): (r.similarity, r.start) for r in decontaminate.find_leaks(frame, bench).collect()}
-        assert set(found) == {(500, 0), (500, 5), (501, 1), (502, 4)}
+        assert set(found) == {(500, 0), (500, 7), (501, 1), (502, 4), (504, 2), (505, 2), (505, 5)}
+        assert found[504, 2] == (1.0, 0) and found[505, 2] == (1.0, 20) and found[505, 5] == (1.0, 23)
         assert found[500, 0] == (1.0, 30) and found[501, 1] == (1.0, 0) and 0.8 <= found[502, 4][0] < 1
     assert decontaminate.find_leaks(no_docs, bench).collect() == []
     assert decontaminate.find_leaks(docs, bench.limit(0)).collect() == []

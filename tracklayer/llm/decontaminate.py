@@ -12,8 +12,8 @@
 Words are runs of letters and digits, lower-cased. Items are broadcast only if their tables are small, else the same joins
 are shuffled.
 
-Defined results: null and empty texts have no words; an item of fewer than five words has no shingle and matches nothing;
-repeated documents are found alike, and documents with equal ids count as one in the result; a null id is returned as
+Defined results: null and empty texts have no words, and an item without words matches nothing; an item of one to four words
+is one shingle of its own length, which a text holds or does not; repeated documents are found alike, and documents with equal ids count as one in the result; a null id is returned as
 null. Of windows equally similar, one in which a shingle stands at its place in the item comes first, then the earliest. Other columns of the inputs are ignored.
 """
 
@@ -36,7 +36,7 @@ def _words(text: Column) -> Column:
 
 
 def _shingles(words: Column, join: bool, size: int = SHINGLE_WORDS) -> Column:
-    """Shingles of an array column of words (as text) or of their hashes (as one hash)."""
+    """Shingles of an array column of words (as text) or of their hashes (as one hash), null where there are fewer words."""
 
     def one(i: Column) -> Column:
         parts = [F.get(words, i + k) for k in range(size)]
@@ -46,6 +46,12 @@ def _shingles(words: Column, join: bool, size: int = SHINGLE_WORDS) -> Column:
     return F.when(n >= size, F.transform(F.sequence(F.lit(0), F.greatest(n - size, F.lit(0))), one))
 
 
+def _own_shingles(words: Column) -> Column:
+    """Shingles of a window or item as text: fewer than five words make one."""
+    short = F.when(F.size(words) > 0, F.array(F.concat_ws(" ", words)))
+    return F.coalesce(_shingles(words, True), short)
+
+
 def _small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
@@ -104,18 +110,28 @@ def find_leaks(
 ) -> DataFrame:
     """Documents that hold an item: id, item, similarity of the best window, and its first word's place (from 0)."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("tie"))
-    bench = items.select(F.col(item_col).alias("item"), _words(F.col(item_text_col)).alias("words")).where(F.size("words") >= SHINGLE_WORDS)
+    bench = items.select(F.col(item_col).alias("item"), _words(F.col(item_text_col)).alias("words")).where(F.size("words") > 0)
     bench = stored(bench.groupBy("words").agg(F.collect_set("item").alias("own"), F.min("item").alias("item")), "items")  # equal items are judged once
 
     hashed = bench.select(F.size("words").alias("n"), F.transform("words", lambda w: F.xxhash64(w)).alias("h"))
     anchors = hashed.select("n", F.explode(_shingles(F.col("h"), False)).alias("shingle")).distinct()
     anchors = stored(anchors, "anchors")
+    short = bench.where(F.size("words") < SHINGLE_WORDS).select(F.size("words").alias("n"), F.array_join("words", " ").alias("shingle"))
+    lengths = [r.n for r in short.select("n").distinct().collect()]  # four at most
     texts = rows.withColumn("h", F.transform(_words(F.col("text")), lambda w: F.xxhash64(w)))
     # outer, as a plain generator gets a filter on its array, which would be moved below and computed for every element
     placed = texts.select("id", "tie", F.size("h").alias("length"), F.posexplode_outer(_shingles(F.col("h"), False)).alias("pos", "shingle"))
     met = placed.join(_small(anchors, anchors.count()), "shingle")
     hits = met.groupBy("id", "tie", "n", "length").agg(F.sort_array(F.collect_set("pos")).alias("at"))  # a text's own places
     spans = hits.select("id", "tie", F.inline(_window_starts(similarity)))
+    if lengths:  # windows of the lengths of short items, found by all their words
+        own = rows.select("id", "tie", _words(F.col("text")).alias("all"))
+        for n in sorted(lengths):
+            pieces = own.select("id", "tie", F.size("all").alias("length"), F.posexplode_outer(_shingles(F.col("all"), True, n)).alias("start", "shingle"))
+            wanted = short.where(F.col("n") == n).select("shingle")
+            found = pieces.join(_small(wanted, wanted.count()), "shingle").select("id", "tie", "start", F.lit(n).alias("span"), (F.col("start") == F.col("length") - n).alias("last"))
+            spans = spans.unionByName(found)
+        spans = spans.distinct()
     by_doc = spans.groupBy("id", "tie").agg(F.collect_list(F.struct("start", "span", "last")).alias("spans"))
     by_doc = by_doc.select(F.col("id").alias("own_id"), F.col("tie").alias("own_tie"), "spans")
     held = rows.join(by_doc, F.col("id").eqNullSafe(F.col("own_id")) & (F.col("tie") == F.col("own_tie"))).dropDuplicates(["id", "tie"])
@@ -129,20 +145,20 @@ def find_leaks(
     near = window_blocks.join(_small(item_blocks, bench.count() * (radius + 1)), ["span", "block", "value"])
     near = near.where(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= radius).select(*key, "item").distinct()
 
-    shown = windows.select(*key, "last", _shingles(F.col("words"), True).alias("shingles"))
+    shown = windows.select(*key, "last", _own_shingles(F.col("words")).alias("shingles"))
     same = [F.col(c).eqNullSafe(F.col(f"w_{c}")) for c in key]
     condition = same[0] & same[1] & same[2] & same[3]
     pairs = near.join(shown.select(*(F.col(c).alias(f"w_{c}") for c in key), "last", "shingles"), condition)
     counts = pairs.select(*key, "last", "item", F.size("shingles").alias("of_window"), F.posexplode("shingles").alias("at", "shingle"))
     counts = counts.groupBy(*key, "last", "item", "of_window", "shingle").agg(F.count("*").alias("a"), F.collect_set("at").alias("at"))
-    of_items = bench.select("item", F.size("words").alias("m"), F.posexplode(_shingles(F.col("words"), True)).alias("off", "shingle"))
+    of_items = bench.select("item", F.size("words").alias("m"), F.posexplode(_own_shingles(F.col("words"))).alias("off", "shingle"))
     of_items = of_items.groupBy("item", "m", "shingle").agg(F.count("*").alias("b"), F.collect_set("off").alias("off"))
     # lined up: at its place in the item, or as near to that as the text's ends allow
     before, after = F.array_min("at") < F.array_max("off"), F.array_max("at") > F.array_min("off")
     lined = F.arrays_overlap("at", "off") | ((F.col("start") == 0) & before) | (F.col("last") & after)
     common = counts.join(of_items, ["item", "shingle"]).groupBy(*key, "item", "of_window", "m")
     common = common.agg(F.sum(F.least("a", "b")).alias("common"), F.max(lined).alias("lined"))
-    value = F.col("common") / (F.col("of_window") + F.col("m") - (SHINGLE_WORDS - 1) - F.col("common"))
+    value = F.col("common") / (F.col("of_window") + F.greatest(F.lit(1), F.col("m") - (SHINGLE_WORDS - 1)) - F.col("common"))
     good = common.withColumn("similarity", value).where(F.col("similarity") >= similarity)
     best = good.groupBy("id", "item").agg(F.max(F.struct("similarity", "lined", (-F.col("start")).alias("back"))).alias("best"))
     found = best.join(bench.select("item", "own"), "item").select("id", F.explode("own").alias("item"), "best")

@@ -185,8 +185,14 @@ ORACLES: dict[str, str] = {
             SELECT item_id, shingle, count(*) AS b FROM bs GROUP BY ALL
         ), common AS (
             SELECT doc_id, item_id, start, of_window, n, sum(least(a, b)) AS common FROM wc JOIN bc USING (item_id, shingle) GROUP BY ALL
+        ), spans AS (
+            SELECT DISTINCT len(words) AS n FROM b WHERE len(words) BETWEEN 1 AND 4
+        ), pieces AS (
+            SELECT doc_id, n, words, unnest(range(1, len(words) - n + 2)) AS i FROM d JOIN spans ON len(words) >= n
         ), valued AS (
             SELECT doc_id, item_id, start, common::DOUBLE / (of_window + n - 4 - common)::DOUBLE AS similarity FROM common
+            UNION ALL
+            SELECT doc_id, item_id, i - 1 AS start, 1.0 AS similarity FROM pieces p JOIN b ON b.words = p.words[i : i + n - 1]
         )
         SELECT doc_id, item_id, similarity, start FROM valued WHERE similarity >= {decontaminate.SIMILARITY}
         QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start) = 1""",
