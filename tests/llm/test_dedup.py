@@ -151,3 +151,41 @@ def test_near_dup_links_match_brute_force(spark):
     assert len(links) > 300 and any(c == i and sum(v == i for v in classes.values()) == 1 for i, c in classes.items())
     kept = sum(classes[i] == classes[j] for i, j in links)
     assert kept >= 0.99 * len(links)
+
+
+def test_parities_never_drop_a_similar_pair():
+    """Texts differ in no fewer shingles than in bits, long ones too, and the bound tells short ones apart."""
+    rng = random.Random(4)
+    for n in (3, 150, 3000):
+        base = sentence(rng, n).split(" ")
+        other = [sentence(rng, 1) if rng.random() < 0.02 else w for w in base]
+        texts = [" ".join(base), " ".join(other), sentence(rng, n)]
+        counts = [near_dup.shingle_counts(t.split(" ")) for t in texts]
+        bits = np.unpackbits(near_dup.parities(*near_dup.weighted_shingles(texts), 3).view(np.uint8), axis=1)
+        assert bits.shape == (3, near_dup.PARITY_BITS)
+        for a, b in ((0, 1), (0, 2)):
+            apart = sum(((counts[a] - counts[b]) + (counts[b] - counts[a])).values())
+            assert (bits[a] != bits[b]).sum() <= apart
+        assert n != 150 or (bits[0] != bits[2]).sum() > 2 * n / 9
+
+
+def test_few_pairs_of_a_large_group_are_verified(spark, monkeypatch):
+    """A group of copies edited more and less: no pair of texts is compared twice, and few are at all."""
+    rng = random.Random(22)
+    base = sentence(rng, 150).split(" ")
+    texts = []
+    for _ in range(150):
+        words = list(base)
+        for _ in range(rng.choice([1, 2, 3, 6, 10])):
+            words[rng.randrange(len(words))] = sentence(rng, 1)
+        texts.append(" ".join(words))
+    compared, verify = [], near_dup.verify
+
+    def counted(pairs, *rest):
+        compared.extend(frozenset((bytes(r.u), bytes(r.v))) for r in pairs.collect())
+        return verify(pairs, *rest)
+
+    monkeypatch.setattr(near_dup, "verify", counted)
+    near_dup.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert len(compared) == len(set(compared))
+    assert len(compared) < 10 * len(texts)

@@ -7,12 +7,18 @@ estimates their probability Jaccard similarity, which is never below their Jacca
 
 Candidates. Documents with equal text are one node. Registers are cut in bands, and nodes with an equal band share a
 bucket. In each round the nodes of every bucket that still holds several components face some of them, in the first round
-the smallest node alone, in later ones a node of the smallest component and about 3, 15, 63, ... others by a hash; those then
-leave the bucket. A bucket is done when all its nodes are connected, so a bucket of copies takes one round and one pair for
-each copy. In the end every two nodes of a bucket were compared, were connected already, or differ too much in size or registers.
-
-Registers first. Four bits of each register travel with a node, and a pair whose registers differ at many more places than
-those of a pair of the least similarity do is dropped before any text is joined. Probability Jaccard is never below weighted
+the smallest node alone, in later ones a node of the smallest component and about 15, 255, ... others by a hash; those then
+leave the bucket. A bucket is done when all its nodes are connected, so a bucket of copies takes one round and one pair at most
+for each copy. Two nodes meet in the smallest of the buckets they share alone, so no pair is looked at twice. In the end every
+two nodes that share a bucket were compared, were connected already, or cannot be (or hardly are) similar enough.
+
+Parities first. A node carries PARITY_BITS bits: a shingle of odd count flips one. Two texts differ in no fewer shingles than
+in bits, and a pair of the least similarity differs in (1 - similarity) / (1 + similarity) of its shingles at most, so a
+pair with more unequal bits is dropped, surely rightly, before any text is joined. That tells texts of up to a thousand
+shingles or so apart nearly as well as their words would; in longer ones most bits meet by chance.
+
+Registers second. Four bits of each register travel with a node too, and a pair whose registers differ at many more places than
+those of a pair of the least similarity do is dropped as well. Probability Jaccard is never below weighted
 Jaccard, so the number of places that differ in a pair similar enough is at most binomial with chance (1 - similarity) * 15/16;
 the limit lies PRUNE_DEVIATIONS standard deviations above its mean, which one such pair in some 100,000 exceeds.
 
@@ -50,6 +56,7 @@ STEP_WORDS, STEP_DOCS = 200_000, 2_000
 RELABEL = 100
 #: Pairs with so many standard deviations more differing registers than one of the least similarity are not verified.
 PRUNE_DEVIATIONS = 4.5
+PARITY_BITS = 1024
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -137,18 +144,35 @@ def most_differing(registers: int, similarity: float) -> int:
 
 def n_differing(a: Column, b: Column, registers: int) -> Column:
     """The number of registers at which two sketches differ, natively."""
+    return reduce(Column.__add__, [_differing(F.get(a, F.lit(i)), F.get(b, F.lit(i))) for i in range(-(-registers // 16))])
+
+
+def _differing(a: Column, b: Column) -> Column:
+    """The number of fours of bits in which two words differ."""
+    bits = a.bitwiseXOR(b)
+    for step in (1, 2):  # any bit of four reaches the lowest
+        bits = bits.bitwiseOR(F.shiftrightunsigned(bits, step))
+    return F.bit_count(bits.bitwiseAND(F.lit(0x1111111111111111)))
+
+
+def parities(docs: np.ndarray, elements: np.ndarray, weights: np.ndarray, n_docs: int) -> np.ndarray:
+    """For each document, of its shingles at each of PARITY_BITS places whether their number is odd; 64 to a word."""
+    place = docs * PARITY_BITS + (mix(elements + _GOLDEN) % np.uint64(PARITY_BITS)).astype(np.int64)
+    odd = np.bincount(place[weights % 2 == 1], minlength=n_docs * PARITY_BITS) % 2
+    return np.packbits(odd.astype(bool)).view(np.int64).reshape(n_docs, -1)
 
-    def word(i: int) -> Column:
-        bits = F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))
-        for step in (1, 2):  # any bit of four reaches the lowest
-            bits = bits.bitwiseOR(F.shiftrightunsigned(bits, step))
-        return F.bit_count(bits.bitwiseAND(F.lit(0x1111111111111111)))
 
-    return reduce(Column.__add__, [word(i) for i in range(-(-registers // 16))])
+def _alike(registers: int, similarity: float) -> Column:
+    """Whether the pair of node and u_node may be similar enough, by sizes, parities and registers."""
+    sizes = F.least("size", "u_size") >= F.greatest("size", "u_size") * (similarity - 1e-9)  # else it cannot be reached
+    bits = [F.bit_count(F.col(f"parity{i}").bitwiseXOR(F.col(f"u_parity{i}"))) for i in range(PARITY_BITS // 64)]
+    shingles = reduce(Column.__add__, bits) <= (F.col("size") + F.col("u_size")) * ((1 - similarity) / (1 + similarity) + 1e-9)
+    places = [_differing(F.col(f"sketch{i}"), F.col(f"u_sketch{i}")) for i in range(-(-registers // 16))]
+    return sizes & shingles & (reduce(Column.__add__, places) <= most_differing(registers, similarity))
 
 
 def sign(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, size: int = SHINGLE_WORDS) -> DataFrame:
-    """id, node (digest of the text), size (shingles), keys (one for each band) and sketch, both empty without words; from id and text."""
+    """id, node (digest of the text), size (shingles), keys (one for each band), sketch and parity, all three empty without words; from id and text."""
     kind = docs.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,13 +190,13 @@ def sign(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, size: int = SHIN
                 signatures = prob_minhash(at, elements, weights, len(own), bands * rows)
                 lists = [
                     pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(full * values.shape[1])]), pa.int32()), pa.array(values[full].ravel()))
-                    for values in (band_keys(signatures, bands, rows), sketches(signatures))
+                    for values in (band_keys(signatures, bands, rows), sketches(signatures), parities(at, elements, weights, len(own)))
                 ]
                 sizes = pa.array(np.bincount(at, weights, len(own)).astype(np.int64))
-                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("node"), sizes, *lists], names=["id", "node", "size", "keys", "sketch"])
+                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("node"), sizes, *lists], names=["id", "node", "size", "keys", "sketch", "parity"])
                 start = stop
 
-    return docs.select("id", "text", F.unhex(F.md5("text")).alias("node")).mapInArrow(run, f"id {kind}, node binary, size long, keys array<long>, sketch array<long>")
+    return docs.select("id", "text", F.unhex(F.md5("text")).alias("node")).mapInArrow(run, f"id {kind}, node binary, size long, keys array<long>, sketch array<long>, parity array<long>")
 
 
 def verify(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY, size: int = SHINGLE_WORDS) -> DataFrame:
@@ -195,10 +219,11 @@ def verify(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY, s
 
 
 def _verified_links(members: DataFrame, texts: DataFrame, similarity: float, size: int, registers: int) -> DataFrame | None:
-    """Stars of all nodes that share a bucket and are similar; `members` has bucket, node, size and sketch.
+    """Stars of all nodes that share a bucket and are similar; `members` has bucket, buckets (all of the node), node, size, and the words of sketch and parity.
 
     Labels only spare comparisons, so they are made anew after a round in which many links were found, and else at the end.
     """
+    traits = [c for c in members.columns if c != "bucket"]
     members = members.withColumn("label", F.col("node"))
     stars, fresh, others = None, [], 0
 
@@ -211,18 +236,17 @@ def _verified_links(members: DataFrame, texts: DataFrame, similarity: float, siz
         least = F.min(F.struct("n", "label", "node")).alias("least")
         whole = parts.groupBy("bucket").agg(F.count("*").alias("parts"), F.sum("n").alias("total"), least).where("parts > 1")
         chosen = (F.col("node") == F.col("least.node")) | (F.pmod(F.xxhash64("node"), F.col("total")) < others)
-        faced = stored(members.join(whole, "bucket").select("bucket", "node", "size", "sketch", "label", chosen.alias("faces")), "faced")
+        faced = stored(members.join(whole, "bucket").select("bucket", *traits, "label", chosen.alias("faces")), "faced")
         n_faced = faced.count()
         if not n_faced:
             return merged()
-        faces = faced.where("faces").select("bucket", *(F.col(c).alias(a) for c, a in (("node", "u"), ("size", "u_size"), ("sketch", "u_sketch"), ("label", "own"))))
-        pairs = faced.join(faces, "bucket").where("label <> own and not (faces and node < u)")
-        alike = F.least("size", "u_size") >= F.greatest("size", "u_size") * (similarity - 1e-9)  # else it cannot be reached
-        alike = alike & (n_differing(F.col("sketch"), F.col("u_sketch"), registers) <= most_differing(registers, similarity))
-        pairs = pairs.where(alike).select("u", F.col("node").alias("v")).distinct()
+        faces = faced.where("faces").select("bucket", *(F.col(c).alias(f"u_{c}") for c in (*traits, "label")))
+        here = F.col("bucket") == F.array_min(F.array_intersect("buckets", "u_buckets"))
+        pairs = faced.join(faces, "bucket").where("label <> u_label and not (faces and node < u_node)").where(_alike(registers, similarity) & here)
+        pairs = stored(pairs.select(F.col("u_node").alias("u"), F.col("node").alias("v")), "pairs")
         found = stored(verify(pairs, texts, similarity, size), "similar")
         members = faced.where("not faces").drop("faces")
-        others = 4 * others + 3
+        others = 16 * others + 15
         n_found = found.count()
         if n_found:
             fresh.append(found)
@@ -244,12 +268,17 @@ def near_duplicates(
     """Every row's id and its class_id, the smallest id among the documents connected by similar pairs."""
     own = id_and_text(docs, id_col, text_col)
     signed = stored(sign(own, bands, rows, size), "signatures")
-    nodes = signed.select("node", "size", F.explode("keys").alias("bucket")).distinct()
-    shared = nodes.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    own_sketch = signed.where("size(keys) > 0").select("node", "sketch").distinct()
-    members = stored(nodes.join(shared, "bucket").join(own_sketch, "node"), "buckets")
-    heads = signed.where("size(keys) > 0").groupBy("node").agg(F.min("id").alias("id"))
-    heads = stored(heads.join(members.select("node").distinct(), "node"), "heads")
+    held = signed.select(F.explode("keys").alias("bucket"), F.xxhash64("node").alias("short"))
+    shared = held.groupBy("bucket").agg(F.min("short").alias("a"), F.max("short").alias("b")).where("a <> b").select("bucket")
+    shared = stored(shared, "shared")  # as its size is known then, a small one is broadcast
+    held = signed.select("node", F.explode("keys").alias("bucket")).join(shared, "bucket", "left_semi")
+    nodes = stored(held.groupBy("node").agg(F.collect_set("bucket").alias("buckets")), "nodes")
+    traits = stored(signed.join(nodes.select("node"), "node", "left_semi").select("id", "node", "size", "sketch", "parity"), "traits")
+    n_words = {"sketch": -(-bands * rows // 16), "parity": PARITY_BITS // 64}
+    heads = stored(traits.groupBy("node").agg(F.min("id").alias("id")), "heads")
+    traits = nodes.join(traits.drop("id").dropDuplicates(["node"]), "node")
+    words = [F.get(c, F.lit(i)).alias(f"{c}{i}") for c, n in n_words.items() for i in range(n)]  # columns, as code on arrays gets too long to be compiled
+    members = stored(traits.select(F.explode("buckets").alias("bucket"), "buckets", "node", "size", *words), "buckets")
     with_id = own.join(heads.where("id is not null"), "id").where(F.unhex(F.md5("text")) == F.col("node"))
     without = own.where("id is null").withColumn("node", F.unhex(F.md5("text")))
     without = without.join(heads.where("id is null").select("node"), "node")
