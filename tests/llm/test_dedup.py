@@ -11,6 +11,7 @@ from texts import sentence
 from tracklayer.llm import line_dedup, near_dup, substring_dedup
 from tracklayer.llm.common import WORD
 from tracklayer.llm.components import star_links
+from tracklayer.llm.url_filter import maybe_listed
 
 
 def without_ties(frame):
@@ -169,6 +170,45 @@ def test_parities_never_drop_a_similar_pair():
         assert n != 150 or (bits[0] != bits[2]).sum() > 2 * n / 9
 
 
+def _below_shuffles(plan):
+    """For each shuffle of a plan, what lies below it."""
+    lines = plan.splitlines()
+    depth = [len(x) - len(x.lstrip(" :+-*()0123456789")) for x in lines]
+    for i, line in enumerate(lines):
+        if "Exchange hashpartitioning" in line:
+            end = next((k for k in range(i + 1, len(lines)) if depth[k] <= depth[i]), len(lines))
+            yield "\n".join(lines[i:end])
+
+
+def test_only_what_may_be_joined_is_shuffled(spark, monkeypatch):
+    """No listed value is lost by the filter and few others are kept; signatures and texts pass it before they move."""
+    listed = spark.range(0, 40_000, 2).selectExpr("id as other")
+    rows = spark.range(0, 40_000).selectExpr("id as key", "cast(id as string) as block_")
+    kept = maybe_listed(rows, "key", listed)
+    assert kept.columns == rows.columns and kept.join(listed, kept.key == listed.other).count() == 20_000
+    assert kept.count() < 21_000 and maybe_listed(rows, "key", listed.limit(0)).count() == 0
+    plans, stored = {}, near_dup.stored
+
+    def seen(df, name):
+        plans.setdefault(name, df._jdf.queryExecution().executedPlan().toString())
+        return stored(df, name)
+
+    monkeypatch.setattr(near_dup, "stored", seen)
+    rng = random.Random(2)
+    texts = [sentence(rng, 60) for _ in range(20)]
+    near = [(20 + i, t + " end") for i, t in enumerate(texts[:5])]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = dict(map(tuple, near_dup.near_duplicates(spark.createDataFrame([*enumerate(texts), *near], "doc_id long, text string")).collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert found == {i: i for i in range(20)} | {20 + i: i for i in range(5)}
+    for name, moved in (("nodes", "Generate explode(keys"), ("traits", "parity"), ("texts", "text"), ("similar", "text")):
+        wide = [x for x in _below_shuffles(plans[name]) if moved in x]
+        assert wide and all("BroadcastHashJoin" in x for x in wide), name
+
+
 def test_few_pairs_of_a_large_group_are_verified(spark, monkeypatch):
     """A group of copies edited more and less: no pair of texts is compared twice, and few are at all."""
     rng = random.Random(22)

@@ -25,6 +25,9 @@ the limit lies PRUNE_DEVIATIONS standard deviations above its mean, which one su
 Verification. Both texts of a pair that is left meet, and the weighted Jaccard similarity of their shingle counts is computed exactly.
 Components of the verified links are the classes.
 
+Shuffles. Buckets, signatures and texts that no join needs are left out by Bloom filters where they lie, all but a few of them;
+so of the texts only those of nodes in shared buckets move, and in each round those of its pairs.
+
 Defined results: a text of one to four words is one shingle; texts without words are in no class but their own; rows with
 null ids are compared like others; the class of a row is the smallest non-null id in it (null if there is none). Other
 columns of the input are ignored.
@@ -46,6 +49,7 @@ from pyspark.sql import functions as F
 from tracklayer.llm.common import WORD, id_and_text, stored
 from tracklayer.llm.components import star_links
 from tracklayer.llm.substring_dedup import mix, window_hashes
+from tracklayer.llm.url_filter import maybe_listed
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
@@ -201,8 +205,7 @@ def sign(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, size: int = SHIN
 
 def verify(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY, size: int = SHINGLE_WORDS) -> DataFrame:
     """The pairs u, v whose texts are similar enough."""
-    left = texts.select(F.col("node").alias("v"), F.col("text").alias("v_text"))
-    right = texts.select(F.col("node").alias("u"), F.col("text").alias("u_text"))
+    left, right = (maybe_listed(texts, "node", pairs.select(c)).select(F.col("node").alias(c), F.col("text").alias(f"{c}_text")) for c in ("v", "u"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, counts = None, Counter()
@@ -271,17 +274,21 @@ def near_duplicates(
     held = signed.select(F.explode("keys").alias("bucket"), F.xxhash64("node").alias("short"))
     shared = held.groupBy("bucket").agg(F.min("short").alias("a"), F.max("short").alias("b")).where("a <> b").select("bucket")
     shared = stored(shared, "shared")  # as its size is known then, a small one is broadcast
-    held = signed.select("node", F.explode("keys").alias("bucket")).join(shared, "bucket", "left_semi")
+    held = maybe_listed(signed.select("node", F.explode("keys").alias("bucket")), "bucket", shared)
+    held = held.join(shared, "bucket")  # not a semi-join, as that is moved below the filter
     nodes = stored(held.groupBy("node").agg(F.collect_set("bucket").alias("buckets")), "nodes")
-    traits = stored(signed.join(nodes.select("node"), "node", "left_semi").select("id", "node", "size", "sketch", "parity"), "traits")
+    traits = maybe_listed(signed.select("id", "node", "size", "sketch", "parity"), "node", nodes.select("node"))
+    traits = stored(traits.join(nodes.select("node"), "node").select("id", "node", "size", "sketch", "parity"), "traits")
     n_words = {"sketch": -(-bands * rows // 16), "parity": PARITY_BITS // 64}
     heads = stored(traits.groupBy("node").agg(F.min("id").alias("id")), "heads")
     traits = nodes.join(traits.drop("id").dropDuplicates(["node"]), "node")
     words = [F.get(c, F.lit(i)).alias(f"{c}{i}") for c, n in n_words.items() for i in range(n)]  # columns, as code on arrays gets too long to be compiled
     members = stored(traits.select(F.explode("buckets").alias("bucket"), "buckets", "node", "size", *words), "buckets")
-    with_id = own.join(heads.where("id is not null"), "id").where(F.unhex(F.md5("text")) == F.col("node"))
+    known = heads.where("id is not null")
+    with_id = maybe_listed(own, "id", known.select("id")).join(known, "id").where(F.unhex(F.md5("text")) == F.col("node"))
     without = own.where("id is null").withColumn("node", F.unhex(F.md5("text")))
-    without = without.join(heads.where("id is null").select("node"), "node")
+    unknown = heads.where("id is null").select("node")
+    without = maybe_listed(without, "node", unknown).join(unknown, "node")
     texts = stored(with_id.select("node", "text").unionByName(without.select("node", "text")), "texts")
     stars = _verified_links(members, texts, similarity, size, bands * rows)
     if stars is None:
