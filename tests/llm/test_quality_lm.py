@@ -92,6 +92,27 @@ def test_gradients():
         assert g[name][at] == pytest.approx((both[0] - both[1]) / 2 / e, abs=2e-4)
 
 
+def test_steps_in_place_are_those_of_adam(spark):
+    """Steps on used buffers, with first windows and without, end where plain ones on fresh arrays do; tasks' weights are averaged as one row each."""
+    rng = np.random.default_rng(6)
+    places = lm.Places.of(rng.integers(1, 100, 2000), [str(i).encode() for i in range(2000)])
+    begin = {k: v.astype(float) for k, v in lm.first_weights(places).items()}
+    learner, flat, m, v = lm.Learner(begin, 4), lm.flatten(begin), 0.0, 0.0
+    for step, n in enumerate((4, 4, 1, 3), 1):
+        scored = rng.random((n, 64)) < 0.8
+        scored[step % 2 :, : lm.OVERLAP] = False
+        batch = rng.integers(0, 1024, (n, 64)), rng.integers(0, 1024, (n, 64)), scored
+        g = lm.flatten(lm.gradients(lm.unflatten(flat, begin), *batch)[1])
+        m, v = m + 0.1 * (g - m), v + 0.01 * (g * g - v)
+        flat = flat - 0.02 * step / 20 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
+        learner.gradient(*batch)
+        learner.step(0.02)
+    assert np.abs(learner.flat - flat).max() < 1e-6
+    rows = [(n, (rng.random(5) * n).tobytes()) for n in (3, 1, 2)]
+    (found,) = spark.createDataFrame(rows, "n long, w binary").coalesce(1).mapInArrow(lm.add_weights, "n long, w binary").collect()
+    assert found.n == 6 and np.frombuffer(found.w) == pytest.approx(sum(np.frombuffer(w) for _, w in rows))
+
+
 def test_probabilities_sum_to_one():
     rng = np.random.default_rng(1)
     counts = rng.integers(0, 50, 3000)

@@ -8,7 +8,8 @@ their training counts. So a probability is that of the class, times that of the
 Model. Embedding and position, one masked self-attention head, a residual sum, and the two softmax layers. The class and
 place biases start at the counts. Training goes in rounds: each task takes the weights so far, makes Adam steps on its own
 training windows of the round, and the weights of all tasks are averaged by the windows they saw. The rounds share out all
-windows of all training texts: each is learned from in one round, and none is left out.
+windows of all training texts: each is learned from in one round, and none is left out. A task's weights are one row; a few
+tasks add them up for the driver.
 
 Scoring. Windows of 64 ids overlap by 16. A window scores the ids behind the overlap, the first one of a text all of them,
 so each id is scored once, with 16 ids of context at least where the text has them.
@@ -39,10 +40,14 @@ from tracklayer.llm.common import stored
 WIDTH = 32
 CLASSES, PLACES = 32, 32
 WINDOW, OVERLAP = 64, 16
+#: Queries behind the overlap, from and to; each of a tile is asked of the keys before the tile's end only.
+TILES = ((OVERLAP, 2 * OVERLAP), (2 * OVERLAP, WINDOW))
 STEP_WINDOWS = 16
 SCORE_WINDOWS = 64
 ROUNDS = 2
 RATE = 0.02
+#: So many tasks add up the weights of all others; each sends the driver one row.
+SUM_TASKS = 8
 
 
 class Subwords:
@@ -139,9 +144,10 @@ def flatten(weights: Weights) -> np.ndarray:
 
 
 def unflatten(flat: np.ndarray, like: Weights) -> Weights:
+    """Views of one array, shaped as `like`."""
     out, at = {}, 0
     for name, w in like.items():
-        out[name] = flat[at : at + w.size].reshape(w.shape).astype(np.float32)
+        out[name] = flat[at : at + w.size].reshape(w.shape)
         at += w.size
     return out
 
@@ -150,27 +156,35 @@ _MASK = np.triu(np.full((WINDOW, WINDOW), -1e9, np.float32), 1)
 _SEEN = np.tril(np.ones((WINDOW, WINDOW), np.float32))
 
 
-def _attend(w: Weights, inputs: np.ndarray) -> tuple[np.ndarray, ...]:
-    x = w["embed"][inputs] + w["position"]
-    qkv = x @ w["qkv"]
-    q, k, v = qkv[..., :WIDTH], qkv[..., WIDTH : 2 * WIDTH], qkv[..., 2 * WIDTH :]
-    s = np.matmul(q, k.transpose(0, 2, 1))
-    s *= np.float32(WIDTH**-0.5)
-    s += _MASK
-    s -= s.max(axis=2, keepdims=True)
-    np.exp(s, out=s)
-    s /= s.sum(axis=2, keepdims=True)
-    mixed = np.matmul(s, v)
-    return x, q, k, v, s, mixed, x + mixed @ w["out"]
+def _top(z: np.ndarray) -> np.ndarray:
+    """The maximum of each row, the width being a power of two: by halves, which takes a fraction of the time on short rows."""
+    while z.shape[-1] > 1:
+        half = z.shape[-1] // 2
+        z = np.maximum(z[..., :half], z[..., half:])
+    return z
+
+
+def _sums(z: np.ndarray) -> np.ndarray:
+    """The sum of each row, as a product, which is faster on short rows."""
+    return z @ np.ones((z.shape[-1], 1), z.dtype)
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
-    z -= z.max(axis=1, keepdims=True)
+    z -= _top(z)
     np.exp(z, out=z)
-    z /= z.sum(axis=1, keepdims=True)
+    z *= 1 / _sums(z)
     return z
 
 
+def _by_class(targets: np.ndarray, scored: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The scored places in order of their targets' classes: place, target and class of each, and the order."""
+    at = np.flatnonzero(scored)
+    goal = targets.ravel()[at]
+    order = np.argsort((goal // PLACES).astype(np.int16), kind="stable")
+    goal = goal[order]
+    return at[order], goal, goal // PLACES, order
+
+
 class Scorer:
     """The model forward over windows, in buffers that are used again: fresh large arrays cost more than the sums."""
 
@@ -198,7 +212,7 @@ class Scorer:
         np.minimum(s, 60, out=s)
         np.exp(s, out=s)
         s *= _SEEN
-        np.sum(s, axis=2, keepdims=True, out=sums)
+        np.matmul(s, np.ones((WINDOW, 1), s.dtype), out=sums)
         np.matmul(s, v.reshape(shape), out=mixed)
         mixed /= sums
         np.matmul(mixed.reshape(-1, WIDTH), self.w["out"], out=out)
@@ -208,17 +222,15 @@ class Scorer:
     def _chosen(self, z: np.ndarray, goal: np.ndarray) -> np.ndarray:
         """Log-softmax at each row's goal."""
         own = z[np.arange(len(z)), goal]
-        top = z.max(axis=1, keepdims=True)
+        top = _top(z)
         z -= top
         np.exp(z, out=z)
-        return own - top[:, 0] - np.log(z.sum(axis=1))
+        return own - top[:, 0] - np.log(_sums(z)[:, 0])
 
     def __call__(self, inputs: np.ndarray, targets: np.ndarray, scored: np.ndarray) -> np.ndarray:
         """Natural logarithms for the scored places of windows: class and slot of the target."""
-        goal = targets[scored]
-        order = np.argsort(goal // PLACES, kind="stable")
-        h, goal = self.hidden(inputs)[scored][order], goal[order]
-        classes, z = goal // PLACES, self.z[: len(goal)]
+        at, goal, classes, order = _by_class(targets, scored)
+        h, z = self.hidden(inputs).reshape(-1, WIDTH)[at], self.z[: len(goal)]
         np.matmul(h, self.w["classes"], out=z)
         z += self.w["class_bias"]
         value = self._chosen(z, classes)
@@ -236,53 +248,141 @@ def log_probabilities(w: Weights, inputs: np.ndarray, targets: np.ndarray, score
     return Scorer(w, len(inputs))(inputs, targets, scored)
 
 
+def _turned(z: np.ndarray) -> np.ndarray:
+    return z.transpose(0, 2, 1)
+
+
+def _attend(q: np.ndarray, k: np.ndarray, v: np.ndarray, a: np.ndarray, out: np.ndarray) -> None:
+    """Attention of the last places of `k` and `v`, whose queries are `q`, into `a`, and the mixed values into `out`."""
+    np.matmul(q, _turned(k), out=a)
+    a += _MASK[k.shape[1] - q.shape[1] : k.shape[1], : k.shape[1]]
+    _softmax(a)
+    np.matmul(a, v, out=out)
+
+
+def _attend_back(q: np.ndarray, k: np.ndarray, v: np.ndarray, a: np.ndarray, mixed: np.ndarray, dmixed: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The gradients of q, k and v from that of the mixed values."""
+    ds = np.matmul(dmixed, _turned(v))
+    ds -= _sums(dmixed * mixed)  # as mixed = a v, the sum of ds * a over a row
+    ds *= a
+    return np.matmul(ds, k), np.matmul(_turned(ds), q), np.matmul(_turned(a), dmixed)
+
+
+class Learner:
+    """Weights in one array, their gradient and their Adam moments likewise, and buffers that every step uses again."""
+
+    def __init__(self, w: Weights, most: int = STEP_WINDOWS):
+        kind = w["qkv"].dtype
+        self.flat = flatten(w)
+        self.w = unflatten(self.flat, w)
+        self.slope, self.m, self.v, self.spare = (np.zeros_like(self.flat) for _ in range(4))
+        self.g = unflatten(self.slope, w)
+        self.steps = 0
+        self.x, self.mixed, self.full, self.dfull, self.dmixed, self.dx = (np.zeros((most, WINDOW, WIDTH), kind) for _ in range(6))
+        self.qkv, self.dqkv = (np.empty((most, WINDOW, 3 * WIDTH), kind) for _ in range(2))
+        self.tiles = [(lo, hi, np.empty((most, hi - lo, hi), kind)) for lo, hi in TILES]
+        self.h, self.dh, self.part = (np.empty((most * WINDOW, WIDTH), kind) for _ in range(3))
+        self.classes, self.slots = np.empty((most * WINDOW, CLASSES), kind), np.empty((most * WINDOW, PLACES), kind)
+
+    def gradient(self, inputs: np.ndarray, targets: np.ndarray, scored: np.ndarray) -> float:
+        """Mean loss over the scored places; its gradient is left in `g`."""
+        w, g, n = self.w, self.g, len(inputs)
+        x, mixed, full, dfull, dmixed, dx, qkv, dqkv = (b[:n] for b in (self.x, self.mixed, self.full, self.dfull, self.dmixed, self.dx, self.qkv, self.dqkv))
+        rows = lambda z: z.reshape(-1, z.shape[-1])
+        (q, k, v), (dq, dk, dv) = ([z[..., i * WIDTH : (i + 1) * WIDTH] for i in range(3)] for z in (qkv, dqkv))
+        np.take(w["embed"], inputs, axis=0, out=x, mode="clip")
+        x += w["position"]
+        np.matmul(rows(x), w["qkv"], out=rows(qkv))
+        q *= WIDTH**-0.5
+        for lo, hi, a in self.tiles:
+            _attend(q[:, lo:hi], k[:, :hi], v[:, :hi], a[:n], mixed[:, lo:hi])
+        early = np.flatnonzero(scored[:, :OVERLAP].any(axis=1))  # other windows ask nothing of their first places
+        begun = [z[early, :OVERLAP] for z in (q, k, v)]
+        weight, value = np.empty((len(early), OVERLAP, OVERLAP), x.dtype), np.empty((len(early), OVERLAP, WIDTH), x.dtype)
+        _attend(*begun, weight, value)
+        mixed[early, :OVERLAP] = value
+        np.matmul(rows(mixed), w["out"], out=rows(full))
+        full += x
+
+        at, goal, classes, _ = _by_class(targets, scored)
+        slots, many, each = goal % PLACES, len(goal), np.arange(len(goal))
+        h, dh, part, p, z = (b[:many] for b in (self.h, self.dh, self.part, self.classes, self.slots))
+        np.take(rows(full), at, axis=0, out=h, mode="clip")
+        np.matmul(h, w["classes"], out=p)
+        p += w["class_bias"]
+        _softmax(p)
+        loss = -np.log(p[each, classes] + 1e-30).sum()
+        p[each, classes] -= 1
+        p *= 1 / many
+        np.matmul(h.T, p, out=g["classes"])
+        p.sum(0, out=g["class_bias"])
+        np.matmul(p, w["classes"].T, out=dh)
+        edges = np.searchsorted(classes, np.arange(CLASSES + 1)).tolist()
+        groups = [(c, slice(b, e)) for c, (b, e) in enumerate(zip(edges, edges[1:], strict=False)) if b < e]
+        for c, own in groups:
+            np.matmul(h[own], w["slots"][c], out=z[own])
+        z += w["slot_bias"][classes]
+        _softmax(z)
+        loss -= np.log(z[each, slots] + 1e-30).sum()
+        z[each, slots] -= 1
+        z *= 1 / many
+        g["slots"].fill(0)
+        g["slot_bias"].fill(0)
+        for c, own in groups:
+            np.matmul(h[own].T, z[own], out=g["slots"][c])
+            np.matmul(z[own], w["slots"][c].T, out=part[own])
+        dh += part
+        if groups:
+            g["slot_bias"][[c for c, _ in groups]] = np.add.reduceat(z, [own.start for _, own in groups], axis=0)
+
+        dfull.fill(0)
+        rows(dfull)[at] = dh
+        np.matmul(rows(mixed).T, rows(dfull), out=g["out"])
+        np.matmul(rows(dfull), w["out"].T, out=rows(dmixed))
+        dqkv.fill(0)
+        for lo, hi, a in self.tiles:
+            own = _attend_back(q[:, lo:hi], k[:, :hi], v[:, :hi], a[:n], mixed[:, lo:hi], dmixed[:, lo:hi])
+            dq[:, lo:hi] = own[0]
+            dk[:, :hi] += own[1]
+            dv[:, :hi] += own[2]
+        own = _attend_back(*begun, weight, value, dmixed[early, :OVERLAP])
+        for z, part in zip((dq, dk, dv), own, strict=True):
+            z[early, :OVERLAP] += part
+        dq *= WIDTH**-0.5
+        np.matmul(rows(x).T, rows(dqkv), out=g["qkv"])
+        np.matmul(rows(dqkv), w["qkv"].T, out=rows(dx))
+        dx += dfull
+        dx.sum(0, out=g["position"])
+        g["embed"].fill(0)
+        order = np.argsort(inputs.ravel().astype(np.int16), kind="stable")
+        names = inputs.ravel()[order]
+        lead = np.flatnonzero(np.concatenate([[True], names[1:] != names[:-1]]))
+        g["embed"][names[lead]] = np.add.reduceat(rows(dx)[order], lead)
+        return float(loss / many)
+
+    def step(self, rate: float) -> None:
+        """One step of Adam by the gradient, in place."""
+        self.steps += 1
+        t = self.spare
+        np.subtract(self.slope, self.m, out=t)
+        t *= 0.1
+        self.m += t
+        np.multiply(self.slope, self.slope, out=t)
+        t -= self.v
+        t *= 0.01
+        self.v += t
+        np.multiply(self.v, 1 / (1 - 0.99**self.steps), out=t)
+        np.sqrt(t, out=t)
+        t += 1e-8
+        np.divide(self.m, t, out=t)
+        t *= rate * min(1.0, self.steps / 20) / (1 - 0.9**self.steps)
+        self.flat -= t
+
+
 def gradients(w: Weights, inputs: np.ndarray, targets: np.ndarray, scored: np.ndarray) -> tuple[float, Weights]:
     """Mean loss over the scored places, and its gradient."""
-    x, q, k, v, a, mixed, full = _attend(w, inputs)
-    goal = targets[scored]
-    order = np.argsort(goal // PLACES, kind="stable")
-    h, goal = full[scored][order], goal[order]
-    classes, slots, n = goal // PLACES, goal % PLACES, np.float32(len(goal))
-    g = {"slots": np.zeros_like(w["slots"]), "slot_bias": np.zeros_like(w["slot_bias"])}
-    p = _softmax(h @ w["classes"] + w["class_bias"])
-    rows = np.arange(len(goal))
-    loss = -np.log(p[rows, classes] + 1e-30).sum()
-    p[rows, classes] -= 1
-    p /= n
-    g["classes"], g["class_bias"] = h.T @ p, p.sum(0)
-    dh = p @ w["classes"].T
-    edges = np.searchsorted(classes, np.arange(CLASSES + 1)).tolist()
-    groups = [(c, slice(a, b)) for c, (a, b) in enumerate(zip(edges, edges[1:], strict=False)) if a < b]
-    z = np.empty((len(goal), PLACES), h.dtype)
-    for c, own in groups:
-        np.matmul(h[own], w["slots"][c], out=z[own])
-    p = _softmax(z + w["slot_bias"][classes])
-    loss -= np.log(p[rows, slots] + 1e-30).sum()
-    p[rows, slots] -= 1
-    p /= n
-    for c, own in groups:
-        g["slots"][c], g["slot_bias"][c] = h[own].T @ p[own], p[own].sum(0)
-        dh[own] += p[own] @ w["slots"][c].T
-    back = np.empty_like(dh)
-    back[order] = dh
-    dfull = np.zeros_like(full)
-    dfull[scored] = back
-    flat = lambda z: z.reshape(-1, z.shape[-1])
-    g["out"] = flat(mixed).T @ flat(dfull)
-    dmixed = dfull @ w["out"].T
-    da = np.matmul(dmixed, v.transpose(0, 2, 1))
-    dv = np.matmul(a.transpose(0, 2, 1), dmixed)
-    ds = a * (da - (da * a).sum(axis=2, keepdims=True)) * np.float32(WIDTH**-0.5)
-    dqkv = np.concatenate([np.matmul(ds, k), np.matmul(ds.transpose(0, 2, 1), q), dv], axis=2)
-    g["qkv"] = flat(x).T @ flat(dqkv)
-    dx = dfull + dqkv @ w["qkv"].T
-    g["position"] = dx.sum(0)
-    g["embed"] = np.zeros_like(w["embed"])
-    order = np.argsort(inputs, axis=None, kind="stable")
-    names = inputs.ravel()[order]
-    lead = np.flatnonzero(np.concatenate([[True], names[1:] != names[:-1]]))
-    g["embed"][names[lead]] = np.add.reduceat(flat(dx)[order], lead)
-    return float(loss / n), {name: g[name] for name in w}
+    learner = Learner(w, len(inputs))
+    return learner.gradient(inputs, targets, scored), learner.g
 
 
 def windows_of(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -349,36 +449,48 @@ def round_windows(training: np.ndarray, number: int, rounds: int) -> np.ndarray:
 def train(chunks: DataFrame, places: Places, end: int, rounds: int = ROUNDS) -> Weights:
     """Rounds of local Adam steps on training windows, averaged over all tasks."""
     weights = first_weights(places)
-    like = weights
     for number in range(rounds):
-        begin, rate = flatten(weights), RATE * 0.5**number
 
-        def local(batches: Iterator[pa.RecordBatch], begin=begin, rate=rate, number=number) -> Iterator[pa.RecordBatch]:
-            flat, m, v, step, seen = begin.copy(), np.zeros_like(begin), np.zeros_like(begin), 0, 0
+        def local(batches: Iterator[pa.RecordBatch], weights=weights, number=number) -> Iterator[pa.RecordBatch]:
+            learner, seen = Learner(weights), 0
             for row in _rows(batches):
                 stream = Stream(row, places, end)
                 own = round_windows(~is_held_out(stream.chunk.ids)[stream.doc], number, rounds)
                 own = np.random.default_rng(number).permutation(own)
                 for i in range(0, len(own), STEP_WINDOWS):
                     part = own[i : i + STEP_WINDOWS]
-                    inputs, targets, scored, _ = stream.batch(part)
-                    g = flatten(gradients(unflatten(flat, like), inputs, targets, scored)[1])
-                    step, seen = step + 1, seen + len(part)
-                    m += 0.1 * (g - m)
-                    v += 0.01 * (g * g - v)
-                    flat -= rate * min(1.0, step / 20) * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
-            yield pa.RecordBatch.from_arrays([pa.array([seen], pa.int64()), pa.array([flat.tolist()], pa.list_(pa.float64()))], names=["n", "w"])
-
-        done = chunks.mapInArrow(local, "n long, w array<double>").where("n > 0")
-        mean = done.select("n", F.posexplode("w").alias("at", "x")).groupBy("at").agg((F.sum(F.col("n") * F.col("x")) / F.sum("n")).alias("x"))
-        found = mean.collect()  # as many rows as the model has weights
+                    learner.gradient(*stream.batch(part)[:3])
+                    learner.step(RATE * 0.5**number)
+                    seen += len(part)
+            if seen:
+                yield _summed(seen, learner.flat.astype(float) * seen)
+
+        done = chunks.mapInArrow(local, _SUM)
+        found = done.repartition(SUM_TASKS).mapInArrow(add_weights, _SUM).collect()
         if found:
-            flat = np.zeros(len(begin))
-            flat[[r.at for r in found]] = [r.x for r in found]
-            weights = unflatten(flat, like)
+            flat = sum(np.frombuffer(r.w) for r in found) / sum(r.n for r in found)
+            weights = unflatten(flat.astype(np.float32), weights)
     return weights
 
 
+_SUM = "n long, w binary"
+
+
+def _summed(n: int, total: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([total.tobytes()], pa.binary())], names=["n", "w"])
+
+
+def add_weights(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for the task's rows: their windows and their weights, times windows, summed."""
+    n, total = 0, None
+    for batch in batches:
+        for many, w in zip(batch.column("n").to_pylist(), batch.column("w"), strict=True):
+            own = np.frombuffer(w.as_buffer())
+            n, total = n + many, own if total is None else total + own
+    if n:
+        yield _summed(n, total)
+
+
 _REQUEST = "shard int, chunk long, keys binary, extra binary"
 
 
