@@ -113,6 +113,69 @@ def test_steps_in_place_are_those_of_adam(spark):
     assert found.n == 6 and np.frombuffer(found.w) == pytest.approx(sum(np.frombuffer(w) for _, w in rows))
 
 
+def plain_log_probabilities(w, inputs, targets):
+    """The model written down place by place, for all places of each window."""
+    x = w["embed"][inputs] + w["position"]
+    q, k, v = np.split(x @ w["qkv"], 3, axis=-1)
+    s = q @ k.transpose(0, 2, 1) * lm.WIDTH**-0.5
+    s[:, np.triu(np.ones((lm.WINDOW, lm.WINDOW), bool), 1)] = -np.inf
+    a = np.exp(s - s.max(-1, keepdims=True))
+    h = x + (a / a.sum(-1, keepdims=True)) @ v @ w["out"]
+    c, slot = targets // lm.PLACES, targets % lm.PLACES
+
+    def chosen(z, goal):
+        z = z - z.max(-1, keepdims=True)
+        return np.take_along_axis(z, goal[..., None], -1)[..., 0] - np.log(np.exp(z).sum(-1))
+
+    return chosen(h @ w["classes"] + w["class_bias"], c) + chosen(np.einsum("nwi,nwij->nwj", h, w["slots"][c]) + w["slot_bias"][c], slot)
+
+
+@pytest.mark.parametrize("factor", [1, 8, 40])
+def test_scores_and_steps_are_those_of_the_plain_model(factor):
+    """Also where products of queries and keys, or the last layers' numbers, are far beyond what an exponential holds."""
+    rng = np.random.default_rng(5)
+    places = lm.Places.of(rng.integers(1, 100, 2000), [str(i).encode() for i in range(2000)])
+    w = {k: v.astype(float) * (factor if k in ("qkv", "classes", "slots") else 1) for k, v in lm.first_weights(places).items()}
+    inputs, targets, scored = rng.integers(0, 1024, (5, 64)), rng.integers(0, 1024, (5, 64)), rng.random((5, 64)) < 0.7
+    scored[1:3, : lm.OVERLAP] = False
+    scored[3] = False
+    plain = plain_log_probabilities(w, inputs, targets)[scored]
+    assert lm.log_probabilities(w, inputs, targets, scored) == pytest.approx(plain, rel=1e-6, abs=1e-6)
+    loss, g = lm.gradients(w, inputs, targets, scored)
+    assert loss == pytest.approx(-plain.mean(), rel=1e-4) and all(np.isfinite(x).all() for x in g.values())
+    if factor == 40:
+        x = w["embed"][inputs] + w["position"]
+        assert (x @ w["qkv"][:, : lm.WIDTH] @ (x @ w["qkv"][:, lm.WIDTH : 2 * lm.WIDTH]).transpose(0, 2, 1) * lm.WIDTH**-0.5).max() > 100
+
+
+def test_words_cut_together_are_cut_as_alone():
+    path = P.path("byte_bpe_50k.tiktoken")
+    rng = random.Random(2)
+    plain = [*sentence(rng, 300).split(" "), "don't", "'s", "'", "12a", "a1,b", "--", "été", "\u4e2d\u6587", "\U0001f600x", "\u200b", "x\u0301"]
+    odd = ["a\xa0", "\u3000", "\x85b", "\x1c", "c\u2028d"]
+    describe = lm.describer(path, P.PATTERN)
+    describe([])
+    cutter = lm._CUTTERS[path]
+    for words in ([], plain, odd, plain + odd, plain * 30, odd[:1] + plain * 30):
+        flat, sizes = lm.subwords_of(describe([w.encode() for w in words]), 50_256)
+        found = [x.tolist() for x in np.split(flat, np.cumsum(sizes)[:-1])]
+        assert found == [*(cutter.cut(" " + w) for w in words), [50_256]]
+    assert cutter.ids(plain)[1].sum() < len("".join(plain).encode())  # and not byte by byte
+
+
+def test_chunks_hold_the_words_of_the_contract(spark):
+    """Gaps are the six characters only, and only A to Z are lower-cased."""
+    texts = ["", " ", "Ab\tcD\nE\x0bf\x0cG\rh  I", "\x1cA\x1d \x1eB\x1f", "\xa0Ä\xa0B\u2028Ç\x85d\u3000 \u0130I", "\ufeffX \x00Y\x7f", "\U00010400 K\u212a"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    for fold in (True, False):
+        (row,) = lm.make_chunks(frame, "doc_id", "text", lower=fold).toPandas().itertuples()
+        chunk = lm.Chunk(row)
+        words = np.array([*chunk.words, None], object)[chunk.codes].tolist()
+        wanted = [WORD.findall(t.translate(lower) if fold else t) for t in texts]
+        assert chunk.sizes.tolist() == [len(x) for x in wanted] and words == [w for x in wanted for w in x]
+
+
 def test_probabilities_sum_to_one():
     rng = np.random.default_rng(1)
     counts = rng.integers(0, 50, 3000)

@@ -23,6 +23,7 @@ rows count each time they occur. Without training texts all counts are 0. Other
 from __future__ import annotations
 
 import base64
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -30,7 +31,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
+from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,16 +41,20 @@ from tracklayer.llm.common import stored
 WIDTH = 32
 CLASSES, PLACES = 32, 32
 WINDOW, OVERLAP = 64, 16
-#: Queries behind the overlap, from and to; each of a tile is asked of the keys before the tile's end only.
-TILES = ((OVERLAP, 2 * OVERLAP), (2 * OVERLAP, WINDOW))
 STEP_WINDOWS = 16
-SCORE_WINDOWS = 64
+SCORE_WINDOWS = 32
 ROUNDS = 2
 RATE = 0.02
 #: So many tasks add up the weights of all others; each sends the driver one row.
 SUM_TASKS = 8
 
 
+#: So many words are cut in one text.
+CUT_WORDS = 4096
+#: White space that a word can hold.
+_OTHER_GAP = re.compile("[^\\S ]")
+
+
 class Subwords:
     """Cuts words in ids of a rank vocabulary; the id after the last rank is the end."""
 
@@ -57,11 +62,29 @@ class Subwords:
         import tiktoken
 
         self.cut = tiktoken.Encoding("subwords", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-
-    def describe(self, words: list[str]) -> bytes:
+        self.begins = np.zeros(max(ranks.values()) + 1, bool)
+        self.begins[[i for token, i in ranks.items() if token.startswith(b" ")]] = True
+
+    def ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words, each with a space before it, and the number of each word's.
+
+        Words are cut in one text. No white space being in a word, each has one space, at its start, so an id that begins with a
+        space is a word's first one. Words that hold white space of another kind could meet the next space: they are cut alone.
+        """
+        text = " ".join(["", *words])
+        if not _OTHER_GAP.search(text):
+            flat = np.array(self.cut(text), np.int64)
+            first = np.flatnonzero(self.begins[flat])
+            if len(first) == len(words):
+                return flat, np.diff(first, append=len(flat))
         lists = [self.cut(" " + w) for w in words]
-        sizes = squeeze(np.array([len(x) for x in lists], np.int64))
-        return len(sizes).to_bytes(8, "little") + sizes + squeeze(np.array([i for x in lists for i in x], np.int64))
+        return np.array([i for x in lists for i in x], np.int64), np.array([len(x) for x in lists], np.int64)
+
+    def describe(self, words: list[bytes]) -> bytes:
+        parts = [self.ids([w.decode() for w in words[i : i + CUT_WORDS]]) for i in range(0, len(words), CUT_WORDS)] or [self.ids([])]
+        flat, sizes = (np.concatenate(z) for z in zip(*parts, strict=True))
+        sizes = squeeze(sizes)
+        return len(sizes).to_bytes(8, "little") + sizes + squeeze(flat)
 
 
 _CUTTERS: dict[str, Subwords] = {}
@@ -70,7 +93,7 @@ _CUTTERS: dict[str, Subwords] = {}
 def describer(path: str, pattern: str):
     """What `make_chunks` calls on a chunk's distinct words; the vocabulary is read once in each worker."""
 
-    def describe(words: list[str]) -> bytes:
+    def describe(words: list[bytes]) -> bytes:
         if path not in _CUTTERS:
             with open(path, "rb") as lines:
                 _CUTTERS[path] = Subwords({base64.b64decode(t): int(r) for t, r in map(bytes.split, lines)}, pattern)
@@ -83,19 +106,24 @@ def is_held_out(ids: np.ndarray) -> np.ndarray:
     return np.array([i != NO_ID and zlib.crc32(str(i).encode()) % 7 == 2 for i in ids.tolist()], bool)
 
 
-def subword_stream(chunk: Chunk, described: bytes, end: int) -> tuple[np.ndarray, np.ndarray]:
-    """All ids of a chunk, each document closed by the end id, and the number of ids of each document."""
+def subwords_of(described: bytes, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of a chunk's distinct words and the number of each word's; one more word is the end."""
     n = int.from_bytes(described[:8], "little")
-    sizes, flat = expand(described[8 : 8 + n]).astype(np.int64), expand(described[8 + n :]).astype(np.int64)
-    starts = np.cumsum(sizes) - sizes
-    codes, doc = chunk.codes, chunk.doc_of_word()
-    own = sizes[codes] if len(codes) else np.zeros(0, np.int64)
-    per_doc = np.bincount(doc, own, len(chunk.ids)).astype(np.int64) + 1
-    out = np.full(int(per_doc.sum()), end, np.int64)
-    at = np.arange(int(own.sum())) - np.repeat(np.cumsum(own) - own, own)
-    # an id's place: its number among all ids, and one end for each document before its own
-    out[np.arange(len(at)) + np.repeat(doc, own)] = flat[np.repeat(starts[codes], own) + at] if len(at) else 0
-    return out, per_doc
+    return np.append(expand(described[8 + n :]).astype(np.int64), end), np.append(expand(described[8 : 8 + n]).astype(np.int64), 1)
+
+
+def subword_stream(chunk: Chunk, described: bytes, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids of a chunk's words, the place among them of each id of its documents, and the number of these of each document.
+
+    A document is closed by the end id.
+    """
+    flat, sizes = subwords_of(described, end)
+    codes = np.insert(chunk.codes, chunk.ends, len(sizes) - 1)
+    own = sizes[codes]
+    stops = np.cumsum(own)
+    at = np.repeat((np.cumsum(sizes) - sizes)[codes] - (stops - own), own)
+    at += np.arange(len(at))
+    return flat, at, np.diff(stops[chunk.ends + np.arange(len(chunk.ends))], prepend=0)
 
 
 @dataclass
@@ -154,6 +182,10 @@ def unflatten(flat: np.ndarray, like: Weights) -> Weights:
 
 _MASK = np.triu(np.full((WINDOW, WINDOW), -1e9, np.float32), 1)
 _SEEN = np.tril(np.ones((WINDOW, WINDOW), np.float32))
+#: Where the embeddings' numbers stand in the flat table.
+_CELLS = np.arange(CLASSES * PLACES * WIDTH).reshape(-1, WIDTH)
+#: Exponents up to this size need no shift: neither they nor the sum of a row leave what single precision holds.
+PLAIN = 60
 
 
 def _top(z: np.ndarray) -> np.ndarray:
@@ -169,8 +201,24 @@ def _sums(z: np.ndarray) -> np.ndarray:
     return z @ np.ones((z.shape[-1], 1), z.dtype)
 
 
+def _plain(z: np.ndarray) -> bool:
+    return z.size == 0 or (z.max() <= PLAIN and z.min() >= -PLAIN)
+
+
+def _attention(s: np.ndarray) -> np.ndarray:
+    """Causal weights from the products of the last queries with all keys, in place, and the sums of their rows; not divided by them."""
+    own = slice(s.shape[2] - s.shape[1], s.shape[2])
+    if not _plain(s):
+        s += _MASK[own, : s.shape[2]]
+        s -= _top(s)
+    np.exp(s, out=s)
+    s *= _SEEN[own, : s.shape[2]]
+    return _sums(s)
+
+
 def _softmax(z: np.ndarray) -> np.ndarray:
-    z -= _top(z)
+    if not _plain(z):
+        z -= _top(z)
     np.exp(z, out=z)
     z *= 1 / _sums(z)
     return z
@@ -185,60 +233,81 @@ def _by_class(targets: np.ndarray, scored: np.ndarray) -> tuple[np.ndarray, np.n
     return at[order], goal, goal // PLACES, order
 
 
+def _groups(classes: np.ndarray) -> list[tuple[int, slice]]:
+    """The classes that occur among sorted ones, and the rows of each."""
+    edges = np.searchsorted(classes, np.arange(CLASSES + 1)).tolist()
+    return [(c, slice(b, e)) for c, (b, e) in enumerate(zip(edges, edges[1:], strict=False)) if b < e]
+
+
+def _turned(z: np.ndarray) -> np.ndarray:
+    return z.transpose(0, 2, 1)
+
+
 class Scorer:
-    """The model forward over windows, in buffers that are used again: fresh large arrays cost more than the sums."""
+    """The model forward over windows, in buffers that are used again: fresh large arrays cost more than the sums.
+
+    As the weights stay, what depends on one id or one position only is multiplied once, in tables: queries, keys, and values
+    that have gone through `out`.
+    """
 
     def __init__(self, w: Weights, most: int = SCORE_WINDOWS):
         kind = w["qkv"].dtype
-        self.w, self.most = w, most
-        scaled = w["qkv"].copy()
-        scaled[:, :WIDTH] *= WIDTH**-0.5
-        self.parts = [np.ascontiguousarray(p) for p in np.split(scaled, 3, axis=1)]
-        self.x, self.mixed = (np.empty((most, WINDOW, WIDTH), kind) for _ in range(2))
-        self.q, self.k, self.v, self.out = (np.empty((most * WINDOW, WIDTH), kind) for _ in range(4))
-        self.s, self.sums = np.empty((most, WINDOW, WINDOW), kind), np.empty((most, WINDOW, 1), kind)
-        self.z = np.empty((most * WINDOW, max(CLASSES, PLACES)), kind)
-
-    def hidden(self, inputs: np.ndarray) -> np.ndarray:
+        self.w = w
+        turn = w["qkv"].copy()
+        turn[:, :WIDTH] *= WIDTH**-0.5
+        turn[:, 2 * WIDTH :] = turn[:, 2 * WIDTH :] @ w["out"]
+        self.of_id, self.of_position = w["embed"] @ turn, w["position"] @ turn
+        self.x, self.mixed = (np.zeros((most, WINDOW, WIDTH), kind) for _ in range(2))
+        self.qkv = np.empty((most, WINDOW, 3 * WIDTH), kind)
+        self.s = np.empty((most, WINDOW - OVERLAP, WINDOW), kind)
+        self.kt, self.sums = np.empty((most, WIDTH, WINDOW), kind), np.ones((most, WINDOW, 1), kind)
+        self.slots = list(w["slots"])
+        self.h, self.part, self.z = (np.empty((most * WINDOW, size), kind) for size in (WIDTH, WIDTH, max(CLASSES, PLACES)))
+
+    def hidden(self, inputs: np.ndarray, scored: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """The last layer's inputs for the places `at` of all windows'; other windows than those scored there ask nothing of their first places."""
         n = len(inputs)
-        x, mixed, s, sums = self.x[:n], self.mixed[:n], self.s[:n], self.sums[:n]
-        q, k, v, out = (a[: n * WINDOW] for a in (self.q, self.k, self.v, self.out))
+        x, mixed, qkv, s = self.x[:n], self.mixed[:n], self.qkv[:n], self.s[:n]
         np.take(self.w["embed"], inputs, axis=0, out=x, mode="clip")
         x += self.w["position"]
-        for part, to in zip(self.parts, (q, k, v), strict=True):
-            np.matmul(x.reshape(-1, WIDTH), part, out=to)
-        shape = (n, WINDOW, WIDTH)
-        np.matmul(q.reshape(shape), k.reshape(shape).transpose(0, 2, 1), out=s)
-        np.minimum(s, 60, out=s)
-        np.exp(s, out=s)
-        s *= _SEEN
-        np.matmul(s, np.ones((WINDOW, 1), s.dtype), out=sums)
-        np.matmul(s, v.reshape(shape), out=mixed)
-        mixed /= sums
-        np.matmul(mixed.reshape(-1, WIDTH), self.w["out"], out=out)
-        x += out.reshape(shape)
-        return x
+        np.take(self.of_id, inputs, axis=0, out=qkv, mode="clip")
+        qkv += self.of_position
+        q, k, v = (qkv[..., i * WIDTH : (i + 1) * WIDTH] for i in range(3))
+        kt = self.kt[:n]
+        np.copyto(kt, _turned(k))  # a product of operands that are not turned is the faster one
+        np.matmul(q[:, OVERLAP:], kt, out=s)
+        sums = self.sums[:n]
+        sums[:, OVERLAP:] = _attention(s)
+        np.matmul(s, v, out=mixed[:, OVERLAP:])
+        early = np.flatnonzero(scored[:, :OVERLAP].any(axis=1))
+        if len(early):
+            s = np.matmul(q[early, :OVERLAP], _turned(k[early, :OVERLAP]))
+            sums[early, :OVERLAP] = _attention(s)
+            mixed[early, :OVERLAP] = np.matmul(s, v[early, :OVERLAP])
+        h = np.take(x.reshape(-1, WIDTH), at, axis=0, out=self.h[: len(at)], mode="clip")
+        own = np.take(mixed.reshape(-1, WIDTH), at, axis=0, out=self.part[: len(at)], mode="clip")
+        own /= sums.reshape(-1, 1)[at]
+        h += own
+        return h
 
     def _chosen(self, z: np.ndarray, goal: np.ndarray) -> np.ndarray:
         """Log-softmax at each row's goal."""
+        if not _plain(z):
+            z -= _top(z)
         own = z[np.arange(len(z)), goal]
-        top = _top(z)
-        z -= top
         np.exp(z, out=z)
-        return own - top[:, 0] - np.log(_sums(z)[:, 0])
+        return own - np.log(_sums(z)[:, 0])
 
     def __call__(self, inputs: np.ndarray, targets: np.ndarray, scored: np.ndarray) -> np.ndarray:
         """Natural logarithms for the scored places of windows: class and slot of the target."""
         at, goal, classes, order = _by_class(targets, scored)
-        h, z = self.hidden(inputs).reshape(-1, WIDTH)[at], self.z[: len(goal)]
+        h, z = self.hidden(inputs, scored, at), self.z[: len(goal)]
         np.matmul(h, self.w["classes"], out=z)
         z += self.w["class_bias"]
         value = self._chosen(z, classes)
-        edges = np.searchsorted(classes, np.arange(CLASSES + 1)).tolist()
-        for c in range(CLASSES):
-            own = slice(edges[c], edges[c + 1])
-            np.matmul(h[own], self.w["slots"][c], out=z[own])
-            z[own] += self.w["slot_bias"][c]
+        for c, own in _groups(classes):
+            np.dot(h[own], self.slots[c], out=z[own])
+        z += np.take(self.w["slot_bias"], classes, axis=0, out=self.part[: len(goal)], mode="clip")
         found = np.empty(len(goal), value.dtype)
         found[order] = value + self._chosen(z, goal % PLACES)
         return found
@@ -248,24 +317,16 @@ def log_probabilities(w: Weights, inputs: np.ndarray, targets: np.ndarray, score
     return Scorer(w, len(inputs))(inputs, targets, scored)
 
 
-def _turned(z: np.ndarray) -> np.ndarray:
-    return z.transpose(0, 2, 1)
-
+def _attend_back(vt: np.ndarray, a: np.ndarray, dots: np.ndarray, dmixed: np.ndarray, ds: np.ndarray) -> np.ndarray:
+    """The gradient of the products of queries and keys, in `ds`.
 
-def _attend(q: np.ndarray, k: np.ndarray, v: np.ndarray, a: np.ndarray, out: np.ndarray) -> None:
-    """Attention of the last places of `k` and `v`, whose queries are `q`, into `a`, and the mixed values into `out`."""
-    np.matmul(q, _turned(k), out=a)
-    a += _MASK[k.shape[1] - q.shape[1] : k.shape[1], : k.shape[1]]
-    _softmax(a)
-    np.matmul(a, v, out=out)
-
-
-def _attend_back(q: np.ndarray, k: np.ndarray, v: np.ndarray, a: np.ndarray, mixed: np.ndarray, dmixed: np.ndarray) -> tuple[np.ndarray, ...]:
-    """The gradients of q, k and v from that of the mixed values."""
-    ds = np.matmul(dmixed, _turned(v))
-    ds -= _sums(dmixed * mixed)  # as mixed = a v, the sum of ds * a over a row
+    `a` are the weights before division by their sums, `dmixed` is the gradient of the mixed values divided by these, and `dots`
+    its products with the mixed values: the sums over a row of what the first product gives, times the divided weights.
+    """
+    np.matmul(dmixed, vt, out=ds)
+    ds -= dots
     ds *= a
-    return np.matmul(ds, k), np.matmul(_turned(ds), q), np.matmul(_turned(a), dmixed)
+    return ds
 
 
 class Learner:
@@ -278,104 +339,115 @@ class Learner:
         self.slope, self.m, self.v, self.spare = (np.zeros_like(self.flat) for _ in range(4))
         self.g = unflatten(self.slope, w)
         self.steps = 0
-        self.x, self.mixed, self.full, self.dfull, self.dmixed, self.dx = (np.zeros((most, WINDOW, WIDTH), kind) for _ in range(6))
+        self.x, self.mixed, self.dmixed, self.dfull, self.dx = (np.zeros((most, WINDOW, WIDTH), kind) for _ in range(5))
         self.qkv, self.dqkv = (np.empty((most, WINDOW, 3 * WIDTH), kind) for _ in range(2))
-        self.tiles = [(lo, hi, np.empty((most, hi - lo, hi), kind)) for lo, hi in TILES]
-        self.h, self.dh, self.part = (np.empty((most * WINDOW, WIDTH), kind) for _ in range(3))
-        self.classes, self.slots = np.empty((most * WINDOW, CLASSES), kind), np.empty((most * WINDOW, PLACES), kind)
+        self.a, self.ds = (np.empty((most, WINDOW - OVERLAP, WINDOW), kind) for _ in range(2))
+        self.kt, self.vt = (np.empty((most, WIDTH, WINDOW), kind) for _ in range(2))
+        self.over, self.dots = np.ones((most, WINDOW, 1), kind), np.zeros((most, WINDOW, 1), kind)
+        self.ones = np.ones(most * WINDOW, kind)
+        self.h, self.dh, self.part, self.own = (np.empty((most * WINDOW, WIDTH), kind) for _ in range(4))
+        # classes' rows, then slots': both are as wide, and go through softmax as one
+        self.both, self.bias = np.empty((2 * most * WINDOW, PLACES), kind), np.empty((most * WINDOW, PLACES), kind)
+        self.slots, self.g_slots = list(self.w["slots"]), list(self.g["slots"])
 
     def gradient(self, inputs: np.ndarray, targets: np.ndarray, scored: np.ndarray) -> float:
         """Mean loss over the scored places; its gradient is left in `g`."""
         w, g, n = self.w, self.g, len(inputs)
-        x, mixed, full, dfull, dmixed, dx, qkv, dqkv = (b[:n] for b in (self.x, self.mixed, self.full, self.dfull, self.dmixed, self.dx, self.qkv, self.dqkv))
+        x, mixed, dmixed, dfull, dx, qkv, dqkv, a, ds = (b[:n] for b in (self.x, self.mixed, self.dmixed, self.dfull, self.dx, self.qkv, self.dqkv, self.a, self.ds))
+        kt, vt, over, dots = self.kt[:n], self.vt[:n], self.over[:n], self.dots[:n]
         rows = lambda z: z.reshape(-1, z.shape[-1])
         (q, k, v), (dq, dk, dv) = ([z[..., i * WIDTH : (i + 1) * WIDTH] for i in range(3)] for z in (qkv, dqkv))
+        turn = w["qkv"].copy()
+        turn[:, :WIDTH] *= WIDTH**-0.5
         np.take(w["embed"], inputs, axis=0, out=x, mode="clip")
         x += w["position"]
-        np.matmul(rows(x), w["qkv"], out=rows(qkv))
-        q *= WIDTH**-0.5
-        for lo, hi, a in self.tiles:
-            _attend(q[:, lo:hi], k[:, :hi], v[:, :hi], a[:n], mixed[:, lo:hi])
+        np.matmul(x, turn, out=qkv)  # a window at a time: small products are the faster ones
+        late = slice(OVERLAP, None)
+        np.copyto(kt, _turned(k))  # and so are those of operands that are not turned
+        np.copyto(vt, _turned(v))
+        np.matmul(q[:, late], kt, out=a)
+        over[:, late] = _attention(a)
+        np.matmul(a, v, out=mixed[:, late])
         early = np.flatnonzero(scored[:, :OVERLAP].any(axis=1))  # other windows ask nothing of their first places
-        begun = [z[early, :OVERLAP] for z in (q, k, v)]
-        weight, value = np.empty((len(early), OVERLAP, OVERLAP), x.dtype), np.empty((len(early), OVERLAP, WIDTH), x.dtype)
-        _attend(*begun, weight, value)
-        mixed[early, :OVERLAP] = value
-        np.matmul(rows(mixed), w["out"], out=rows(full))
-        full += x
+        if len(early):
+            begun = [z[early, :OVERLAP] for z in (q, k, v)]
+            first = np.matmul(begun[0], _turned(begun[1]))
+            over[early, :OVERLAP] = _attention(first)
+            mixed[early, :OVERLAP] = np.matmul(first, begun[2])
 
         at, goal, classes, _ = _by_class(targets, scored)
-        slots, many, each = goal % PLACES, len(goal), np.arange(len(goal))
-        h, dh, part, p, z = (b[:many] for b in (self.h, self.dh, self.part, self.classes, self.slots))
-        np.take(rows(full), at, axis=0, out=h, mode="clip")
+        slots, many = goal % PLACES, len(goal)
+        h, dh, part, own, bias = (b[:many] for b in (self.h, self.dh, self.part, self.own, self.bias))
+        both = self.both[: 2 * many]
+        p, z = both[:many], both[many:]
+        divide = 1 / rows(over)[at]
+        np.take(rows(mixed), at, axis=0, out=own, mode="clip")
+        own *= divide
+        np.matmul(own, w["out"], out=h)
+        np.take(rows(x), at, axis=0, out=part, mode="clip")
+        h += part
         np.matmul(h, w["classes"], out=p)
         p += w["class_bias"]
-        _softmax(p)
-        loss = -np.log(p[each, classes] + 1e-30).sum()
-        p[each, classes] -= 1
-        p *= 1 / many
+        groups = [(self.slots[c], h[of], z[of], self.g_slots[c], part[of]) for c, of in _groups(classes)]
+        for slot, mine, to, _, _ in groups:
+            np.dot(mine, slot, out=to)
+        z += np.take(w["slot_bias"], classes, axis=0, out=bias, mode="clip")
+        _softmax(both)
+        each, goals = np.arange(2 * many), np.concatenate([classes, slots])
+        loss = -np.log(both[each, goals] + 1e-30).sum()
+        both[each, goals] -= 1
+        both *= 1 / many
         np.matmul(h.T, p, out=g["classes"])
-        p.sum(0, out=g["class_bias"])
+        np.dot(self.ones[:many], p, out=g["class_bias"])
         np.matmul(p, w["classes"].T, out=dh)
-        edges = np.searchsorted(classes, np.arange(CLASSES + 1)).tolist()
-        groups = [(c, slice(b, e)) for c, (b, e) in enumerate(zip(edges, edges[1:], strict=False)) if b < e]
-        for c, own in groups:
-            np.matmul(h[own], w["slots"][c], out=z[own])
-        z += w["slot_bias"][classes]
-        _softmax(z)
-        loss -= np.log(z[each, slots] + 1e-30).sum()
-        z[each, slots] -= 1
-        z *= 1 / many
         g["slots"].fill(0)
-        g["slot_bias"].fill(0)
-        for c, own in groups:
-            np.matmul(h[own].T, z[own], out=g["slots"][c])
-            np.matmul(z[own], w["slots"][c].T, out=part[own])
+        for slot, mine, slope, to, back in groups:
+            np.dot(mine.T, slope, out=to)
+            np.dot(slope, slot.T, out=back)
         dh += part
-        if groups:
-            g["slot_bias"][[c for c, _ in groups]] = np.add.reduceat(z, [own.start for _, own in groups], axis=0)
-
-        dfull.fill(0)
-        rows(dfull)[at] = dh
-        np.matmul(rows(mixed).T, rows(dfull), out=g["out"])
-        np.matmul(rows(dfull), w["out"].T, out=rows(dmixed))
-        dqkv.fill(0)
-        for lo, hi, a in self.tiles:
-            own = _attend_back(q[:, lo:hi], k[:, :hi], v[:, :hi], a[:n], mixed[:, lo:hi], dmixed[:, lo:hi])
-            dq[:, lo:hi] = own[0]
-            dk[:, :hi] += own[1]
-            dv[:, :hi] += own[2]
-        own = _attend_back(*begun, weight, value, dmixed[early, :OVERLAP])
-        for z, part in zip((dq, dk, dv), own, strict=True):
-            z[early, :OVERLAP] += part
-        dq *= WIDTH**-0.5
-        np.matmul(rows(x).T, rows(dqkv), out=g["qkv"])
-        np.matmul(rows(dqkv), w["qkv"].T, out=rows(dx))
+        np.dot((classes == np.arange(CLASSES)[:, None]).astype(z.dtype), z, out=g["slot_bias"])
+
+        np.matmul(own.T, dh, out=g["out"])
+        np.matmul(dh, w["out"].T, out=part)
+        part *= divide
+        own *= part
+        for to, rest in ((dfull, dh), (dmixed, part), (dots, _sums(own))):
+            to.fill(0)
+            rows(to)[at] = rest
+        _attend_back(vt, a, dots[:, late], dmixed[:, late], ds)
+        dq[:, :OVERLAP] = 0
+        np.matmul(ds, k, out=dq[:, late])
+        np.matmul(_turned(ds), q[:, late], out=dk)
+        np.matmul(_turned(a), dmixed[:, late], out=dv)
+        if len(early):
+            back = dmixed[early, :OVERLAP]
+            slope = _attend_back(_turned(begun[2]), first, dots[early, :OVERLAP], back, np.empty_like(first))
+            dq[early, :OVERLAP] = np.matmul(slope, begun[1])
+            dk[early, :OVERLAP] += np.matmul(_turned(slope), begun[0])
+            dv[early, :OVERLAP] += np.matmul(_turned(first), back)
+        np.matmul(_turned(x), dqkv).sum(0, out=g["qkv"])
+        g["qkv"][:, :WIDTH] *= WIDTH**-0.5
+        np.matmul(dqkv, np.ascontiguousarray(turn.T), out=dx)
         dx += dfull
         dx.sum(0, out=g["position"])
         g["embed"].fill(0)
-        order = np.argsort(inputs.ravel().astype(np.int16), kind="stable")
-        names = inputs.ravel()[order]
-        lead = np.flatnonzero(np.concatenate([[True], names[1:] != names[:-1]]))
-        g["embed"][names[lead]] = np.add.reduceat(rows(dx)[order], lead)
+        np.add.at(g["embed"].ravel(), _CELLS[inputs.ravel()].ravel(), dx.ravel())  # on flat arrays, which are the fast ones
         return float(loss / many)
 
     def step(self, rate: float) -> None:
-        """One step of Adam by the gradient, in place."""
+        """One step of Adam by the gradient, in place; the moments are kept undivided: `m` is ten times the mean, `v` a hundred times."""
         self.steps += 1
         t = self.spare
-        np.subtract(self.slope, self.m, out=t)
-        t *= 0.1
-        self.m += t
+        self.m *= 0.9
+        self.m += self.slope
+        self.v *= 0.99
         np.multiply(self.slope, self.slope, out=t)
-        t -= self.v
-        t *= 0.01
         self.v += t
-        np.multiply(self.v, 1 / (1 - 0.99**self.steps), out=t)
-        np.sqrt(t, out=t)
-        t += 1e-8
+        scale = (0.01 / (1 - 0.99**self.steps)) ** 0.5
+        np.sqrt(self.v, out=t)
+        t += 1e-8 / scale
         np.divide(self.m, t, out=t)
-        t *= rate * min(1.0, self.steps / 20) / (1 - 0.9**self.steps)
+        t *= rate * min(1.0, self.steps / 20) * 0.1 / (1 - 0.9**self.steps) / scale
         self.flat -= t
 
 
@@ -400,21 +472,21 @@ class Stream:
 
     def __init__(self, row: pd.Series, places: Places, end: int):
         self.chunk = Chunk(row)
-        self.ids, self.sizes = subword_stream(self.chunk, row.described, end)
-        self.places = places.place[self.ids]
-        starts = np.cumsum(self.sizes) - self.sizes
-        self.inputs = np.empty_like(self.places)
-        self.inputs[1:] = self.places[:-1]
-        self.inputs[starts] = places.place[end]
+        flat, at, self.sizes = subword_stream(self.chunk, row.described, end)
+        self.share = lambda: places.share[flat][at]
+        # an end, then all places, then room for what the last windows have beyond the end: targets are one place behind inputs
+        shifted = np.zeros(1 + len(at) + WINDOW, np.int64)
+        shifted[0] = places.place[end]
+        np.take(places.place[flat], at, out=shifted[1 : 1 + len(at)], mode="clip")
+        self.windows = sliding_window_view(shifted, WINDOW)
         self.doc, self.start, self.skip = windows_of(self.sizes)
         self.stop = np.cumsum(self.sizes)[self.doc]
 
     def batch(self, own: np.ndarray) -> tuple[np.ndarray, ...]:
         """Inputs, targets, which places are scored, and where these are in the stream."""
-        at = self.start[own][:, None] + np.arange(WINDOW)
-        scored = (at < self.stop[own][:, None]) & (np.arange(WINDOW) >= self.skip[own][:, None])
-        at = np.minimum(at, len(self.ids) - 1)
-        return self.inputs[at], self.places[at], scored, at
+        start, each = self.start[own], np.arange(WINDOW)
+        scored = (each < (self.stop[own] - start)[:, None]) & (each >= self.skip[own][:, None])
+        return self.windows[start], self.windows[start + 1], scored, start[:, None] + each
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.Series]:
@@ -430,8 +502,10 @@ def count_subwords(chunks: DataFrame, end: int) -> np.ndarray:
         total = np.zeros(end + 1, np.int64)
         for row in _rows(batches):
             chunk = Chunk(row)
-            ids, sizes = subword_stream(chunk, row.described, end)
-            total += np.bincount(ids[np.repeat(~is_held_out(chunk.ids), sizes)], minlength=end + 1)
+            flat, sizes = subwords_of(row.described, end)
+            training = ~is_held_out(chunk.ids)
+            words = np.append(np.bincount(chunk.codes[np.repeat(training, chunk.sizes)], minlength=len(sizes) - 1), training.sum())
+            total += np.bincount(flat, np.repeat(words, sizes), end + 1).astype(np.int64)
         found = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], names=["id", "n"])
 
@@ -526,7 +600,7 @@ def word_counts(chunks: DataFrame) -> tuple[DataFrame, int, int]:
 
 def _word_keys(chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
     """Sorted hashes of the distinct words, and the words' order by them."""
-    keys = np.array([xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) for w in chunk.words], np.uint64)
+    keys = chunk.word_hashes
     order = np.argsort(keys, kind="stable")
     return keys[order], order
 
@@ -550,13 +624,13 @@ def score_texts(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "d
     def score(row: pd.Series, own: pd.DataFrame) -> pd.DataFrame:
         stream = Stream(row, places, end)
         chunk = stream.chunk
-        each = places.share[stream.ids].astype(float)
+        each = stream.share().astype(float)
         scorer = Scorer(weights)
         for i in range(0, len(stream.doc), SCORE_WINDOWS):
             inputs, targets, scored, at = stream.batch(np.arange(i, min(i + SCORE_WINDOWS, len(stream.doc))))
             each[at[scored]] += scorer(inputs, targets, scored)
         starts = np.cumsum(stream.sizes) - stream.sizes
-        known = np.zeros(len(chunk.words), np.int64)
+        known = np.zeros(len(chunk.raw), np.int64)
         if len(own):
             known[_word_keys(chunk)[1]] = np.concatenate([expand(a) for a in own["answer"]])
         c = np.append(known, texts)
