@@ -180,6 +180,14 @@ def unflatten(flat: np.ndarray, like: Weights) -> Weights:
     return out
 
 
+def native(weights: Weights) -> Weights:
+    """The same in arrays of numpy's own type object.
+
+    Arrays that came to a task pickled have a type object of their own; numpy then copies the operands of each product to buffers.
+    """
+    return unflatten(flatten(weights), weights)
+
+
 _MASK = np.triu(np.full((WINDOW, WINDOW), -1e9, np.float32), 1)
 _SEEN = np.tril(np.ones((WINDOW, WINDOW), np.float32))
 #: Where the embeddings' numbers stand in the flat table.
@@ -251,7 +259,7 @@ class Scorer:
     """
 
     def __init__(self, w: Weights, most: int = SCORE_WINDOWS):
-        kind = w["qkv"].dtype
+        kind, w = w["qkv"].dtype.type, native(w)
         self.w = w
         turn = w["qkv"].copy()
         turn[:, :WIDTH] *= WIDTH**-0.5
@@ -333,8 +341,8 @@ class Learner:
     """Weights in one array, their gradient and their Adam moments likewise, and buffers that every step uses again."""
 
     def __init__(self, w: Weights, most: int = STEP_WINDOWS):
-        kind = w["qkv"].dtype
-        self.flat = flatten(w)
+        kind = w["qkv"].dtype.type
+        self.flat = flatten(w).astype(kind, copy=False)
         self.w = unflatten(self.flat, w)
         self.slope, self.m, self.v, self.spare = (np.zeros_like(self.flat) for _ in range(4))
         self.g = unflatten(self.slope, w)
